@@ -1,0 +1,3 @@
+from reelscope.sinks.jdbc import write_jdbc, write_occupation_genre_counts
+
+__all__ = ["write_jdbc", "write_occupation_genre_counts"]

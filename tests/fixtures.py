@@ -1,0 +1,27 @@
+"""Small hand-made tables for semantic tests."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import SparkSession
+
+from reelscope.sources import schema as S
+from reelscope.sources.tables import Tables
+
+T0 = dt.datetime(2000, 1, 1)
+
+
+def make_tables(
+    spark: SparkSession,
+    ratings: list[tuple[int, int, float]],
+    users: list[tuple[int, str, int, int, str]],
+    movies: list[tuple[int, str, str]],
+    occupations: list[tuple[int, str]] | None = None,
+) -> Tables:
+    return Tables(
+        ratings=spark.createDataFrame([(u, m, r, T0) for u, m, r in ratings], S.RATINGS),
+        users=spark.createDataFrame(users, S.USERS),
+        movies=spark.createDataFrame(movies, S.MOVIES),
+        occupations=spark.createDataFrame(occupations or [(0, "other")], S.OCCUPATIONS),
+    )

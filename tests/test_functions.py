@@ -1,0 +1,81 @@
+"""Column expressions on the edge rows of FIXTURES section 3."""
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from reelscope.functions import (
+    YEAR_PATTERN_PLAIN,
+    YEAR_PATTERN_TWO_WORD,
+    age_band_label,
+    split_genres,
+    title_name,
+    title_year,
+)
+
+TITLES = {
+    # title: (plain-pattern year, two-word-pattern year, name)
+    "Heat (1995)": (1995, -1, "Heat"),
+    "Toy Story (1995)": (1995, 1995, "Toy Story"),
+    "Foo (1990) Bar (1995) x": (1995, 1995, "Foo"),
+    "Seven (Se7en) (1995)": (1995, 1995, "Seven"),
+    "NoYear": (-1, -1, "NoYear"),
+    "X(1995)": (-1, -1, "X(1995)"),
+    "A B (95)": (-1, -1, "A B"),
+    'Say "Hi" (1980)': (1980, 1980, 'Say "Hi"'),
+    "Café Society (2016)": (2016, 2016, "Café Society"),
+}
+
+
+def test_title_year_and_name(spark):
+    df = spark.createDataFrame([(t,) for t in TITLES], "title string")
+    rows = df.select(
+        "title",
+        title_year("title", YEAR_PATTERN_PLAIN).alias("plain"),
+        title_year("title", YEAR_PATTERN_TWO_WORD).alias("two_word"),
+        title_name("title").alias("name"),
+    ).collect()
+    got = {r.title: (r.plain, r.two_word, r.name) for r in rows}
+    assert got == TITLES
+
+
+GENRES = {
+    "Drama|": ["Drama"],
+    "|": [],
+    "": [""],
+    "|Drama": ["", "Drama"],
+    "Drama||War": ["Drama", "", "War"],
+    "Drama|Drama": ["Drama", "Drama"],
+    "Animation|Children's|Comedy": ["Animation", "Children's", "Comedy"],
+    "a|||": ["a"],
+}
+
+
+def test_split_genres_edges(spark):
+    df = spark.createDataFrame([(g,) for g in GENRES], "genres string")
+    got = {r.genres: r.parts for r in df.select("genres", split_genres("genres").alias("parts")).collect()}
+    assert got == GENRES
+
+
+def java_split(s: str) -> list[str]:
+    """Model of ``String.split("\\|")``: trailing empty pieces removed."""
+    if s == "":
+        return [""]
+    parts = s.split("|")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ab|", max_size=8), min_size=1, max_size=40))
+def test_split_genres_matches_java_split(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, genres string")
+    got = {r.i: r.parts for r in df.select("i", split_genres("genres").alias("parts")).collect()}
+    assert got == {i: java_split(v) for i, v in enumerate(values)}
+
+
+def test_age_band_label(spark):
+    df = spark.createDataFrame([(1,), (25,), (56,), (99,)], "age int")
+    got = [r.label for r in df.select(age_band_label("age").alias("label")).orderBy("age").collect()]
+    assert got == ["Under 18", "25-34", "56+", None]

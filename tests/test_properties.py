@@ -1,0 +1,67 @@
+"""Cross-query invariants on the sf0.01 adapter."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelscope.functions import YEAR_PATTERN_PLAIN
+from reelscope.operators import explode_genres
+from reelscope.plans import analyses as a
+from reelscope.sources.star import star_tables
+
+
+@pytest.fixture(scope="module")
+def t(spark, sf001_dir):
+    return star_tables(spark, sf001_dir)
+
+
+def _total(df, col="n"):
+    return df.agg(F.sum(col)).first()[0]
+
+
+def test_genre_counts_sum_to_pieces(t):
+    assert _total(a.genre_counts(t)) == explode_genres(t.movies).count()
+
+
+def test_year_counts_sum_to_movies(t):
+    n = t.movies.count()
+    assert _total(a.year_counts(t)) == n
+    assert _total(a.year_counts(t, YEAR_PATTERN_PLAIN)) == n
+
+
+def test_year_genre_counts_roll_up_to_genre_counts(t):
+    for pattern in (None, YEAR_PATTERN_PLAIN):
+        yg = a.year_genre_counts(t) if pattern is None else a.year_genre_counts(t, pattern)
+        rolled = yg.groupBy("genre").agg(F.sum("n").alias("n"))
+        assert rolled.exceptAll(a.genre_counts(t)).count() == 0
+        assert a.genre_counts(t).exceptAll(rolled).count() == 0
+
+
+def test_preaggregated_occupation_genre_equals_direct(t):
+    fast = a.occupation_genre_counts(t)
+    direct = a.occupation_genre_counts_direct(t)
+    assert fast.exceptAll(direct).count() == 0
+    assert direct.exceptAll(fast).count() == 0
+
+
+def test_semi_count_equals_join_count_when_users_unique(t):
+    assert t.users.select("user_id").distinct().count() == t.users.count()
+    assert a.cohort_semi_count(t).first().n == a.cohort_rating_count(t).first().n
+
+
+def test_semi_count_without_broadcast_is_the_same(t):
+    assert (
+        a.cohort_semi_count(t, broadcast_max_rows=0).first().n
+        == a.cohort_semi_count(t).first().n
+    )
+
+
+def test_top_watched_detail_is_subset_of_counts(t):
+    counts = t.ratings.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"))
+    detail = a.top_watched_detail(t).select("movie_id", "n")
+    assert detail.exceptAll(counts).count() == 0
+
+
+def test_sink_rows_equal_counts(t):
+    sink = a.occupation_genre_sink_rows(t)
+    assert sink.columns == ["occ", "mtype", "nums"]
+    assert _total(sink, "nums") == _total(a.occupation_genre_counts(t))

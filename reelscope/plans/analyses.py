@@ -281,24 +281,28 @@ def year_genre_counts(t: Tables, pattern: str = YEAR_PATTERN_TWO_WORD) -> DataFr
 # --- requirements 9-10: occupation x genre -----------------------------------
 
 
+def _rating_occupations(t: Tables) -> DataFrame:
+    """``occupation_name, movie_id`` for every rating by a user with a known
+    occupation.  Ratings meet users on ``user_id`` carrying only the int
+    occupation id; the names come from a map-side join with the small
+    occupations table afterwards (its ``occupation_id < 21``-style filter is
+    propagated into the users scan by the optimizer)."""
+    rated = t.ratings.select("user_id", "movie_id").join(
+        t.users.select("user_id", "occupation_id"), "user_id"
+    )
+    return with_occupation(rated, t.occupations).select("occupation_name", "movie_id")
+
+
 def occupation_genre_counts(t: Tables) -> DataFrame:
     """``occupation_name, genre, n``: rating x genre-piece rows per pair.
 
     Counted per (occupation, movie) first and fanned out to genres after, so
     the join with genres moves one row per (occupation, movie) instead of
-    one per rating; sum over genres gives the same numbers.
+    one per rating; summing over genres gives the same numbers.
     """
-    user_occ = with_occupation(t.users.select("user_id", "occupation_id"), t.occupations)
-    per_movie = count_by(
-        t.ratings.select("user_id", "movie_id").join(
-            user_occ.select("user_id", "occupation_name"), "user_id"
-        ),
-        "occupation_name",
-        "movie_id",
-    )
-    genres = explode_genres(t.movies)
+    per_movie = count_by(_rating_occupations(t), "occupation_name", "movie_id")
     return (
-        per_movie.join(genres, "movie_id")
+        per_movie.join(explode_genres(t.movies), "movie_id")
         .groupBy("occupation_name", "genre")
         .agg(F.sum("n").alias("n"))
     )
@@ -308,12 +312,7 @@ def occupation_genre_counts_direct(t: Tables) -> DataFrame:
     """Same result as ``occupation_genre_counts`` in the reference's order:
     every rating joined to every genre piece, then counted.  Kept to check
     the pre-aggregated plan against."""
-    user_occ = with_occupation(t.users.select("user_id", "occupation_id"), t.occupations)
-    rows = (
-        t.ratings.select("user_id", "movie_id")
-        .join(user_occ.select("user_id", "occupation_name"), "user_id")
-        .join(explode_genres(t.movies), "movie_id")
-    )
+    rows = _rating_occupations(t).join(explode_genres(t.movies), "movie_id")
     return count_by(rows, "occupation_name", "genre")
 
 

@@ -6,6 +6,7 @@ from reelscope.functions.columns import (
     age_band_label,
     split_genres,
     title_name,
+    title_pattern_name,
     title_year,
 )
 
@@ -17,5 +18,6 @@ __all__ = [
     "age_band_label",
     "split_genres",
     "title_name",
+    "title_pattern_name",
     "title_year",
 ]

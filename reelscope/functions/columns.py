@@ -62,6 +62,12 @@ def title_year(title: str | Column, pattern: str = YEAR_PATTERN_TWO_WORD) -> Col
     )
 
 
+def title_pattern_name(title: str | Column, pattern: str = YEAR_PATTERN_TWO_WORD) -> Column:
+    """Group 1 of a year pattern: the text before the last ``" (dddd)"``
+    (after the first space for the two-word pattern); ``''`` without a match."""
+    return F.regexp_extract(_col(title), pattern, 1)
+
+
 def title_name(title: str | Column) -> Column:
     """Title cut at the first ``" ("``; a title without one is kept whole
     (the reference would throw there)."""

@@ -1,3 +1,3 @@
-from reelscope.sinks.jdbc import write_jdbc, write_occupation_genre_counts
+from reelscope.sinks.jdbc import write_jdbc, write_numbered_names, write_occupation_genre_counts
 
-__all__ = ["write_jdbc", "write_occupation_genre_counts"]
+__all__ = ["write_jdbc", "write_numbered_names", "write_occupation_genre_counts"]

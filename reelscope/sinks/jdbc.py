@@ -12,9 +12,10 @@ again, as any append does.  For an idempotent load write with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from reelscope.plans.analyses import occupation_genre_sink_rows
+from reelscope.sources.memory import NAME_COUNT, NAME_PREFIX, numbered_names
 from reelscope.sources.tables import Tables
 
 MODES = ("append", "overwrite", "error", "errorifexists", "ignore")
@@ -57,3 +58,16 @@ def write_occupation_genre_counts(
 ) -> DataFrame:
     """Occupation x genre counts into ``result(occ, mtype, nums)``."""
     return write_jdbc(occupation_genre_sink_rows(t), url, table, mode, **options)
+
+
+def write_numbered_names(
+    spark: SparkSession,
+    url: str,
+    table: str = "person",
+    mode: str = "append",
+    prefix: str = NAME_PREFIX,
+    count: int = NAME_COUNT,
+    **options,
+) -> DataFrame:
+    """The generated name list into ``person(name)``."""
+    return write_jdbc(numbered_names(spark, prefix, count), url, table, mode, **options)

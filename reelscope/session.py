@@ -26,6 +26,32 @@ PLAN_DEFAULTS = {
 }
 
 
+MB = 1 << 20
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_mb: int = 128) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of input on
+    ``total_cores`` executor cores.
+
+    Scans split at ``target_partition_mb`` so a task's input fits in executor
+    memory; shuffles start with enough partitions for that size (at least
+    two waves of tasks) and AQE coalesces them down to the advisory size, so
+    small stages do not pay for the large ones.  Skew thresholds follow the
+    same size, so a partition several times the target is split.
+    """
+    if input_bytes < 0 or total_cores < 1:
+        raise ValueError("input_bytes must be >= 0 and total_cores >= 1")
+    target = target_partition_mb * MB
+    partitions = max(2 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "reelscope",

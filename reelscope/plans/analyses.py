@@ -285,8 +285,8 @@ def _rating_occupations(t: Tables) -> DataFrame:
     """``occupation_name, movie_id`` for every rating by a user with a known
     occupation.  Ratings meet users on ``user_id`` carrying only the int
     occupation id; the names come from a map-side join with the small
-    occupations table afterwards (its ``occupation_id < 21``-style filter is
-    propagated into the users scan by the optimizer)."""
+    occupations table afterwards (filters on that table are propagated into
+    the users scan by the optimizer)."""
     rated = t.ratings.select("user_id", "movie_id").join(
         t.users.select("user_id", "occupation_id"), "user_id"
     )

@@ -8,9 +8,11 @@ from reelscope.operators.joins import (
     with_occupation,
 )
 from reelscope.operators.stats import count_by, rating_stats, rating_totals, row_count
-from reelscope.operators.topk import top_k, top_k_per_group
+from reelscope.operators.topk import by_count, by_mean, top_k, top_k_per_group
 
 __all__ = [
+    "by_count",
+    "by_mean",
     "COHORT_BROADCAST_ROWS",
     "DIMENSION_BROADCAST_ROWS",
     "bounded_broadcast",

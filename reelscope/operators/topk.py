@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def by_mean() -> tuple[Column, ...]:
+    """Best mean rating first; ties by ``movie_id``."""
+    return (F.desc("avg_rating"), F.asc("movie_id"))
+
+
+def by_count() -> tuple[Column, ...]:
+    """Most ratings first; ties by ``movie_id``."""
+    return (F.desc("n"), F.asc("movie_id"))
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """First ``k`` rows by ``order``.
 

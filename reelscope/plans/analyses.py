@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from reelscope.functions.columns import YEAR_PATTERN_TWO_WORD, title_name
 from reelscope.operators import (
+    by_count,
+    by_mean,
     COHORT_BROADCAST_ROWS,
     cohort,
     count_by,
@@ -45,9 +47,6 @@ SEMI_TOP_K = 100
 
 
 
-def _by_avg() -> tuple[Column, ...]:
-    return (F.desc("avg_rating"), F.asc("movie_id"))
-
 
 # --- requirement 1: table sizes, users with their occupation -----------------
 
@@ -104,13 +103,13 @@ def user_movies_brief(t: Tables, user_id: int = DEFAULT_USER_ID) -> DataFrame:
 
 def top_avg(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     """``avg_rating, movie_id``: best mean rating, movies without a row included."""
-    return top_k(rating_stats(t.ratings), k, *_by_avg()).select("avg_rating", "movie_id")
+    return top_k(rating_stats(t.ratings), k, *by_mean()).select("avg_rating", "movie_id")
 
 
 def top_avg_detail(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     """``avg_rating, movie_id, title, genres, total, n``."""
     joined = with_movie(rating_stats(t.ratings), t.movies)
-    return top_k(joined, k, *_by_avg()).select(
+    return top_k(joined, k, *by_mean()).select(
         "avg_rating", "movie_id", "title", "genres", "total", "n"
     )
 
@@ -119,26 +118,23 @@ def top_avg_detail_brief(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     return top_avg_detail(t, k).select("avg_rating", "movie_id", "title", "genres")
 
 
-def _by_n() -> tuple[Column, ...]:
-    return (F.desc("n"), F.asc("movie_id"))
-
 
 def top_watched(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     """``n, movie_id``: most ratings."""
-    return top_k(count_by(t.ratings, "movie_id"), k, *_by_n()).select("n", "movie_id")
+    return top_k(count_by(t.ratings, "movie_id"), k, *by_count()).select("n", "movie_id")
 
 
 def top_watched_detail(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     """``n, movie_id, title, genres, total, avg_rating``."""
     joined = with_movie(rating_stats(t.ratings), t.movies)
-    return top_k(joined, k, *_by_n()).select(
+    return top_k(joined, k, *by_count()).select(
         "n", "movie_id", "title", "genres", "total", "avg_rating"
     )
 
 
 def top_watched_detail_brief(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     joined = with_movie(count_by(t.ratings, "movie_id"), t.movies)
-    return top_k(joined, k, *_by_n()).select("n", "movie_id", "title", "genres")
+    return top_k(joined, k, *by_count()).select("n", "movie_id", "title", "genres")
 
 
 # --- requirement 4: by gender ------------------------------------------------
@@ -158,7 +154,7 @@ def top_total_by_gender(t: Tables, gender: str, k: int = DEFAULT_K) -> DataFrame
 def top_avg_detail_by_gender(t: Tables, gender: str, k: int = DEFAULT_K) -> DataFrame:
     """``avg_rating, movie_id, total, n, title, genres``."""
     joined = with_movie(rating_stats(_gender_ratings(t, gender)), t.movies)
-    return top_k(joined, k, *_by_avg()).select(
+    return top_k(joined, k, *by_mean()).select(
         "avg_rating", "movie_id", "total", "n", "title", "genres"
     )
 
@@ -166,7 +162,7 @@ def top_avg_detail_by_gender(t: Tables, gender: str, k: int = DEFAULT_K) -> Data
 def top_avg_named_by_gender(t: Tables, gender: str, k: int = DEFAULT_K) -> DataFrame:
     """Older shape: ``movie_id, name, total, n, avg_rating`` (name = title cut)."""
     joined = with_movie(rating_stats(_gender_ratings(t, gender)), t.movies, "title")
-    return top_k(joined, k, *_by_avg()).select(
+    return top_k(joined, k, *by_mean()).select(
         "movie_id", title_name("title").alias("name"), "total", "n", "avg_rating"
     )
 
@@ -197,20 +193,20 @@ def _cohort_stats(t: Tables, age: int) -> DataFrame:
 
 def cohort_top_avg(t: Tables, age: int = DEFAULT_AGE, k: int = DEFAULT_K) -> DataFrame:
     """``avg_rating, movie_id, total, n``."""
-    return top_k(_cohort_stats(t, age), k, *_by_avg()).select(
+    return top_k(_cohort_stats(t, age), k, *by_mean()).select(
         "avg_rating", "movie_id", "total", "n"
     )
 
 
 def cohort_top_avg_brief(t: Tables, age: int = DEFAULT_AGE, k: int = DEFAULT_K) -> DataFrame:
     """Older shape: ``movie_id, avg_rating``."""
-    return top_k(_cohort_stats(t, age), k, *_by_avg()).select("movie_id", "avg_rating")
+    return top_k(_cohort_stats(t, age), k, *by_mean()).select("movie_id", "avg_rating")
 
 
 def cohort_top_named(t: Tables, age: int = DEFAULT_AGE, k: int = DEFAULT_K) -> DataFrame:
     """``movie_id, name, avg_rating, total, n, genres``."""
     joined = with_movie(_cohort_stats(t, age), t.movies)
-    return top_k(joined, k, *_by_avg()).select(
+    return top_k(joined, k, *by_mean()).select(
         "movie_id", title_name("title").alias("name"), "avg_rating", "total", "n", "genres"
     )
 
@@ -218,7 +214,7 @@ def cohort_top_named(t: Tables, age: int = DEFAULT_AGE, k: int = DEFAULT_K) -> D
 def cohort_top_named_brief(t: Tables, age: int = DEFAULT_AGE, k: int = DEFAULT_K) -> DataFrame:
     """Older shape: ``movie_id, name, avg_rating``."""
     joined = with_movie(_cohort_stats(t, age), t.movies, "title")
-    return top_k(joined, k, *_by_avg()).select(
+    return top_k(joined, k, *by_mean()).select(
         "movie_id", title_name("title").alias("name"), "avg_rating"
     )
 
@@ -333,7 +329,7 @@ def top_avg_per_age(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     band in one job instead of one run per band."""
     rated = t.ratings.join(t.users.select("user_id", "age"), "user_id")
     stats = rating_stats(rated, "age", "movie_id")
-    return top_k_per_group(stats, ["age"], k, *_by_avg()).select(
+    return top_k_per_group(stats, ["age"], k, *by_mean()).select(
         "age", "rank", "movie_id", "avg_rating", "total", "n"
     )
 
@@ -342,7 +338,7 @@ def top_avg_per_gender(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     """``gender, rank, movie_id, avg_rating, total, n`` for every gender at once."""
     rated = t.ratings.join(t.users.select("user_id", "gender"), "user_id")
     stats = rating_stats(rated, "gender", "movie_id")
-    return top_k_per_group(stats, ["gender"], k, *_by_avg()).select(
+    return top_k_per_group(stats, ["gender"], k, *by_mean()).select(
         "gender", "rank", "movie_id", "avg_rating", "total", "n"
     )
 

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from reelscope.functions.columns import title_name
 from reelscope.operators import (
+    by_count,
+    by_mean,
     COHORT_BROADCAST_ROWS,
     bounded_broadcast,
     rating_stats,
@@ -68,12 +70,6 @@ def _keep(df: DataFrame, keep: str, kept: list[DataFrame]) -> DataFrame:
     return kept[-1]
 
 
-def _by_avg():
-    return (F.desc("avg_rating"), F.asc("movie_id"))
-
-
-def _by_n():
-    return (F.desc("n"), F.asc("movie_id"))
 
 
 def movie_report(t: Tables, k: int = DEFAULT_K, keep: str = "persist") -> Report:
@@ -83,12 +79,12 @@ def movie_report(t: Tables, k: int = DEFAULT_K, keep: str = "persist") -> Report
     stats = _keep(rating_stats(t.ratings), keep, kept)
     detail = with_movie(stats, t.movies)
     frames = {
-        "top_avg": top_k(stats, k, *_by_avg()).select("avg_rating", "movie_id"),
-        "top_avg_detail": top_k(detail, k, *_by_avg()).select(
+        "top_avg": top_k(stats, k, *by_mean()).select("avg_rating", "movie_id"),
+        "top_avg_detail": top_k(detail, k, *by_mean()).select(
             "avg_rating", "movie_id", "title", "genres", "total", "n"
         ),
-        "top_watched": top_k(stats, k, *_by_n()).select("n", "movie_id"),
-        "top_watched_detail": top_k(detail, k, *_by_n()).select(
+        "top_watched": top_k(stats, k, *by_count()).select("n", "movie_id"),
+        "top_watched_detail": top_k(detail, k, *by_count()).select(
             "n", "movie_id", "title", "genres", "total", "avg_rating"
         ),
     }
@@ -118,8 +114,8 @@ def cohort_report(
         "cohort_user_count": row_count(members),
         "rating_count": row_count(t.ratings),
         "cohort_rating_count": row_count(joined),
-        "cohort_top_avg": top_k(stats, k, *_by_avg()).select("avg_rating", "movie_id", "total", "n"),
-        "cohort_top_named": top_k(detail, k, *_by_avg()).select(
+        "cohort_top_avg": top_k(stats, k, *by_mean()).select("avg_rating", "movie_id", "total", "n"),
+        "cohort_top_named": top_k(detail, k, *by_mean()).select(
             "movie_id", title_name("title").alias("name"), "avg_rating", "total", "n", "genres"
         ),
         "cohort_multikey": top_k(detail, k, *multikey).select(

@@ -2,7 +2,6 @@
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from reelscope.functions import (
     YEAR_PATTERN_PLAIN,

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelscope.functions.columns import YEAR_PATTERN_TWO_WORD, title_name
+from reelscope.functions.columns import YEAR_PATTERN_TWO_WORD, age_band_label, title_name
 from reelscope.operators import (
     by_count,
     by_mean,
@@ -325,12 +325,12 @@ def occupation_genre_sink_rows(t: Tables) -> DataFrame:
 
 
 def top_avg_per_age(t: Tables, k: int = DEFAULT_K) -> DataFrame:
-    """``age, rank, movie_id, avg_rating, total, n``: top ``k`` of every age
-    band in one job instead of one run per band."""
+    """``age, age_band, rank, movie_id, avg_rating, total, n``: top ``k`` of
+    every age band in one job instead of one run per band."""
     rated = t.ratings.join(t.users.select("user_id", "age"), "user_id")
     stats = rating_stats(rated, "age", "movie_id")
     return top_k_per_group(stats, ["age"], k, *by_mean()).select(
-        "age", "rank", "movie_id", "avg_rating", "total", "n"
+        "age", age_band_label("age").alias("age_band"), "rank", "movie_id", "avg_rating", "total", "n"
     )
 
 

@@ -273,7 +273,11 @@ ORDER BY avg_rating DESC, n DESC, CAST(movie_id AS VARCHAR) LIMIT 100"""
     ),
     "x_all_age_top10": _sql(
         """
-SELECT age, "rank", movie_id, avg_rating, total, n FROM (
+SELECT age,
+       CASE age WHEN 1 THEN 'Under 18' WHEN 18 THEN '18-24' WHEN 25 THEN '25-34'
+                WHEN 35 THEN '35-44' WHEN 45 THEN '45-49' WHEN 50 THEN '50-55'
+                WHEN 56 THEN '56+' END AS age_band,
+       "rank", movie_id, avg_rating, total, n FROM (
   SELECT u.age, r.movie_id, sum(r.rating) AS total, count(*) AS n,
          sum(r.rating) / count(*) AS avg_rating,
          row_number() OVER (PARTITION BY u.age

@@ -14,7 +14,8 @@ TESTDATA = os.environ.get("REELSCOPE_TESTDATA", "/root/testdata")
 def spark():
     from reelscope.session import build_session
 
-    session = build_session(master="local[8]", app_name="reelscope-tests", shuffle_partitions=8)
+    # local[8,4]: up to 4 attempts per task, so injected task failures are retried
+    session = build_session(master="local[8,4]", app_name="reelscope-tests", shuffle_partitions=8)
     yield session
     session.stop()
 

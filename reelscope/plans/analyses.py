@@ -293,13 +293,17 @@ def occupation_genre_counts(t: Tables) -> DataFrame:
     """``occupation_name, genre, n``: rating x genre-piece rows per pair.
 
     Counted per (occupation, movie) first and fanned out to genres after, so
-    the join with movies moves one row per (occupation, movie) instead of
-    one per rating, and one row per movie (the genre list is exploded after
-    the join); summing over genres gives the same numbers.
+    the join with the genre pieces moves one row per (occupation, movie)
+    instead of one per rating; summing over genres gives the same numbers.
+    Genres are split once per movie, before the join (splitting after it
+    would repeat the split for every occupation of a movie).
     """
     per_movie = count_by(_rating_occupations(t), "occupation_name", "movie_id")
-    pieces = explode_genres(with_movie(per_movie, t.movies, "genres"), "occupation_name", "n")
-    return pieces.groupBy("occupation_name", "genre").agg(F.sum("n").alias("n"))
+    return (
+        per_movie.join(explode_genres(t.movies), "movie_id")
+        .groupBy("occupation_name", "genre")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def occupation_genre_counts_direct(t: Tables) -> DataFrame:

@@ -116,3 +116,26 @@ def line_counts(spark: SparkSession, base_dir: str) -> DataFrame:
     ]
     lines = reduce(DataFrame.unionByName, frames)
     return lines.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def format_records(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``value`` lines in the ``::`` layout of ``schema`` (inverse of
+    ``parse_records``); timestamps are written as epoch seconds."""
+    fields = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.TimestampType):
+            c = F.unix_timestamp(c.cast("timestamp"))
+        elif isinstance(f.dataType, T.DoubleType):
+            # whole ratings are written as the reference's files have them: "5"
+            c = F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
+        fields.append(F.coalesce(c.cast("string"), F.lit("")))
+    return df.select(F.concat_ws(FIELD_SEPARATOR, *fields).alias("value"))
+
+
+def write_dat_tables(t: Tables, base_dir: str, mode: str = "overwrite") -> None:
+    """Write ``t`` as ``ratings.dat users.dat movies.dat occupations.dat``
+    (each a folder of UTF-8 text part files) under ``base_dir``."""
+    for name, (file, schema) in DAT_FILES.items():
+        lines = format_records(getattr(t, name), schema)
+        lines.write.mode(mode).text(os.path.join(base_dir, file))

@@ -82,3 +82,21 @@ def test_bounded_broadcast_checks_size(spark):
     assert hinted is not df
     joined = spark.range(1000).join(hinted, "id")
     assert "BroadcastHashJoin" in plan(joined)
+
+
+def test_detail_join_reuses_the_aggregate_partitioning(spark, sf001_dir):
+    # With size-based broadcasts off (every table "large"), the detailed top-k
+    # needs exactly four hash shuffles: lineitem and orders for the adapter
+    # join, the per-movie aggregate, and movies.  The join on movie_id reuses
+    # the aggregate's partitioning instead of shuffling it again.
+    from reelscope.plans import QUERIES
+    from reelscope.sources.star import star_tables
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["r3_top_avg_detail"](star_tables(spark, sf001_dir)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert text.count("Arguments: hashpartitioning(") == 4
+    assert text.count("SortMergeJoin") >= 2

@@ -63,23 +63,32 @@ def _typed(raw: Column, data_type: T.DataType) -> Column:
 
 
 def parse_records(lines: DataFrame, schema: T.StructType, mode: str = "fail") -> DataFrame:
-    """Decode ``value`` lines into ``schema`` by position."""
+    """Decode ``value`` lines into ``schema`` by position.
+
+    The line is split once; the typed fields come out of a one-row
+    ``inline`` generator.  Without that step the optimizer pushes the
+    validity filter below the projection and re-splits the line for every
+    field it checks; a generator is a point filters are not pushed through,
+    so each line is split exactly once (about half the parse time).
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    parts = F.split(F.col("value"), FIELD_SEPARATOR, -1)
-    typed = [_typed(F.get(parts, i), f.dataType) for i, f in enumerate(schema.fields)]
-    missing = [c.isNull() for c, f in zip(typed, schema.fields) if not f.nullable]
+    split = lines.select("value", F.split(F.col("value"), FIELD_SEPARATOR, -1).alias("_parts"))
+    typed = [
+        _typed(F.get(F.col("_parts"), i), f.dataType).cast(f.dataType).alias(f.name)
+        for i, f in enumerate(schema.fields)
+    ]
+    rows = split.select(F.inline(F.array(F.struct(F.col("value"), *typed))))
+    missing = [F.col(f.name).isNull() for f in schema.fields if not f.nullable]
     bad = reduce(lambda x, y: x | y, missing, F.lit(False))
     if mode == "fail":
         guard = F.when(
             bad, F.raise_error(F.concat(F.lit("malformed record: "), F.col("value")))
         ).otherwise(F.lit(True))
-        checked = lines.where(guard)
+        checked = rows.where(guard)
     else:
-        checked = lines.where(~bad)
-    return checked.select(
-        *[c.cast(f.dataType).alias(f.name) for c, f in zip(typed, schema.fields)]
-    )
+        checked = rows.where(~bad)
+    return checked.select(*[f.name for f in schema.fields])
 
 
 def read_dat(

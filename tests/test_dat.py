@@ -93,3 +93,16 @@ def test_analyses_run_on_dat_tables(spark, dat_dir):
     assert occ[("self-employed", "Animation")] == 1
     years = {r.year: r.n for r in a.year_counts(t).collect()}
     assert years == {-1: 2, 1995: 1}
+
+
+def test_each_line_is_split_once(spark, dat_dir):
+    import contextlib
+    import io
+
+    df = read_dat(spark, os.path.join(dat_dir, "ratings.dat"), S.RATINGS, mode="drop")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.groupBy("movie_id").count().explain()
+    plan = buf.getvalue()
+    assert plan.count("split(value") == 1
+    assert "Generate inline" in plan

@@ -24,7 +24,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
     The check is ``df.limit(max_rows + 1).count()``: every task stops after
-    ``max_rows + 1`` rows, so it stays cheap even when ``df`` is huge, and
+    ``max_rows + 1`` rows, so its cost is bounded per task (for a side far
+    above the bound it is about one scan of the columns ``df`` needs), and
     the hint is never placed on a side whose size is not known to be bounded.
     Without the hint the join still runs (sort-merge, or a broadcast chosen
     by AQE from runtime sizes).

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from reelscope.sources.schema import DAT_FILES
 from reelscope.sources.tables import Tables
 
+# The field separator of the input files.
 FIELD_SEPARATOR = "::"
 MODES = ("fail", "drop")
 _UTF8 = {"utf8", "utf-8"}

@@ -108,3 +108,21 @@ def test_analyses_match_brute_force(spark, ratings, users, movies):
     assert got == dict(expected)
     direct = {(r.occupation_name, r.genre): r.n for r in a.occupation_genre_counts_direct(t).collect()}
     assert direct == dict(expected)
+
+
+@settings(max_examples=8, deadline=None)
+@given(ratings_st, users_st, movies_st)
+def test_per_band_top_matches_brute_force(spark, ratings, users, movies):
+    movie_rows = [(m, title, g) for m, (title, g) in movies.items()]
+    t = make_tables(spark, ratings, users, movie_rows)
+    rated = [(age, m, r) for u, m, r in ratings for uu, _, age, _, _ in users if uu == u]
+    expected = []
+    for age in sorted({age for age, _, _ in rated}):
+        s = stats([(None, m, r) for a_, m, r in rated if a_ == age])
+        order = sorted(s, key=lambda m: (-s[m][2], m))[:3]
+        expected += [(age, rank, m, s[m][2], s[m][1]) for rank, m in enumerate(order, 1)]
+    got = [
+        (r.age, r.rank, r.movie_id, r.avg_rating, r.n)
+        for r in a.top_avg_per_age(t, k=3).orderBy("age", "rank").collect()
+    ]
+    assert got == expected

@@ -41,10 +41,15 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
     quoting off and a separator that cannot occur, because only it decodes
     charsets; it skips blank lines.
     """
+    return lines_from(spark.read, path, encoding)
+
+
+def lines_from(reader, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``read_lines`` for any reader: ``spark.read`` or ``spark.readStream``."""
     if encoding.lower() in _UTF8:
-        return spark.read.text(path)
+        return reader.format("text").load(path)
     return (
-        spark.read.schema("value string")
+        reader.schema("value string")
         .option("encoding", encoding)
         .option("sep", "\u0000")
         .option("quote", "")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelscope.session import ensure_checkpoint_dir
-from reelscope.sources.dat import parse_records
+from reelscope.sources.dat import lines_from, parse_records
 
 
 def read_dat_stream(
@@ -15,6 +15,7 @@ def read_dat_stream(
     schema: T.StructType,
     mode: str = "drop",
     max_files_per_trigger: int | None = None,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """Streaming DataFrame of the records in new ``::`` files under ``folder``.
 
@@ -22,10 +23,10 @@ def read_dat_stream(
     raised error stops a long-running query.  ``max_files_per_trigger``
     bounds the size of one micro-batch.
     """
-    reader = spark.readStream.format("text")
+    reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return parse_records(reader.load(folder), schema, mode)
+    return parse_records(lines_from(reader, folder, encoding), schema, mode)
 
 
 def checkpoint_location(spark: SparkSession, query_name: str) -> str:

@@ -2,16 +2,17 @@
 
 Four related tables (ratings, users, movies, occupations) go in; each
 analysis is a small composition of DataFrame operators that returns a
-DataFrame.  Nothing is collected to the driver unless a caller asks.
+DataFrame.  No result rows are collected to the driver.
 
 Layout:
 
-* ``sources``   - typed schemas, the ``::`` text reader, the star-schema adapter
+* ``sources``   - typed schemas, the ``::`` text reader/writer, the
+                  star-schema adapter, the materialized layout
 * ``functions`` - pure ``Column`` expressions (genres, title year, title name)
 * ``operators`` - reusable relational building blocks (stats, joins, top-k)
-* ``plans``     - the analyses themselves, plus their SQL twins
+* ``plans``     - the analyses, reports over shared intermediates, SQL twins
 * ``sinks``     - JDBC writer
-* ``streaming`` - intentionally thin; see its docstring
+* ``streaming`` - folder-watching ``::`` source and checkpoint placement
 """
 
 from reelscope.sources.tables import Tables

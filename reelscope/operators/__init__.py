@@ -7,7 +7,7 @@ from reelscope.operators.joins import (
     with_movie,
     with_occupation,
 )
-from reelscope.operators.stats import count_by, rating_stats, rating_totals, row_count
+from reelscope.operators.stats import count_by, count_map, rating_stats, rating_totals, row_count
 from reelscope.operators.topk import by_count, by_mean, top_k, top_k_per_group
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "bounded_broadcast",
     "cohort",
     "count_by",
+    "count_map",
     "explode_genres",
     "rating_stats",
     "rating_totals",

@@ -37,3 +37,19 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
 def row_count(df: DataFrame, name: str = "n") -> DataFrame:
     """A one-row frame with the row count of ``df``; stays lazy."""
     return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def count_map(df: DataFrame, key: str, item: str, name: str = "counts") -> DataFrame:
+    """``key, counts``: per key a ``map<item, bigint>`` of row counts, the
+    reference's per-group map before it is flattened.
+
+    Rows are counted per ``(key, item)`` first (partial aggregation, so a hot
+    key is combined map-side); only then are the counts of one key packed
+    into a map, which therefore holds one entry per distinct item of that
+    key, never one per row.  Use it where the item domain is small (genres
+    per year or per occupation); ``count_by(df, key, item)`` is the flat form.
+    """
+    pairs = count_by(df, key, item)
+    return pairs.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(item), F.col("n")))).alias(name)
+    )

@@ -65,3 +65,13 @@ def test_sink_rows_equal_counts(t):
     sink = a.occupation_genre_sink_rows(t)
     assert sink.columns == ["occ", "mtype", "nums"]
     assert _total(sink, "nums") == _total(a.occupation_genre_counts(t))
+
+
+def test_count_map_equals_flat_counts(t):
+    from reelscope.operators import count_map
+
+    pieces = explode_genres(t.movies.withColumn("y", F.col("movie_id") % 7), "y")
+    packed = count_map(pieces, "y", "genre").collect()
+    flat = {(r.y, r.genre): r.n for r in pieces.groupBy("y", "genre").count().withColumnRenamed("count", "n").collect()}
+    unpacked = {(r.y, g): n for r in packed for g, n in r.counts.items()}
+    assert unpacked == flat

@@ -48,6 +48,7 @@ def count_map(df: DataFrame, key: str, item: str, name: str = "counts") -> DataF
     into a map, which therefore holds one entry per distinct item of that
     key, never one per row.  Use it where the item domain is small (genres
     per year or per occupation); ``count_by(df, key, item)`` is the flat form.
+    ``item`` must not be null: map keys cannot be (an empty genre is ``''``).
     """
     pairs = count_by(df, key, item)
     return pairs.groupBy(key).agg(

@@ -63,3 +63,22 @@ def test_default_location_is_under_checkpoint_dir(spark):
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     base = configured or spark.sparkContext.getCheckpointDir()
     assert default_location(spark, "x") == f"{base.rstrip('/')}/tables/x"
+
+
+def test_hot_user_spans_several_files(spark):
+    from fixtures import make_tables
+    from pyspark.sql import functions as F
+
+    # user 1 holds half of all ratings
+    ratings = [(1, m, 4.0) for m in range(1, 4001)] + [(2 + i % 50, i % 997, 3.0) for i in range(4000)]
+    users = [(u, "F", 1, 0, "z") for u in range(1, 52)]
+    t = make_tables(spark, ratings, users, [(1, "A (1990)", "Drama")])
+    mat = materialize(t, tempfile.mkdtemp(prefix="reelscope-hot-"), ratings_partitions=8)
+    files = (
+        mat.ratings.where(F.col("user_id") == 1)
+        .select(F.input_file_name().alias("f"))
+        .distinct()
+        .count()
+    )
+    assert files >= 3
+    assert mat.ratings.count() == len(ratings)

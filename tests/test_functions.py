@@ -78,3 +78,38 @@ def test_age_band_label(spark):
     df = spark.createDataFrame([(1,), (25,), (56,), (99,)], "age int")
     got = [r.label for r in df.select(age_band_label("age").alias("label")).orderBy("age").collect()]
     assert got == ["Under 18", "25-34", "56+", None]
+
+
+def year_model(title: str, pattern: str) -> tuple[int, str]:
+    import re
+
+    m = re.search(pattern, title)
+    return (int(m.group(2)[1:5]) if m else -1, m.group(1) if m else "")
+
+
+@settings(max_examples=20, deadline=None)
+TITLE_TOKENS = ["Toy", "a", " ", " ", "(1995)", "(2001)", "(95)", "(Se7en)", "X(1999)", "(", ")"]
+
+
+@given(
+    st.lists(
+        st.lists(st.sampled_from(TITLE_TOKENS), max_size=7).map("".join), min_size=1, max_size=40
+    )
+)
+def test_title_year_matches_find_semantics(spark, titles):
+    from reelscope.functions import title_pattern_name
+
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(titles)], "i int, title string")
+    rows = df.select(
+        "i",
+        title_year("title", YEAR_PATTERN_PLAIN).alias("y1"),
+        title_pattern_name("title", YEAR_PATTERN_PLAIN).alias("n1"),
+        title_year("title", YEAR_PATTERN_TWO_WORD).alias("y2"),
+        title_pattern_name("title", YEAR_PATTERN_TWO_WORD).alias("n2"),
+    ).collect()
+    got = {r.i: ((r.y1, r.n1), (r.y2, r.n2)) for r in rows}
+    want = {
+        i: (year_model(s, YEAR_PATTERN_PLAIN), year_model(s, YEAR_PATTERN_TWO_WORD))
+        for i, s in enumerate(titles)
+    }
+    assert got == want

@@ -66,3 +66,10 @@ def test_write_jdbc_reaches_spark_jdbc_writer(spark):
     df = numbered_names(spark, count=3)
     with pytest.raises(Exception, match="(?i)no suitable driver|driver"):
         write_jdbc(df, "jdbc:reelscope-none://nowhere/db", "person", mode="append")
+
+
+def test_write_numbered_names_reaches_spark_jdbc_writer(spark):
+    from reelscope.sinks import write_numbered_names
+
+    with pytest.raises(Exception, match="(?i)no suitable driver|driver"):
+        write_numbered_names(spark, "jdbc:reelscope-none://nowhere/db", count=5, batch_size=2)

@@ -12,7 +12,9 @@ block, and derives every result from it::
 ``keep='persist'`` caches the intermediate on the executors (lost blocks
 are recomputed from lineage); ``keep='checkpoint'`` writes it to the shared
 ``spark.checkpoint.dir`` and cuts the lineage, so a lost executor costs a
-re-read, not a recomputation.  Results equal the single analyses in
+re-read, not a recomputation (the files are removed by Spark's cleaner when
+``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, otherwise by the
+folder's own retention).  Results equal the single analyses in
 ``reelscope.plans.analyses`` (tested).
 """
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelscope.llm.decontaminate import contaminated_pairs
+from reelscope.llm.ngram_join import similar_components
 from reelscope.llm.repetition import repetition_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +23,55 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+# Shared by several oracles: every text's distinct 5-word shingles, lower-cased.
+_SHINGLES = r"""{name}w AS (
+  SELECT {key}, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM {table}),
+{name} AS (
+  SELECT DISTINCT {key}, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' ')) END) AS shingle
+  FROM {name}w)"""
+
+
+@_query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE_SQL["op1_ngram_join"] = (
+    "WITH RECURSIVE " + _SHINGLES.format(name="s", key="doc_id", table="documents") + """,
+size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.other = link.a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY ALL) LEFT JOIN size USING (doc_id)"""
+)
+
+
+@_query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contaminated_pairs(docs, _table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op2_decontamination"] = (
+    "WITH " + _SHINGLES.format(name="d", key="doc_id", table="documents") + ",\n"
+    + _SHINGLES.format(name="b", key="item_id", table="benchmark") + """,
+size AS (SELECT item_id, count(*) AS n FROM b GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_item_shingles, count(*) AS n_shared
+FROM d JOIN b USING (shingle) JOIN size USING (item_id)
+GROUP BY ALL HAVING 100 * count(*) >= 80 * n"""
+)
+
+
 @_query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -30,7 +81,7 @@ _GRAMS = range(5, 11)
 ORACLE_SQL["op5_quality_rules"] = r"""
 WITH w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM documents),
 base AS (
-  SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS word_chars,
+  SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols
   FROM w),
 line AS (
@@ -45,8 +96,8 @@ pos AS (SELECT doc_id, words, generate_subscripts(words, 1) AS i FROM w),
 wlen AS (SELECT doc_id, i, length(words[i]) AS chars FROM pos),
 """ + ",\n".join(
     f"""g{n} AS (
-  SELECT doc_id, unnest(at) AS i FROM (
-    SELECT doc_id, array_to_string(words[i:i+{n - 1}], ' ') AS gram, list(i) AS at
+  SELECT doc_id, unnest(spots) AS i FROM (
+    SELECT doc_id, array_to_string(words[i:i+{n - 1}], ' ') AS gram, list(i) AS spots
     FROM pos WHERE i + {n - 1} <= len(words) GROUP BY ALL HAVING count(*) > 1)),
 c{n} AS (
   SELECT doc_id, count(*) AS covered, sum(chars) AS dup_chars_{n}

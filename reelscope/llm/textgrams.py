@@ -135,20 +135,30 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     return Words(data, rows, starts, ends, first, hashes)
 
 
-def shingles(w: Words, n: int = 5) -> list[np.ndarray]:
-    """Each text's distinct n-word shingles as a sorted array; a text of fewer
-    words has its whole sequence as the one shingle, one without words none."""
+def sequences(w: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-word shingles of all texts in order, and each text's
+    first one.  A text of fewer words has its whole sequence as the one
+    shingle, a text without words has none."""
     at, h = w.gram(n)
-    split = np.searchsorted(at, w.first)
-    out = []
-    for r, count in enumerate(w.counts):
-        if count >= n:
-            s = np.sort(h[split[r] : split[r + 1]])
-            out.append(s if len(s) < 2 else s[np.r_[True, s[1:] != s[:-1]]])
-        elif count:
-            k = int(count)
+    short = np.flatnonzero((w.counts > 0) & (w.counts < n))
+    if len(short):
+        whole = []
+        for r in short:
+            k = int(w.counts[r])
             a = w.first[r]
-            out.append(mix((w.hashes[a : a + k] * _STEP[:k]).sum(keepdims=True, dtype=_U) + _U(k)))
-        else:
-            out.append(np.zeros(0, dtype=_U))
+            whole.append((w.hashes[a : a + k] * _STEP[:k]).sum(dtype=_U) + _U(k))
+        at = np.r_[at, w.first[short]]
+        h = np.r_[h, mix(np.array(whole, dtype=_U))]
+        order = np.argsort(at, kind="stable")
+        at, h = at[order], h[order]
+    return h, np.searchsorted(at, w.first)
+
+
+def shingles(w: Words, n: int = 5) -> list[np.ndarray]:
+    """Each text's distinct n-word shingles as a sorted array."""
+    h, first = sequences(w, n)
+    out = []
+    for a, b in zip(first[:-1], first[1:]):
+        s = np.sort(h[a:b])
+        out.append(s if len(s) < 2 else s[np.r_[True, s[1:] != s[:-1]]])
     return out

@@ -11,15 +11,23 @@ that many prefixes hold last and are otherwise independent hash orders:
 
 1. Every text is hashed; documents with equal sets collapse into one
    representative (the smallest id).
-2. Tokens in more than ``HEAVY`` first prefixes are counted over all
-   documents and laid into a Bloom filter of at most 16 MB.  A false positive
-   only moves a token to the back of the order, in every document alike, so
-   results never depend on it.
-3. Prefix tokens under the final order are posted; only tokens posted twice
-   live on.
-4. Within a posting list every document is first paired with the list's
-   smallest one only.  Pairs that share enough of their prefixes are
-   verified, which joins groups of near copies at linear cost.
+2. Prefix tokens are counted over all documents.  Those in two or more
+   prefixes, in eight or more and so on are laid into one Bloom filter a step;
+   the number of filters that hold a token is its level, and every order goes
+   by level first, so that a token's position tells how much of a document
+   few others share.  A filter has at most ``BLOOM_BITS`` bits (16 MB) however
+   many tokens there are; where that is too few, the first steps are left
+   out.  A false positive moves a token alike in every document, so results
+   never depend on the filters.  Documents whose prefix is rich in shared
+   tokens, possible near copies, have all their tokens counted among
+   themselves for it.
+3. Prefix tokens under the final order are counted again; those in two
+   prefixes are posted (a second bounded filter keeps most others from
+   travelling, an equi-join makes it exact).
+4. Within a posting list every document is first paired with one only, the
+   one with the fewest tokens of its own, such as the original of a group of
+   near copies.  Pairs that share enough of their prefixes are verified, which
+   joins such groups at linear cost.
 5. Exact completion: lists whose documents lie in one component are done.  In
    the others all pairs from different components are formed, except among
    the list's largest component, under the size and position bounds; those
@@ -44,7 +52,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelscope.llm.components import connected_components
@@ -53,9 +61,13 @@ from reelscope.llm.textgrams import mix, shingles, slices, words
 
 SHINGLE = 5
 PERCENT = 80
-# Tokens in the prefixes of more documents than this go last in every order.
-HEAVY = 8
+# Counts at which a token's level rises.
+LEVELS = tuple(2 * 4**k for k in range(10))
+# Size bound of a broadcast filter of shared tokens, and the bits it spends on each.
 BLOOM_BITS = 1 << 27
+BITS_PER_TOKEN = 16
+# Share of the first prefix, in percent, that makes a document a possible near copy.
+RICH_PERCENT = 30
 # Share of the shorter prefix, in percent, that a first-round pair must hold in common.
 PIVOT_PERCENT = 30
 # Ids are broadcast up to this many (32 MB at most as a hash table of longs); beyond, a shuffle join.
@@ -78,12 +90,18 @@ def _in_bloom(tokens: np.ndarray, bloom: np.ndarray) -> np.ndarray:
     return found
 
 
-def _prefix(tokens: np.ndarray, heavy: np.ndarray, seed: np.uint64 | None = None) -> np.ndarray:
-    """The first tokens in hash order (of ``seed``; None: their own), heavy ones last."""
-    if seed is not None:
-        order = np.argsort(mix(tokens ^ seed), kind="stable")
-        tokens, heavy = tokens[order], heavy[order]
-    return np.r_[tokens[~heavy], tokens[heavy]][: _prefix_length(len(tokens))]
+def _level(tokens: np.ndarray, blooms: list[np.ndarray]) -> np.ndarray:
+    """How many of the filters hold each token."""
+    level = np.zeros(len(tokens), dtype=np.int64)
+    for bloom in blooms:
+        level += _in_bloom(tokens, bloom)
+    return level
+
+
+def _prefix(tokens: np.ndarray, level: np.ndarray, seed: np.uint64 | None = None) -> np.ndarray:
+    """The first tokens by level, then in hash order (of ``seed``; None: their own)."""
+    key = tokens if seed is None else mix(tokens ^ seed)
+    return tokens[np.lexsort((key, level))[: _prefix_length(len(tokens))]]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -115,35 +133,80 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _prefixes(bloom):
-    """doc_id, set size and prefix under the final order, once per distinct set of a slice."""
+def _rich(bloom):
+    """Ids of documents whose first prefix holds many shared tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, rows, _ = _flat(batch.column("prefix"))
+            shared = np.bincount(rows[_in_bloom(tokens.view(np.uint64), bloom.value)], minlength=batch.num_rows)
+            size = np.bincount(rows, minlength=batch.num_rows)
+            keep = (size > 0) & (100 * shared >= RICH_PERCENT * size)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(pa.array(keep))], names=["doc_id"])
+
+    return run
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        sets = shingles(words(batch.column("text"), lower=True), SHINGLE)
+        yield pa.RecordBatch.from_arrays([_lists(sets)], names=["tokens"])
+
+
+def _prefixes(blooms):
+    """doc_id, set size, number of tokens nobody else is known to hold, and prefix under
+    the final order, once per distinct set of a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingles(words(batch.column("text"), lower=True), SHINGLE)
             once = {_signature(s): r for r, s in reversed(list(enumerate(sets))) if len(s)}
             rows = sorted(once.values())
-            found = [_prefix(sets[r], _in_bloom(sets[r], bloom.value)) for r in rows]
+            levels = [_level(sets[r], blooms.value) for r in rows]
+            found = [_prefix(sets[r], level) for r, level in zip(rows, levels)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(rows, pa.int64())),
                     pa.array([len(sets[r]) for r in rows], pa.int64()),
+                    pa.array([int((level == 0).sum()) for level in levels], pa.int64()),
                     _lists(found),
                 ],
-                names=["doc_id", "n", "prefix"],
+                names=["doc_id", "n", "own", "prefix"],
             )
 
     return run
 
 
-def _full(bloom):
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All values of a list column, and each one's row and place in its list."""
+    offsets = lists.offsets.to_numpy()
+    values = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+    rows = np.repeat(np.arange(len(lists)), np.diff(offsets))
+    return values, rows, np.arange(len(values)) + offsets[0] - offsets[rows]
+
+
+def _postings(bloom):
+    """One row per prefix token that the filter of shared tokens does not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, rows, places = _flat(batch.column("prefix"))
+            found = np.flatnonzero(_in_bloom(tokens.view(np.uint64), bloom.value))
+            row = pa.array(rows[found])
+            columns = [*(batch.column(c).take(row) for c in ("doc_id", "n", "own")), pa.array(places[found].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(tokens[found])], names=["doc_id", "n", "own", "pos", "token"])
+
+    return run
+
+
+def _full(blooms):
     """doc_id, set size, prefixes under the other orders, and the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingles(words(batch.column("text"), lower=True), SHINGLE)
-            heavy = [_in_bloom(s, bloom.value) for s in sets]
-            other = [_lists([_prefix(s, h, seed) if len(s) else s for s, h in zip(sets, heavy)]) for seed in _ORDER_SEEDS]
+            levels = [_level(s, blooms.value) for s in sets]
+            other = [_lists([_prefix(s, x, seed) if len(s) else s for s, x in zip(sets, levels)]) for seed in _ORDER_SEEDS]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *other, _lists(sets)],
                 names=["doc_id", "n", "second", "third", "tokens"],
@@ -152,17 +215,16 @@ def _full(bloom):
     return run
 
 
-def _bloom(heavy: DataFrame) -> np.ndarray:
-    """A Bloom filter of ``heavy.token``: at most ``BLOOM_BITS`` bits, whatever the number of tokens."""
-    count = heavy.count()
+def _bloom(tokens: DataFrame) -> np.ndarray:
+    """A Bloom filter over ``tokens.token``, of at most ``BLOOM_BITS`` bits however many they are."""
+    count = tokens.count()
     if not count:
         return np.zeros(0, dtype=np.uint8)
-    bits = min(BLOOM_BITS, max(1 << 16, 1 << (16 * count - 1).bit_length()))
-    bit = F.explode(
-        F.array(*(F.shiftrightunsigned("token", shift).bitwiseAND(F.lit(bits - 1)) for shift in (0, 32)))
-    )
+    bits = min(BLOOM_BITS, max(1 << 16, 1 << (BITS_PER_TOKEN * count - 1).bit_length()))
+    places = F.array(*(F.shiftrightunsigned("token", shift).bitwiseAND(F.lit(bits - 1)) for shift in (0, 32)))
     rows = (
-        heavy.select(bit.alias("bit"))
+        tokens.select(F.explode(places).alias("bit"))
+        .select((F.col("bit") + 1).alias("bit"))  # the bitmap functions count from 1
         .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
         .collect()
@@ -170,25 +232,33 @@ def _bloom(heavy: DataFrame) -> np.ndarray:
     out = np.zeros(bits // 8, dtype=np.uint8)
     for row in rows:  # at most BLOOM_BITS / 32768 rows of 4 KB
         at = (row.bucket - 1) * 4096
-        part = np.frombuffer(row.bits, np.uint8)[: len(out) - at]
-        out[at : at + len(part)] = part
+        out[at : at + 4096] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def _blooms(counts: DataFrame) -> list[np.ndarray]:
+    """One filter for each of ``LEVELS``, over the tokens of ``counts`` that are as frequent."""
+    at = [F.sum((F.col("count") >= k).cast("bigint")) for k in LEVELS]
+    held = counts.agg(*at).first()
+    out = []
+    for k, tokens in zip(LEVELS, held):
+        if tokens and tokens * BITS_PER_TOKEN <= BLOOM_BITS:
+            out.append(_bloom(counts.where(F.col("count") >= k)))
     return out
 
 
-def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with an id in ``ids``; ids travel to the texts while their number is bounded."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_semi")
+def _bounded(ids: DataFrame) -> DataFrame:
+    """A written table of ids, broadcast to the texts while their number is bounded."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, bloom, stage: Staging, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, blooms, stage: Staging, label: str) -> DataFrame:
     """Links among ``pairs`` (a, na, b, nb): the other orders' prefixes first, then the sets."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     ids = stage.write(ids, f"{label}-ids")
     full = stage.write(
-        _of_ids(docs, ids).mapInArrow(
-            _full(bloom),
+        docs.join(_bounded(ids), "doc_id", "left_semi").mapInArrow(
+            _full(blooms),
             "doc_id bigint, n bigint, second array<bigint>, third array<bigint>, tokens array<bigint>",
         ),
         f"{label}-sets",
@@ -222,40 +292,62 @@ def similar_components(docs: DataFrame) -> DataFrame:
     stage = Staging(spark, "ngram-join")
     docs = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
     sets = stage.write(docs.mapInArrow(_sets, "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>"), "hashed")
-    heavy = stage.write(
-        sets.select(F.explode("prefix").alias("token")).groupBy("token").count().where(F.col("count") > HEAVY).select("token"),
-        "heavy",
-    )
-    sets = stage.write(sets.drop("prefix"), "sets")
-    stage.drop("hashed")
-    bloom = spark.sparkContext.broadcast(_bloom(heavy))
-    known = docs.where("doc_id is not null")
-
     # documents with equal sets
     first = stage.write(
         sets.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "first"
     )
     copies = stage.write(
-        sets.where("n > 0").join(first, ["n", "s1", "s2"]).where("doc_id <> rep").select("doc_id", "n", "rep").distinct(), "copies"
+        sets.where("n > 0").select("doc_id", "n", "s1", "s2").join(first, ["n", "s1", "s2"])
+        .where("doc_id <> rep").select("doc_id", "n", "rep").distinct(),
+        "copies",
+    )
+
+    # tokens that several documents hold
+    known = docs.where("doc_id is not null")
+    counts = stage.write(
+        sets.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1"), "counts"
+    )
+    bloom = spark.sparkContext.broadcast(_bloom(counts))
+    rich = sets.select("doc_id", "prefix").where("doc_id is not null").mapInArrow(_rich(bloom), "doc_id bigint")
+    rich = stage.write(rich.join(copies.select("doc_id"), "doc_id", "left_anti").distinct(), "rich")
+    among = (
+        known.join(_bounded(rich), "doc_id", "left_semi")
+        .mapInArrow(_tokens, "tokens array<bigint>")
+        .select(F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .count()
+        .where("count > 1")
     )
+    counts = stage.write(counts.unionByName(among), "every-count")
+    blooms = spark.sparkContext.broadcast(_blooms(counts))
+    sets = stage.write(sets.select("doc_id", "n"), "sizes")
+    stage.drop("hashed")
 
     # posting lists of tokens that two documents hold
-    prefixes = stage.write(known.mapInArrow(_prefixes(bloom), "doc_id bigint, n bigint, prefix array<bigint>"), "prefixes")
-    postings = prefixes.select("doc_id", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = stage.write(postings.groupBy("token").count().where("count > 1").select("token"), "shared")
+    prefixes = stage.write(
+        known.mapInArrow(_prefixes(blooms), "doc_id bigint, n bigint, own bigint, prefix array<bigint>"), "prefixes"
+    )
+    shared = stage.write(
+        prefixes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared"
+    )
+    postings = prefixes.mapInArrow(
+        _postings(spark.sparkContext.broadcast(_bloom(shared))),
+        "doc_id bigint, n bigint, own bigint, pos int, token bigint",
+    )
     alive = stage.write(
         postings.join(shared, "token")
         .join(copies, ["doc_id", "n"], "left")
-        .select("token", F.coalesce("rep", "doc_id").alias("id"), "n", "pos")
+        .select("token", F.coalesce("rep", "doc_id").alias("id"), "n", "own", "pos")
         .distinct(),
         "alive",
     )
+    stage.drop("prefixes")
 
-    # first round: each list's documents against its smallest
+    # first round: each list's documents against the one with the fewest tokens of its own
     lists = stage.write(
         alive.groupBy("token")
-        .agg(F.min(F.struct("id", "n")).alias("least"), F.max("id").alias("last"))
-        .where("least.id <> last")
+        .agg(F.min(F.struct("own", "id", "n")).alias("least"), F.min("id").alias("first"), F.max("id").alias("last"))
+        .where("first <> last")
         .select("token", F.col("least.id").alias("a"), F.col("least.n").alias("na")),
         "lists",
     )
@@ -270,7 +362,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
         .where(f"100 * common >= {PIVOT_PERCENT} * {prefix}")
         .drop("common")
     )
-    links = _verified(stage.write(near, "near"), known, bloom, stage, "near")
+    links = _verified(stage.write(near, "near"), known, blooms, stage, "near")
     component = connected_components(links, stage, "near")
 
     # completion: pairs across components
@@ -302,10 +394,33 @@ def similar_components(docs: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    rest = _verified(stage.write(pairs, "pairs"), known, bloom, stage, "rest")
+    rest = _verified(stage.write(pairs, "pairs"), known, blooms, stage, "rest")
 
     every = links.union(rest).union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     component = connected_components(every, stage, "all").withColumnRenamed("node", "doc_id")
     return sets.join(component, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """``docs`` with the smallest ``doc_id`` of every group of linked documents only.
+
+    All columns stay.  Of rows that repeat a ``doc_id`` one stays (the least
+    by a hash of its text); rows without ``doc_id`` stay.
+    """
+    stage = Staging(docs.sparkSession, "ngram-groups")
+    placed = stage.write(similar_components(docs), "components")
+    copies = placed.where("component_id < doc_id").select("doc_id").distinct()
+    repeated = placed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    copies, repeated = stage.write(copies, "copies"), stage.write(repeated, "repeated")
+    kept = docs.join(_bounded(copies), "doc_id", "left_anti")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    least = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col("text").cast("string")))
+    place = "place"
+    while place in docs.columns:
+        place = "_" + place
+    again = kept.join(_bounded(repeated), "doc_id", "left_semi").withColumn(place, F.row_number().over(least))
+    once = kept.join(_bounded(repeated), "doc_id", "left_anti")
+    return once.select(*docs.columns).unionByName(again.where(F.col(place) == 1).select(*docs.columns))

@@ -1,0 +1,26 @@
+import random
+
+from reelscope.llm.components import connected_components
+from reelscope.llm.staging import Staging
+from tests.llm.cases import groups
+
+
+def run(spark, links):
+    df = spark.createDataFrame(links, "a bigint, b bigint")
+    return {r.node: r.component for r in connected_components(df, Staging(spark, "test")).collect()}
+
+
+def test_chain_star_and_random_graphs(spark):
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(7, i) for i in range(200, 260)]
+    loose = [(rng.randrange(1000, 1090), rng.randrange(1000, 1090)) for _ in range(60)]
+    links = chain + star + loose
+    rng.shuffle(links)
+    proper = [(a, b) for a, b in links if a != b]
+    assert run(spark, links) == groups({n for e in proper for n in e}, proper)
+
+
+def test_no_links_loops_and_nulls(spark):
+    assert run(spark, []) == {}
+    assert run(spark, [(1, 1), (None, 2), (3, None), (5, 4), (4, 5), (5, 4)]) == {4: 4, 5: 4}

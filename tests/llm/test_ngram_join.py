@@ -1,0 +1,116 @@
+import random
+
+import pytest
+
+from reelscope.llm import ngram_join
+from reelscope.llm.ngram_join import one_of_each_group, similar_components
+from tests.llm.cases import EDGE_TEXTS, edge_docs, groups, shingle_set, table
+
+
+def brute(rows):
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    links = [
+        (a, b)
+        for x, (a, s) in enumerate(sets)
+        for b, t in sets[x + 1 :]
+        if s and t and a is not None and b is not None and 100 * len(s & t) >= 80 * len(s | t)
+    ]
+    label = groups({i for i, _ in rows if i is not None}, links)
+    return sorted(((i, len(s), label.get(i)) for i, s in sets), key=repr)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def corpus(seed, bases=12, copies=9):
+    """Near copies on either side of the limit, chains of them, shared passages, exact copies."""
+    rng = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    passage = rng.choices(vocabulary, k=60)
+    rows = []
+    for _ in range(bases):
+        text = rng.choices(vocabulary, k=rng.choice([6, 30, 120, 250]))
+        if rng.random() < 0.5:
+            text[len(text) // 2 : len(text) // 2] = passage
+        for _ in range(rng.randrange(1, copies)):
+            rows.append(" ".join(text).title() if rng.random() < 0.3 else " ".join(text))
+            if rng.random() < 0.7:  # the next copy starts from this one, so copies form chains
+                text = list(text)
+                for _ in range(max(1, len(text) // rng.choice([40, 60, 90]))):
+                    text[rng.randrange(len(text))] = rng.choice(vocabulary)
+    ids = rng.sample(range(10_000), len(rows))
+    return list(zip(ids, rows))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_corpus_against_brute_force(spark, seed):
+    rows = corpus(seed)
+    want = brute(rows)
+    assert result(similar_components(table(spark, rows))) == want
+    sizes = {c for _, _, c in want}
+    assert 1 < len(sizes) < len(want)
+
+
+def test_limit_is_exact(spark):
+    base = [f"x{i}" for i in range(44)]  # 40 shingles
+    rows = [(1, " ".join(base))]
+    for k in range(1, 9):  # the last k words differ
+        rows.append((100 + k, " ".join(base[: 44 - k] + [f"y{k}_{i}" for i in range(k)])))
+    assert result(similar_components(table(spark, rows))) == brute(rows)
+
+
+def test_large_group_and_common_passage(spark):
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = []
+    for i in range(300):  # a third near copies, a third exact copies, a third that share a passage
+        if i % 3 == 0:
+            text = list(base)
+            for _ in range(rng.randrange(4)):
+                text[rng.randrange(150)] = f"r{rng.randrange(10**6)}"
+            rows.append((i, " ".join(text)))
+        elif i % 3 == 1:
+            rows.append((i, "the very same text of one large group of copies"))
+        else:
+            rows.append((i, passage + " " + " ".join(f"u{i}_{k}" for k in range(200))))
+    assert result(similar_components(table(spark, rows))) == brute(rows)
+
+
+def test_results_do_not_depend_on_the_filter(spark, monkeypatch):
+    rows = corpus(4, bases=6)
+    monkeypatch.setattr(ngram_join, "BLOOM_BITS", 1 << 16)
+    monkeypatch.setattr(ngram_join, "BITS_PER_TOKEN", 1 << 12)
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
+    assert result(similar_components(table(spark, rows))) == brute(rows)
+
+
+def test_filter_holds_every_token(spark):
+    import numpy as np
+
+    tokens = np.random.default_rng(1).integers(-(2**63), 2**63, 5000)
+    bloom = ngram_join._bloom(table(spark, [(int(t),) for t in tokens], "token bigint"))
+    assert ngram_join._in_bloom(tokens.view(np.uint64), bloom).all()
+    other = np.random.default_rng(2).integers(-(2**63), 2**63, 5000).view(np.uint64)
+    assert ngram_join._in_bloom(other, bloom).mean() < 0.05
+
+
+def test_edge_rows(spark):
+    assert result(similar_components(edge_docs(spark))) == brute(EDGE_TEXTS)
+    assert similar_components(edge_docs(spark, empty=True)).collect() == []
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    rows = [(5, "a b c d e f"), (5, "g h i j k l"), (9, "a b c d e f"), (3, "g h i j k l")]
+    got = {(r.doc_id, r.component_id) for r in similar_components(table(spark, rows)).collect()}
+    assert got == {(5, 3), (9, 3), (3, 3)}
+
+
+def test_one_of_each_group(spark):
+    docs = edge_docs(spark)
+    kept = one_of_each_group(docs)
+    assert kept.schema == docs.schema
+    got = sorted((r.doc_id for r in kept.collect()), key=repr)
+    assert got == sorted([1, 2, 3, 4, 6, 7, 8, 10, 11, None, None], key=repr)
+    assert one_of_each_group(edge_docs(spark, empty=True)).collect() == []

@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelscope.llm.chat_format import digest_conversations, format_conversations
 from reelscope.llm.decontaminate import contaminated_pairs
+from reelscope.llm.html_text import extract_main_text
+from reelscope.llm.masked_lm import score_documents
 from reelscope.llm.ngram_join import similar_components
+from reelscope.llm.packing import pack_documents
+from reelscope.llm.pii_bootstrap import find_personal_data
+from reelscope.llm.quality_model import fit_quality, score_quality
 from reelscope.llm.repetition import repetition_rules
+from reelscope.llm.url_rules import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -18,6 +25,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
     return f
@@ -72,6 +86,17 @@ GROUP BY ALL HAVING 100 * count(*) >= 80 * n"""
 )
 
 
+@_query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -117,3 +142,82 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * dup_line_chars <= 30 * line_chars
        """ + " ".join(f"AND 100 * dup_chars_{n} <= 20 * word_chars" for n in _GRAMS) + r""" AS kept
 FROM m"""
+
+
+@_query
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.sql(
+        "SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')"
+        " AS t(conv_id, turn, role, text)"
+    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digest_conversations(format_conversations(turns.unionByName(own)))
+
+
+ORACLE_SQL["op6_chat_formatting"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, length(regexp_replace(text, '([<>\[\\])', '\1\1', 'g'))
+    + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 ELSE 8 END AS chars
+  FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars,
+    string_agg(role, ',' ORDER BY turn, role, text) AS roles
+  FROM e GROUP BY ALL)
+SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
+  regexp_full_match(roles, 'system|(system,)?user(,assistant,user)*(,assistant)?') AS valid
+FROM g"""
+
+
+@_query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+_RULE_VALUES = ", ".join(str(r) for r in _RULES)
+
+
+@_query
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULE_VALUES} AS t(host, path, verdict)")
+    return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+ORACLE_SQL["op8_url_filters"] = f"""
+WITH r(rhost, rpath, verdict) AS (VALUES {_RULE_VALUES}),
+rest AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest),
+best AS (
+  SELECT host, path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+    arg_max(verdict, length(rhost || rpath)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM u) u
+  JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN best USING (host, path)"""
+
+
+@_query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())

@@ -1,0 +1,91 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from reelscope.llm.chat_format import OTHER, TEMPLATE, digest_conversations, escape, format_conversations, read_turns, unescape
+from tests.llm.cases import LONG, table
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, valid boolean"
+PIECES = ["</s>", "[INST] ", "[/INST] ", "<s>", "\\", "<", "[", "]", ">", "\\\\", "<<SYS>>\n", "<\\", "x", "\n", "é", "$1", "<<ROLE a>>\n"]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def formatted_by_hand(turns):
+    def safe(text):
+        return "".join(c + "\\" if c in "<>[\\" else c for c in text)
+
+    out = ""
+    for role, text in turns:
+        if role in TEMPLATE:
+            out += TEMPLATE[role].before + safe(text) + TEMPLATE[role].after
+        else:
+            out += OTHER[0][0] + safe(role) + OTHER[0][1] + safe(text) + OTHER[1]
+    return out
+
+
+CASES = {
+    1: [("system", "be good"), ("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")],
+    2: [("user", ""), ("assistant", ""), ("user", "again")],
+    3: [("assistant", "first"), ("user", "late")],
+    4: [("user", "a"), ("user", "b")],
+    5: [("tool", "<<ROLE x>>\n"), ("<</ROLE>>\n", "odd [name]"), ("", "no role")],
+    6: [("user", LONG), ("assistant", "\\" * 5000 + "<" * 5000)],
+    7: [("system", "only")],
+    **{10 + i: [("user", p + q), ("assistant", q + p + p)] for i, (p, q) in enumerate((p, q) for p in PIECES for q in PIECES)},
+}
+VALID = {1, 2, 6, 7, *range(10, 10 + len(PIECES) ** 2)}
+
+
+def rows():
+    return [(c, t, r, x, None) for c, turns in CASES.items() for t, (r, x) in enumerate(turns)]
+
+
+def test_round_trip_and_loss(spark):
+    out = format_conversations(table(spark, rows()[::-1], SCHEMA))
+    for r in out.select("*", read_turns(F.col("formatted")).alias("back")).collect():
+        turns = CASES[r.conv_id]
+        assert r.formatted == formatted_by_hand(turns)
+        assert [(b.role, b.text) for b in r.back] == turns
+        assert "".join(s.text for s in r.segments) == r.formatted
+        marked = [r.formatted[s.start : s.start + s.length] for s in r.loss_spans]
+        assert marked == [s.text for s in r.segments if s.loss]
+        assert r.valid == (r.conv_id in VALID)
+    got = {r.conv_id: r for r in digest_conversations(out).collect()}
+    assert set(got) == set(CASES)
+    for c, turns in CASES.items():
+        loss = "".join(t for role, t in turns if role == "assistant")
+        assert got[c].n_turns == len(turns)
+        assert got[c].turns_sha256 == sha("".join(f"{r}\n{t}\n" for r, t in turns))
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), sha(loss))
+        assert got[c].formatted_chars == len(formatted_by_hand(turns))
+
+
+def test_nulls_ties_repeats_and_empty(spark):
+    given = [
+        (None, 0, "user", "x", None),
+        (1, 0, None, None, None),
+        (2, 0, "user", "b", True),
+        (2, 0, "user", "a", True),
+        (2, 0, "user", "a", True),
+        (2, None, "system", "s", True),
+    ]
+    got = {r.conv_id: r for r in digest_conversations(format_conversations(table(spark, given, SCHEMA))).collect()}
+    assert set(got) == {None, 1, 2}
+    assert got[1].turns_sha256 == sha("\n\n") and not got[1].valid
+    assert got[2].turns_sha256 == sha("system\ns\nuser\na\nuser\na\nuser\nb\n")
+    assert format_conversations(table(spark, [], SCHEMA)).collect() == []
+
+
+@settings(max_examples=25, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(PIECES), max_size=8).map("".join), min_size=1, max_size=30))
+def test_escape_is_reversible_and_hides_controls(spark, texts):
+    df = table(spark, list(enumerate(texts)))
+    for r in df.select("text", escape(F.col("text")).alias("safe"), unescape(escape(F.col("text"))).alias("back")).collect():
+        assert r.back == r.text
+        for part in TEMPLATE.values():
+            assert part.before.strip() not in r.safe and part.after.strip() not in r.safe

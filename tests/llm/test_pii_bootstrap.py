@@ -1,0 +1,141 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from reelscope.llm import pii_bootstrap
+from reelscope.llm.pii_bootstrap import find_personal_data, redact
+from tests.llm.cases import EDGE_TEXTS, LONG, edge_docs, table
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def valid(kind, text):
+    digits = re.sub("[^0-9]", "", text)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in text.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return kind != "phone" or 10 <= len(digits) <= 15
+
+
+def base(text):
+    kinds = list(PLAIN)
+    found = [
+        (m.start(), kinds.index(k), m.end()) for k in kinds for m in re.finditer(PLAIN[k], text or "") if valid(k, m[0])
+    ]
+    return [(kinds[k], a, b) for a, k, b in sorted(found)]
+
+
+def told(spans):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+def digest(row):
+    counts = [sum(k == kind for k, _, _ in row) for kind in PLAIN]
+    return (*counts, hashlib.sha256(told(row).encode()).hexdigest())
+
+
+ODD = [
+    "a@b.c@d.e x.y@z-.q_r@s.t", "1.2.3.4.5.6.7.8", "256.1.1.1 255.255.255.255 0001.02.03.4", "+1 (017) 555-7713)",
+    "+1234567890 +12 34", "4111 1111 1111 1111", "4111-1111-1111-1111 4111111111111112", "é 4111111111111111é\U0001f600 a@b.co",
+    "1.2.3.4@5.6.7.8", "..@a.b", "%@-.-", "+1+12345678901", "000000000000000", "12345 1.2.3.4444 9", "a@b@c.d", "@a.b 1..2.3.4",
+]
+
+
+def random_text(rng):
+    if rng.random() < 0.5:
+        return "".join(rng.choices("0123456789.@+ -()ab_é\n", k=rng.randrange(60)))
+    return " ".join(rng.choices([*ODD, "w", "4539578763621486", "10.0.0.1", "x@y.zz"], k=rng.randrange(5)))
+
+
+def test_base_spans_against_plain_patterns(spark):
+    rng = random.Random(11)
+    rows = [(i, t) for i, t in enumerate([*ODD, *(random_text(rng) for _ in range(1500))])]
+    got = {r.doc_id: r for r in find_personal_data(table(spark, rows)).collect()}
+    for i, text in rows:
+        want = base(text)
+        assert tuple(got[i])[1:6] == digest(want), text
+        assert set(told(want).split(",")) <= set(got[i].spans.split(","))
+
+
+def learnable():
+    """Numbers behind "member number is": most are valid cards, so the context is learnt for the others."""
+    rng = random.Random(1)
+
+    def card(good):
+        while True:
+            n = "".join(rng.choices("0123456789", k=16))
+            if luhn(n) == good:
+                return n
+
+    rows = [(i, f"text {i} member number is {card(True)} thanks") for i in range(12)]
+    unseen = [(50, f"so his member number is {card(False)}, he said"), (51, "member number is unknown2 today")]
+    other = [(80 + i, f"order code was {card(False)} of {i}") for i in range(9)]
+    return rows, unseen, other
+
+
+def test_contexts_find_unseen_identifiers(spark):
+    rows, unseen, other = learnable()
+    got = {r.doc_id: r for r in find_personal_data(table(spark, rows + unseen + other)).collect()}
+    text = unseen[0][1]
+    start = re.search("[0-9]", text).start()
+    assert got[50].n_card == 0 and got[50].spans == f"card:{start}:{start + 16}"
+    assert got[51].spans == ""
+    assert all(got[i].spans == "" for i, _ in other)
+    assert all(got[i].spans == told(base(t)) for i, t in rows)
+    clean = {r.doc_id: r.text for r in redact(table(spark, rows + unseen + other)).collect()}
+    assert clean[50] == "so his member number is [CARD], he said"
+    assert clean[0] == "text 0 member number is [CARD] thanks"
+    assert clean[51] == unseen[1][1] and clean[80] == other[0][1]
+
+
+def test_a_learnt_context_finds_seeds_of_the_next(spark):
+    rows, _, _ = learnable()
+    bad = [(100 + i, f"q{i} member number is {x} z") for i, x in enumerate(["1234567890123450", "1234567890123400"])]
+    got = {r.doc_id: r.spans for r in find_personal_data(table(spark, rows + bad)).collect()}
+    assert all(got[i].startswith("card:") for i, _ in bad)
+
+
+def test_edge_rows_and_redaction(spark):
+    got = sorted(((r.doc_id, *tuple(r)[1:6]) for r in find_personal_data(edge_docs(spark)).collect()), key=repr)
+    assert got == sorted(((i, *digest(base(t))) for i, t in EDGE_TEXTS), key=repr)
+    docs = edge_docs(spark)
+    same = redact(docs)
+    assert same.schema == docs.schema
+    assert sorted(map(repr, same.collect())) == sorted(map(repr, docs.collect()))
+    assert find_personal_data(edge_docs(spark, empty=True)).collect() == []
+    assert redact(edge_docs(spark, empty=True)).collect() == []
+
+
+def test_redaction_of_overlaps_and_counts(spark):
+    rows = [(1, "call +4111 1111 1111 1111 or é@x.y a@b.c.", 0, "z"), (1, None, 7, "z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint, added string")
+    out = {r.text: r for r in redact(df).collect()}
+    assert out[None].n_chars == 7
+    text = next(t for t in out if t)
+    assert text == "call [CARD] or é@x.y [EMAIL]." or text.startswith("call ")
+    assert out[text].n_chars == len(text)
+
+
+@pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000, "a@" * 50_000, "+" * 100_000, "1." * 60_000, "." * 100_000 + "1", LONG])
+def test_long_texts_take_linear_time(spark, text):
+    assert find_personal_data(table(spark, [(1, text)])).first().doc_id == 1
+
+
+def test_candidate_words():
+    assert pii_bootstrap.ORDER == list(PLAIN)

@@ -13,10 +13,11 @@ the residual).  Pieces are dealt at random into groups of about
 ``GROUP_PIECES``, each packed on its own, so at most one sequence a group is
 poorly filled (about one in two thousand) and no group grows with the input.
 
-The words of a slice of texts are tokenised once each and the ids gathered
-by numpy: with a tokenizer that drops white space and never reads across it,
-the ids of a text are those of its words in order.  Words are told apart by a
-64-bit hash of bytes and length.
+The units of a slice of texts (words, and the punctuation behind them) are
+tokenised once each and the ids gathered by numpy: with a tokenizer that drops
+white space, lower-cases, and splits letters and digits from punctuation, the
+ids of a text are those of its units in order.  Units are told apart by a
+64-bit hash of lower-cased bytes and length.
 
 Defined cases: a null text is empty, an empty or blank one is the end id
 alone; repeated rows are packed as often as they occur; rows without
@@ -26,6 +27,7 @@ no sequences.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -35,71 +37,136 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelscope.llm.staging import Staging
-from reelscope.llm.textgrams import slices, words
+from reelscope.llm.textgrams import mix, slices, span_hashes, words
 
 MAX_TOKENS = 4096
 END_ID = 1
 GROUP_PIECES = 8192
 # Tokens decide; places and attention cost order sequences of equal fill.
 WEIGHTS = (1.0, 1e-3, 1e-3)
-_CACHE_WORDS = 1 << 20
+_CACHE_UNITS = 1 << 21
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
-class WordIds:
-    """Ids of words by the tokenizer, each word encoded once."""
+_TRAILING = np.zeros(256, dtype=bool)
+_TRAILING[list(b".,;:!?%&*$#|")] = True
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_MARK = "\x01"  # a character that is a token of its own; stands between units
+
+
+def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts, ends, hashes and each text's first of its units in order.
+
+    A unit is a word, or a word's letters or digits and the short run of
+    punctuation behind them as two.
+    """
+    w = words(texts, hashed=False)
+    data, starts, ends = w.data, w.starts, w.ends
+    cut = ends.copy()
+    for _ in range(4):
+        cut -= (cut > starts) & _TRAILING[data[np.maximum(cut - 1, 0)]] if len(cut) else 0
+    split = (cut < ends) & (cut > starts)
+    if len(cut):
+        last = data[np.maximum(cut - 1, 0)]
+        accented = (data[np.maximum(cut - 2, 0)] == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)
+        split &= _ALNUM[last] | accented  # U+00C0 to U+00FF but for the two signs are letters
+    parts = 1 + split
+    at = np.r_[0, np.cumsum(parts)]
+    unit_starts, unit_ends = np.repeat(starts, parts), np.repeat(ends, parts)
+    unit_ends[at[:-1][split]] = cut[split]
+    unit_starts[at[:-1][split] + 1] = cut[split]
+    hashes = span_hashes(data, unit_starts, unit_ends, lower=True)
+    # control strings such as <|endoftext|> are told by case
+    special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124)) if len(data) else np.zeros(0, int)
+    if len(special):
+        own = np.unique(np.searchsorted(unit_starts, special, side="right") - 1)
+        hashes[own] = mix(span_hashes(data, unit_starts[own], unit_ends[own]))
+    return data, unit_starts, unit_ends, hashes, at[w.first]
+
+
+class UnitIds:
+    """Ids of units by the tokenizer, each unit encoded once."""
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        mark = self._ids(_MARK)
+        self.mark = mark[0] if len(mark) == 1 else None
         self._clear()
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
     def _clear(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)
         self.start = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
-    def __call__(self, hashes: np.ndarray, text_of: Callable[[int], str]) -> tuple[np.ndarray, np.ndarray]:
-        """Start and number of each word's ids in ``self.flat``."""
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and how many each has; many texts in one call, marks between them."""
+        flat, size = [], []
+        for a in range(0, len(texts), 2000):
+            part = texts[a : a + 2000]
+            ids = self._ids(f" {_MARK} ".join(part))
+            ends = np.flatnonzero(ids == self.mark) if self.mark is not None else ids
+            if len(ends) == len(part) - 1:
+                bounds = np.r_[-1, ends, len(ids)]
+                size.append(np.diff(bounds) - 1)
+                flat.append(ids[ids != self.mark])
+            else:  # a text holds the mark itself
+                each = [self._ids(t) for t in part]
+                size.append(np.array([len(x) for x in each]))
+                flat += each
+        return np.concatenate(flat), np.concatenate(size)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and number of each unit's ids in ``self.flat``."""
         unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > _CACHE_WORDS:
+        if len(self.known) > _CACHE_UNITS:
             self._clear()
-        fresh = np.flatnonzero(~np.isin(unique, self.known, assume_unique=True))
-        if len(fresh):
-            coded = self.tokenizer.encode_batch([text_of(first[i]) for i in fresh], add_special_tokens=False)
-            ids = [np.array(c.ids, dtype=np.uint32) for c in coded]
-            size = np.array([len(i) for i in ids])
+        place = np.searchsorted(self.known, unique)
+        fresh = np.ones(len(unique), dtype=bool)
+        inside = place < len(self.known)
+        fresh[inside] = self.known[place[inside]] != unique[inside]
+        if fresh.any():
+            spans = zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist())
+            whole = data.tobytes()
+            flat, size = self._encoded([whole[a:b].decode() for a, b in spans])
             start = len(self.flat) + np.r_[0, np.cumsum(size)[:-1]]
-            self.flat = np.concatenate([self.flat, *ids])
-            known = np.r_[self.known, unique[fresh]]
-            order = np.argsort(known)
-            self.known = known[order]
-            self.start = np.r_[self.start, start][order]
-            self.size = np.r_[self.size, size][order]
+            self.flat = np.r_[self.flat, flat]
+            self.known = np.insert(self.known, place[fresh], unique[fresh])
+            self.start = np.insert(self.start, place[fresh], start)
+            self.size = np.insert(self.size, place[fresh], size)
         at = np.searchsorted(self.known, unique)[back]
         return self.start[at], self.size[at]
 
 
-def document_ids(texts: pa.Array, coder: WordIds, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+@functools.cache
+def unit_ids(tokenizer_path: str) -> UnitIds:
+    """One per worker process, so that its later tasks find the units of the earlier ones."""
+    return UnitIds(tokenizer_path)
+
+
+def document_ids(texts: pa.Array, coder: UnitIds, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts end to end, each text closed by ``end_id``, and each text's bounds."""
-    w = words(texts)
-    data = w.data
-    start, size = coder(w.hashes, lambda i: data[w.starts[i] : w.ends[i]].tobytes().decode("utf-8"))
+    data, starts, ends, hashes, first = units(texts)
+    start, size = coder(data, starts, ends, hashes)
     before = np.r_[0, np.cumsum(size)]
     total = int(before[-1])
     source = np.repeat(start - before[:-1], size) + np.arange(total)
-    closing = before[w.first[1:]]
+    closing = before[first[1:]]
     ids = np.insert(coder.flat[source], closing, np.uint32(end_id))
     return ids, np.r_[0, closing + np.arange(1, len(closing) + 1)]
 
 
 def _pieces(tokenizer_path: str, max_tokens: int, end_id: int, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordIds(tokenizer_path)
+        coder = unit_ids(tokenizer_path)
         for batch in slices(batches, "text"):
             ids, bounds = document_ids(batch.column("text"), coder, end_id)
             ids = ids.astype("<u4")

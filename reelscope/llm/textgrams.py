@@ -102,10 +102,31 @@ class Words:
         return at, mix(h)
 
 
-def words(column: pa.Array, lower: bool = False) -> Words:
-    """Words of every text; with ``lower`` A-Z hash as a-z."""
-    data, rows = utf8(column)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hashes of byte spans in ascending order that do not overlap; with ``lower`` A-Z hash as a-z."""
     table = _BYTE_LOWER if lower else _BYTE
+    hashes = np.empty(len(starts), dtype=_U)
+    if not len(starts):
+        return hashes
+    size = ends - starts
+    power = _powers(int(size.max()))
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + SEGMENT_BYTES, side="right")))
+        heads, hi = starts[at:to], ends[to - 1]
+        reach = np.diff(np.r_[heads, hi])
+        offset = np.arange(heads[0], hi) - np.repeat(heads, reach)
+        value = table[data[heads[0] : hi]]
+        value *= power[np.minimum(offset, len(power) - 1)]
+        value[offset >= np.repeat(size[at:to], reach)] = 0
+        hashes[at:to] = np.add.reduceat(value, heads - heads[0])
+        at = to
+    return mix(hashes + size.astype(_U))
+
+
+def words(column: pa.Array, lower: bool = False, hashed: bool = True) -> Words:
+    """Words of every text; with ``lower`` A-Z hash as a-z, without ``hashed`` their places only."""
+    data, rows = utf8(column)
     inner = np.zeros(len(data) + 1, dtype=bool)  # True where a word may run on from the byte before
     inner[: len(data)] = ~_SEPARATOR[data]
     fresh = np.zeros(len(data) + 1, dtype=bool)
@@ -113,25 +134,9 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     before = np.r_[False, inner[:-1]]
     starts = np.flatnonzero(inner & (fresh | ~before))
     ends = np.flatnonzero(before & (fresh | ~inner))
-    hashes = np.empty(len(starts), dtype=_U)
-    if len(starts):
-        power = _powers(int((ends - starts).max()))
-        at = 0
-        while at < len(starts):
-            to = max(at + 1, int(np.searchsorted(ends, starts[at] + SEGMENT_BYTES, side="right")))
-            lo, hi = starts[at], ends[to - 1]
-            offset = np.arange(lo, hi)
-            heads = starts[at:to]
-            reach = np.diff(np.r_[heads, hi])
-            offset -= np.repeat(heads, reach)
-            value = table[data[lo:hi]]
-            value *= power[np.minimum(offset, len(power) - 1)]
-            value[~inner[lo:hi]] = 0
-            hashes[at:to] = np.add.reduceat(value, heads - lo)
-            at = to
-        hashes = mix(hashes + (ends - starts).astype(_U))
     first = np.searchsorted(starts, rows)
     first[-1] = len(starts)
+    hashes = span_hashes(data, starts, ends, lower) if hashed else np.zeros(0, dtype=_U)
     return Words(data, rows, starts, ends, first, hashes)
 
 

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from reelscope.llm import packing
-from reelscope.llm.packing import WordIds, best_fit, document_ids, pack_documents, sequence_rows, tokenized_pieces
+from reelscope.llm.packing import UnitIds, best_fit, document_ids, pack_documents, sequence_rows, tokenized_pieces
 from reelscope.llm.queries import tokenizer_path
 from tests.llm.cases import EDGE_TEXTS, edge_docs, numbered, table
 
@@ -80,11 +80,11 @@ def test_sequences_hold_the_ids(spark, tokenizer):
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="aB'sT \t\n\x85\xa0é́İſ漢12.<|>endoftxrΣς ", max_size=30), max_size=5))
-def test_ids_of_words_are_ids_of_texts(texts):
+def test_ids_of_units_are_ids_of_texts(texts):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer_path())
-    ids, bounds = document_ids(pa.array(texts, pa.string()), WordIds(tokenizer_path()))
+    ids, bounds = document_ids(pa.array(texts, pa.string()), UnitIds(tokenizer_path()))
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [plain_ids(plain, t) for t in texts]
 
 

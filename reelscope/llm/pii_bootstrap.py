@@ -63,32 +63,78 @@ CONTEXT = 64
 
 _SPACE = r"\x20\x09-\x0D"
 _CANDIDATE = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
-_SPAN = "array<struct<start:int,end:int,value:string>>"
+_SPAN = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
 
 
-def _found(text: Column, pattern: str) -> Column:
-    """Matches with their positions: gaps and matches alternate, so lengths add up."""
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(values))
-    steps = F.zip_with(
-        gaps, values, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("size"), v.alias("value"))
-    )
-    laid = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["size"]).alias("at"),
-            F.array_append(
-                acc["spans"],
-                F.struct(
-                    (acc["at"] + s["gap"]).alias("start"),
-                    (acc["at"] + s["gap"] + s["size"]).alias("end"),
-                    s["value"].alias("value"),
-                ),
-            ).alias("spans"),
-        ),
-    )
-    return F.when(F.size(values) > 0, laid["spans"]).otherwise(F.array().cast(_SPAN))
+def _matched(rows: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """``rows`` with the matches of each pattern in ``text`` and the gaps around them.
+
+    They are columns of their own, read more than once below, so that no
+    pattern is evaluated inside an array expression.
+    """
+    columns = []
+    for name, pattern in patterns.items():
+        columns.append(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias(f"{name}_values"))
+        columns.append(F.split("text", pattern, -1).alias(f"{name}_gaps"))
+    return rows.select("*", *columns)
+
+
+def _found(name: str) -> Column:
+    """Matches with their positions and neighbouring text.
+
+    Gaps and matches alternate, so positions are running sums of lengths;
+    they are summed in blocks of about the square root of the number of
+    matches, since appending to an array copies it.
+    """
+    values, gaps = F.col(f"{name}_values"), F.col(f"{name}_gaps")
+    count = F.least(F.size(values), F.size(gaps) - 1)
+
+    def at(array: Column, i: Column) -> Column:
+        return F.coalesce(F.get(array, i), F.lit(""))
+
+    def step(i: Column) -> Column:
+        left = F.concat(at(values, i - 2), at(gaps, i - 1), at(values, i - 1), at(gaps, i))
+        right = F.concat(at(gaps, i + 1), at(values, i + 1), at(gaps, i + 2))
+        return F.struct(
+            F.length(at(gaps, i)).alias("gap"),
+            F.length(at(values, i)).alias("size"),
+            at(values, i).alias("value"),
+            F.right(left, F.lit(CONTEXT)).alias("left"),
+            F.left(right, F.lit(CONTEXT)).alias("right"),
+        )
+
+    def place(acc: Column, s: Column) -> Column:
+        start = acc["at"] + s["gap"]
+        end = start + s["size"]
+        span = F.struct(start.alias("start"), end.alias("end"), s["value"].alias("value"), s["left"].alias("left"), s["right"].alias("right"))
+        return F.struct(end.alias("at"), F.array_append(acc["spans"], span).alias("spans"))
+
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+    width = F.ceil(F.sqrt(count)).cast("int")
+
+    def block(b: Column) -> Column:
+        inside = F.sequence(b * width, F.least((b + 1) * width, count) - 1)
+        return F.aggregate(F.transform(inside, step), empty, place)
+
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(count / width).cast("int") - 1), block)
+
+    def shift(acc: Column, part: Column) -> Column:
+        def moved(s: Column) -> Column:
+            return F.struct(
+                (s["start"] + acc["at"]).alias("start"),
+                (s["end"] + acc["at"]).alias("end"),
+                s["value"].alias("value"),
+                s["left"].alias("left"),
+                s["right"].alias("right"),
+            )
+
+        return F.struct(
+            (acc["at"] + part["at"]).alias("at"),
+            F.array_append(acc["parts"], F.transform(part["spans"], moved)).alias("parts"),
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("parts"))
+    return F.when(count > 0, F.flatten(F.aggregate(blocks, start, shift)["parts"])).otherwise(F.array().cast(_SPAN))
 
 
 def _digits(value: Column) -> Column:
@@ -120,28 +166,45 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _base(text: Column) -> Column:
-    """All base spans, by start, then kind."""
-    kinds = []
-    for rank, kind in enumerate(ORDER):
-        valid = F.filter(_found(text, KINDS[kind]), lambda s, kind=kind: _valid(kind, s["value"]))
-        kinds.append(
-            F.transform(
-                valid,
-                lambda s, rank=rank: F.struct(
-                    s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), s["value"].alias("value")
-                ),
-            )
-        )
-    return F.array_sort(F.concat(*kinds))
+def _kind_spans(kind: str) -> Column:
+    valid = F.filter(_found(kind), lambda s: _valid(kind, s["value"]))
+    rank = F.lit(ORDER.index(kind))
+    return F.transform(
+        valid,
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            rank.alias("rank"),
+            s["end"].alias("end"),
+            s["value"].alias("value"),
+            s["left"].alias("left"),
+            s["right"].alias("right"),
+        ),
+    )
+
+
+def _with_spans(rows: DataFrame, *others: str) -> DataFrame:
+    """``rows`` with ``spans``, all base spans by start, then kind; matches of ``others`` are kept too."""
+    matched = _matched(rows, KINDS | ({"word": _CANDIDATE} if others else {}))
+    kept = [*rows.columns, *(f"{name}_{part}" for name in others for part in ("values", "gaps"))]
+    return matched.select(*kept, F.array_sort(F.concat(*(_kind_spans(kind) for kind in ORDER))).alias("spans"))
+
+
+def _slim(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
+
+
+def _count(spans: str, kind: str) -> Column:
+    rank = ORDER.index(kind)
+    return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("bigint").alias(f"n_{kind}")
 
 
 def _masked(word: Column) -> Column:
     return F.translate(F.lower(word), "123456789", "000000000")
 
 
-def _occurrences(text: Column, spans: Column) -> Column:
+def _occurrences() -> Column:
     """Base spans and the other candidate words, with the words around them."""
+    spans = F.col("spans")
 
     def core(s: Column) -> Column:
         lead = F.length(F.regexp_extract(s["value"], r"^[^\p{L}\p{N}+]++", 0))
@@ -149,25 +212,29 @@ def _occurrences(text: Column, spans: Column) -> Column:
         value = F.regexp_replace(rest, r"(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
         start = s["start"] + lead
         return F.struct(
-            start.alias("start"), F.lit(-1).alias("rank"), (start + F.length(value)).alias("end"), value.alias("value")
+            start.alias("start"),
+            F.lit(-1).alias("rank"),
+            (start + F.length(value)).alias("end"),
+            value.alias("value"),
+            s["left"].alias("left"),
+            s["right"].alias("right"),
         )
 
     free = F.filter(
-        F.transform(_found(text, _CANDIDATE), core),
+        F.transform(_found("word"), core),
         lambda c: (c["end"] > c["start"]) & ~F.exists(spans, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])),
     )
 
     def placed(s: Column) -> Column:
-        left = F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-        right = F.substring(text, s["end"] + 1, F.lit(CONTEXT))
+        two = rf"(?:^|[{_SPACE}])([^{_SPACE}]+[{_SPACE}]+[^{_SPACE}]+)[{_SPACE}]*$"
         return F.struct(
             s["start"].alias("start"),
             s["end"].alias("end"),
             s["rank"].alias("rank"),
             F.lower(s["value"]).alias("instance"),
-            _masked(F.regexp_extract(left, rf"(?:^|[{_SPACE}])([^{_SPACE}]+[{_SPACE}]+[^{_SPACE}]+)[{_SPACE}]*$", 1)).alias("two"),
-            _masked(F.regexp_extract(left, rf"([^{_SPACE}]+)[{_SPACE}]*$", 1)).alias("before"),
-            _masked(F.regexp_extract(right, rf"^[{_SPACE}]*([^{_SPACE}]+)", 1)).alias("after"),
+            _masked(F.regexp_extract(s["left"], two, 1)).alias("two"),
+            _masked(F.regexp_extract(s["left"], rf"([^{_SPACE}]+)[{_SPACE}]*$", 1)).alias("before"),
+            _masked(F.regexp_extract(s["right"], rf"^[{_SPACE}]*([^{_SPACE}]+)", 1)).alias("after"),
         )
 
     return F.transform(F.concat(spans, free), placed)
@@ -242,11 +309,9 @@ def _text(docs: DataFrame) -> DataFrame:
 
 def _bases(docs: DataFrame, stage: Staging) -> DataFrame:
     """Each row's base spans and occurrences, without its text."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", _base(F.col("text")).alias("spans"))
-    slim = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
+    rows = _with_spans(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), "word")
     return stage.write(
-        rows.select("doc_id", "text_hash", slim.alias("base"), _occurrences(F.col("text"), F.col("spans")).alias("occurrences")),
-        "base",
+        rows.select("doc_id", "text_hash", _slim(F.col("spans")).alias("base"), _occurrences().alias("occurrences")), "base"
     )
 
 
@@ -282,10 +347,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     every = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "added")))
     return rows.select(
         "doc_id",
-        *(
-            F.size(F.filter("base", lambda s, rank=rank: s["rank"] == rank)).cast("bigint").alias(f"n_{kind}")
-            for rank, kind in enumerate(ORDER)
-        ),
+        *(_count("base", kind) for kind in ORDER),
         F.sha2(_told(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         _told(every).alias("spans"),
     )
@@ -299,39 +361,41 @@ def redact(docs: DataFrame) -> DataFrame:
     null text stays null.
     """
     stage = Staging(docs.sparkSession, "pii")
-    added = _added(_bases(_text(docs), stage), stage)
-    names = ["own_id", "own_hash", "added"]
-    while set(names) & set(docs.columns):
-        names = ["_" + n for n in names]
-    own_id, own_hash, extra = names
-    rows = docs.join(
-        added.toDF(*names),
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col("text").cast("string")) == F.col(own_hash)),
-        "left",
+    plain = _text(docs)
+    added = _added(_bases(plain, stage), stage).withColumnsRenamed({"doc_id": "own_id", "text_hash": "own_hash"})
+    # the row travels as one column, so no name of it can clash
+    whole = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").cast("bigint").alias("id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = F.transform(_base(text), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
-    spans = F.when(F.col(extra).isNull(), base).otherwise(F.array_sort(F.concat(base, F.col(extra))))
+    rows = whole.join(
+        added, F.col("id").eqNullSafe(F.col("own_id")) & (F.xxhash64("text") == F.col("own_hash")), "left"
+    ).select("row", "text", "added")
+    base = _slim(F.col("spans"))
+    spans = F.when(F.col("added").isNull(), base).otherwise(F.array_sort(F.concat(base, F.col("added"))))
+    found = _with_spans(rows).select("row", "text", spans.alias("spans"))
     placeholder = F.array(*(F.lit(f"[{k.upper()}]") for k in ORDER))
-    cut = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda acc, s: F.struct(
+    text = F.col("text")
+
+    def cut(acc: Column, s: Column) -> Column:
+        part = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(placeholder, s["rank"]))
+        return F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= acc["at"],
-                F.array_append(
-                    acc["parts"],
-                    F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(placeholder, s["rank"])),
-                ),
-            )
-            .otherwise(acc["parts"])
-            .alias("parts"),
-        ),
+            F.when(s["start"] >= acc["at"], F.array_append(acc["parts"], part)).otherwise(acc["parts"]).alias("parts"),
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    clean = F.aggregate(
+        "spans",
+        start,
+        cut,
         lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    new = {"text": F.when(F.col("text").isNotNull(), cut)}
-    out = rows.withColumns(new).select(*docs.columns)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return out
+    new = found.select("row", F.when(F.size("spans") > 0, clean).otherwise(text).alias("clean"))
+    known = F.col("row.text").isNotNull()
+    columns = {c: F.col("row").getField(c) for c in docs.columns}
+    columns["text"] = F.when(known, F.col("clean"))
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(known, F.length("clean").cast("bigint")).otherwise(columns["n_chars"])
+    return new.select(*(column.alias(name) for name, column in columns.items()))

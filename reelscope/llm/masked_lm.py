@@ -12,7 +12,7 @@ Network: position-weighted sum of the neighbours' embeddings, tanh, and a
 softmax in two steps, over blocks of ids and within the block, both with
 biases that start at the corpus' log frequencies.  Training is local SGD in
 numpy: every task trains on the words of its own texts at positions
-``EPOCH modulo STRIDE``, all texts taking part; the tasks' parameters are
+``epoch modulo STRIDE``, all texts taking part; the tasks' parameters are
 averaged with the number of their words as weights, and the next epoch starts
 from there.  Parameters travel in pieces of 32 KB and are averaged in two
 levels, so no group takes in the pieces of all tasks.
@@ -46,9 +46,9 @@ SHARED = 1024
 BLOCK = 64
 WIDTH = 32
 EPOCHS = 2
-STRIDE = 8
+STRIDE = 16
 BATCH = 512
-RATE = 0.1
+RATE = 0.4
 _PIECE = 8192  # parameters in one row of the averaging
 FAN = 1024  # groups of tasks averaged first, so the second average has at most so many inputs
 
@@ -211,7 +211,7 @@ def corpus_vocabulary(docs: DataFrame, stage: Staging) -> tuple[Vocabulary, np.n
     return Vocabulary(frequent.view(np.uint64), ids), total
 
 
-def _trained(shared, epoch: int) -> Callable:
+def _trained(shared, epoch: int, stride: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat = shared.value
         net = Network(flat.copy())
@@ -219,7 +219,7 @@ def _trained(shared, epoch: int) -> Callable:
         for batch in slices(batches, "text"):
             ids, first, context = vocabulary.encode(batch.column("text"))
             within = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
-            chosen = np.flatnonzero(within % STRIDE == epoch % STRIDE)
+            chosen = np.flatnonzero(within % stride == epoch % stride)
             chosen = np.random.default_rng(len(ids)).permutation(chosen)
             for at in range(0, len(chosen), BATCH):
                 rows = chosen[at : at + BATCH]
@@ -262,14 +262,16 @@ def _average(group: pa.Table) -> pa.Table:
     )
 
 
-def train_network(docs: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) -> Network:
+def train_network(
+    docs: DataFrame, vocabulary: Vocabulary, counts: np.ndarray, epochs: int = EPOCHS, stride: int = STRIDE
+) -> Network:
     """A network trained on all rows of ``docs`` (``text``)."""
     spark = docs.sparkSession
     net = Network.start(counts)
     texts = docs.select("text")
-    for epoch in range(EPOCHS):
+    for epoch in range(epochs):
         shared = spark.sparkContext.broadcast((vocabulary, net.flat))
-        parts = texts.mapInArrow(_trained(shared, epoch), _AVERAGED)
+        parts = texts.mapInArrow(_trained(shared, epoch, stride), _AVERAGED)
         some = parts.groupBy("piece", (F.col("task") % FAN).alias("part")).applyInArrow(_average, _AVERAGED)
         rows = some.groupBy("piece").applyInArrow(_average, _AVERAGED).collect()  # the network itself, a fixed size
         flat = net.flat.copy()

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelscope.operators.stats import row_count
 from reelscope.sources.schema import DAT_FILES
 from reelscope.sources.tables import Tables
 
@@ -33,31 +34,33 @@ MODES = ("fail", "drop")
 _UTF8 = {"utf8", "utf-8"}
 
 
+def _check_encoding(encoding: str) -> None:
+    """Lines are cut at the byte ``\\n`` before they are decoded, so an
+    encoding must write a line break as that one byte."""
+    try:
+        line_break = "\n".encode(encoding)
+    except LookupError:
+        raise ValueError(f"unknown encoding {encoding!r}") from None
+    if line_break != b"\n":
+        raise ValueError(f"encoding {encoding!r} does not write a line break as one byte")
+
+
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """One ``value`` row per line.
 
-    UTF-8 goes through the text source, which keeps blank lines.  Other
-    encodings (MovieLens titles are Latin-1) go through the CSV source with
-    quoting off and a separator that cannot occur, because only it decodes
-    charsets; it skips blank lines.
+    The text source keeps every line, blank ones included; other encodings
+    than UTF-8 (MovieLens titles are Latin-1) are decoded from its bytes.
     """
     return lines_from(spark.read, path, encoding)
 
 
 def lines_from(reader, path: str, encoding: str = "UTF-8") -> DataFrame:
     """``read_lines`` for any reader: ``spark.read`` or ``spark.readStream``."""
+    _check_encoding(encoding)
+    lines = reader.format("text").load(path)
     if encoding.lower() in _UTF8:
-        return reader.format("text").load(path)
-    return (
-        reader.schema("value string")
-        .option("encoding", encoding)
-        .option("sep", "\u0000")
-        .option("quote", "")
-        .option("escape", "")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .csv(path)
-    )
+        return lines
+    return lines.select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
 
 
 def _typed(raw: Column, data_type: T.DataType) -> Column:
@@ -121,16 +124,13 @@ def dat_tables(
 
 def line_counts(spark: SparkSession, base_dir: str) -> DataFrame:
     """``table_name, n``: raw lines per file, blank lines included (what the
-    reference prints before parsing anything)."""
+    reference prints before parsing anything); an empty file has 0."""
     order = ("occupations", "movies", "users", "ratings")
     frames = [
-        spark.read.text(os.path.join(base_dir, DAT_FILES[name][0])).select(
-            F.lit(name).alias("table_name"), F.lit(1).alias("one")
-        )
+        row_count(spark.read.text(os.path.join(base_dir, DAT_FILES[name][0]))).select(F.lit(name).alias("table_name"), "n")
         for name in order
     ]
-    lines = reduce(DataFrame.unionByName, frames)
-    return lines.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def format_records(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -106,3 +106,26 @@ def test_each_line_is_split_once(spark, dat_dir):
     plan = buf.getvalue()
     assert plan.count("split(value") == 1
     assert "Generate inline" in plan
+
+
+def test_blank_lines_count_as_malformed_in_every_encoding(spark, tmp_path):
+    for encoding in ("UTF-8", "ISO-8859-1"):
+        path = tmp_path / f"{encoding}.dat"
+        path.write_bytes("30::Café (1990)::Drama\n\n31::B::C\n".encode(encoding))
+        with pytest.raises(Exception, match="malformed record"):
+            read_dat(spark, str(path), S.MOVIES, encoding=encoding).collect()
+        rows = read_dat(spark, str(path), S.MOVIES, mode="drop", encoding=encoding).collect()
+        assert [r.title for r in rows] == ["Café (1990)", "B"]
+
+
+def test_encodings_with_wide_line_breaks_are_refused(spark, tmp_path):
+    for encoding in ("UTF-16", "UTF-32", "no-such-charset"):
+        with pytest.raises(ValueError):
+            read_dat(spark, str(tmp_path), S.MOVIES, encoding=encoding)
+
+
+def test_empty_file_counts_zero_lines(spark, tmp_path):
+    for name, text in [("ratings", ""), ("users", "x\n"), ("movies", "a\n\nb"), ("occupations", "\n")]:
+        (tmp_path / f"{name}.dat").write_text(text)
+    got = {r.table_name: r.n for r in line_counts(spark, str(tmp_path)).collect()}
+    assert got == {"ratings": 0, "users": 1, "movies": 3, "occupations": 1}

@@ -24,6 +24,8 @@ from pyspark.sql import SparkSession
 from reelscope.session import ensure_checkpoint_dir
 from reelscope.sources.tables import Tables
 
+FILE_RECORDS = 16_000_000
+
 _NAMES = ("ratings", "users", "movies", "occupations")
 
 
@@ -39,14 +41,20 @@ def materialize(
     mode: str = "overwrite",
 ) -> Tables:
     """Write ``t`` under ``location`` (default: a fresh folder under
-    ``spark.checkpoint.dir``) and return the tables read back from there."""
+    ``spark.checkpoint.dir``) and return the tables read back from there.
+
+    Without ``ratings_partitions`` the session's shuffle sizing holds (see
+    ``scale_settings``) and AQE may adjust it; a file holds at most
+    ``FILE_RECORDS`` ratings, about 200 MB, however large its partition.
+    """
     spark = t.ratings.sparkSession
     base = (location or default_location(spark)).rstrip("/")
-    parts = ratings_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ("user_id", "movie_id")
+    ranged = t.ratings.repartitionByRange(*([ratings_partitions] if ratings_partitions else []), *keys)
     (
-        t.ratings.repartitionByRange(parts, "user_id", "movie_id")
-        .sortWithinPartitions("user_id", "movie_id")
+        ranged.sortWithinPartitions(*keys)
         .write.mode(mode)
+        .option("maxRecordsPerFile", FILE_RECORDS)
         .parquet(f"{base}/ratings")
     )
     for name in _NAMES[1:]:

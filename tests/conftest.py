@@ -15,7 +15,7 @@ def spark():
     from reelscope.session import build_session
 
     # local[8,4]: up to 4 attempts per task, so injected task failures are retried
-    session = build_session(master="local[8,4]", app_name="reelscope-tests", shuffle_partitions=8)
+    session = build_session(master="local[8,4]", app_name="reelscope-tests", shuffle_partitions=8, driver_memory="12g")
     yield session
     session.stop()
 

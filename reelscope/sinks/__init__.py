@@ -1,3 +1,3 @@
-from reelscope.sinks.jdbc import write_jdbc, write_numbered_names, write_occupation_genre_counts
+from reelscope.sinks.jdbc import as_sink, count_written, write_jdbc, write_numbered_names
 
-__all__ = ["write_jdbc", "write_numbered_names", "write_occupation_genre_counts"]
+__all__ = ["as_sink", "count_written", "write_jdbc", "write_numbered_names"]

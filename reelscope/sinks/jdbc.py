@@ -12,15 +12,34 @@ again, as any append does.  For an idempotent load write with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reelscope.plans.analyses import occupation_genre_sink_rows
 from reelscope.sources.memory import NAME_COUNT, NAME_PREFIX, numbered_names
-from reelscope.sources.tables import Tables
+from reelscope.sources.schema import PERSON_SINK
 
 MODES = ("append", "overwrite", "error", "errorifexists", "ignore")
 
 
+def count_written(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Run ``write`` on ``df`` and return how many rows went through it.
+
+    The count is observed in the write itself, so nothing is computed twice
+    and a failed write reports no rows.
+    """
+    observed = Observation()
+    write(df.observe(observed, F.count(F.lit(1)).alias("rows")))
+    return observed.get["rows"]
+
+
+def as_sink(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df``'s columns by name, with the sink's types."""
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,
@@ -31,8 +50,8 @@ def write_jdbc(
     batch_size: int = 1000,
     isolation_level: str = "READ_COMMITTED",
     max_connections: int | None = None,
-) -> DataFrame:
-    """Write ``df`` to ``table`` and return ``df`` (the rows that were sent).
+) -> int:
+    """Write ``df`` to ``table`` and return the number of rows sent.
 
     ``max_connections`` caps concurrent connections (Spark coalesces to that
     many partitions before writing); leave it unset to use one connection
@@ -42,22 +61,18 @@ def write_jdbc(
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
-    writer = (
-        df.write.mode(mode)
-        .option("batchsize", str(batch_size))
-        .option("isolationLevel", isolation_level)
-    )
-    if max_connections is not None:
-        writer = writer.option("numPartitions", str(max_connections))
-    writer.jdbc(url, table, properties=dict(properties or {}))
-    return df
 
+    def write(rows: DataFrame) -> None:
+        writer = (
+            rows.write.mode(mode)
+            .option("batchsize", str(batch_size))
+            .option("isolationLevel", isolation_level)
+        )
+        if max_connections is not None:
+            writer = writer.option("numPartitions", str(max_connections))
+        writer.jdbc(url, table, properties=dict(properties or {}))
 
-def write_occupation_genre_counts(
-    t: Tables, url: str, table: str = "result", mode: str = "append", **options
-) -> DataFrame:
-    """Occupation x genre counts into ``result(occ, mtype, nums)``."""
-    return write_jdbc(occupation_genre_sink_rows(t), url, table, mode, **options)
+    return count_written(df, write)
 
 
 def write_numbered_names(
@@ -68,6 +83,6 @@ def write_numbered_names(
     prefix: str = NAME_PREFIX,
     count: int = NAME_COUNT,
     **options,
-) -> DataFrame:
+) -> int:
     """The generated name list into ``person(name)``."""
-    return write_jdbc(numbered_names(spark, prefix, count), url, table, mode, **options)
+    return write_jdbc(as_sink(numbered_names(spark, prefix, count), PERSON_SINK), url, table, mode, **options)

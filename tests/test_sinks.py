@@ -2,7 +2,8 @@
 
 import pytest
 
-from reelscope.sinks.jdbc import write_jdbc
+from reelscope.sinks import jdbc
+from reelscope.sinks.jdbc import as_sink, count_written, write_jdbc
 from reelscope.sources.memory import numbered_names
 
 
@@ -27,8 +28,14 @@ class FakeFrame:
         self.write = RecordingWriter()
 
 
-def test_write_jdbc_options():
+def test_write_jdbc_options(monkeypatch):
     df = FakeFrame()
+
+    def recorded(rows, write):
+        write(rows)
+        return 7
+
+    monkeypatch.setattr(jdbc, "count_written", recorded)
     out = write_jdbc(
         df,
         "jdbc:example://db/analytics",
@@ -37,7 +44,7 @@ def test_write_jdbc_options():
         batch_size=500,
         max_connections=4,
     )
-    assert out is df
+    assert out == 7
     calls = df.write.calls
     assert ("mode", "append") in calls
     assert ("option", "batchsize", "500") in calls
@@ -73,3 +80,36 @@ def test_write_numbered_names_reaches_spark_jdbc_writer(spark):
 
     with pytest.raises(Exception, match="(?i)no suitable driver|driver"):
         write_numbered_names(spark, "jdbc:reelscope-none://nowhere/db", count=5, batch_size=2)
+
+
+def noop(df):
+    df.write.format("noop").mode("overwrite").save()
+
+
+def test_count_is_observed_in_the_write(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(1000).where("id % 3 = 0")
+    assert count_written(df, noop) == 334
+    assert count_written(df.where("false"), noop) == 0
+    # one evaluation: an accumulator-like side effect is not needed, the rows are random
+    rows = []
+    random = spark.range(500).withColumn("r", F.rand())
+    assert count_written(random.where("r < 2"), lambda d: rows.extend(d.collect())) == len(rows) == 500
+
+
+def test_failed_write_reports_nothing(spark):
+    from pyspark.sql import functions as F
+
+    bad = spark.range(10).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        count_written(bad, noop)
+
+
+def test_sink_columns_have_the_sinks_types(spark):
+    from reelscope.sources.schema import RESULT_SINK
+
+    df = spark.sql("SELECT 3 AS nums, 'x' AS extra, 'o' AS occ, 'g' AS mtype")
+    assert [(f.name, f.dataType) for f in as_sink(df, RESULT_SINK).schema] == [(f.name, f.dataType) for f in RESULT_SINK]
+    with pytest.raises(Exception):
+        as_sink(df.drop("occ"), RESULT_SINK)

@@ -1,8 +1,7 @@
 from reelscope.operators.genres import explode_genres, with_year
 from reelscope.operators.joins import (
-    COHORT_BROADCAST_ROWS,
-    DIMENSION_BROADCAST_ROWS,
     bounded_broadcast,
+    broadcast_bytes,
     cohort,
     with_movie,
     with_occupation,
@@ -13,9 +12,8 @@ from reelscope.operators.topk import by_count, by_mean, top_k, top_k_per_group
 __all__ = [
     "by_count",
     "by_mean",
-    "COHORT_BROADCAST_ROWS",
-    "DIMENSION_BROADCAST_ROWS",
     "bounded_broadcast",
+    "broadcast_bytes",
     "cohort",
     "count_by",
     "count_map",

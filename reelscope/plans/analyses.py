@@ -20,13 +20,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelscope.functions.columns import YEAR_PATTERN_TWO_WORD, age_band_label, title_name
+from reelscope.functions.columns import (
+    YEAR_PATTERN_PLAIN,
+    YEAR_PATTERN_TWO_WORD,
+    age_band_label,
+    title_name,
+    title_pattern_name,
+)
 from reelscope.operators import (
     by_count,
     by_mean,
-    COHORT_BROADCAST_ROWS,
     cohort,
     count_by,
+    count_map,
     explode_genres,
     rating_stats,
     rating_totals,
@@ -37,6 +43,8 @@ from reelscope.operators import (
     with_occupation,
     with_year,
 )
+from reelscope.sources.dat import format_records, parse_records
+from reelscope.sources.schema import RATINGS
 from reelscope.sources.tables import Tables
 
 # The reference's default parameters.
@@ -44,8 +52,8 @@ DEFAULT_K = 10
 DEFAULT_USER_ID = 18
 DEFAULT_AGE = 1
 SEMI_TOP_K = 100
-
-
+# A genre of the test adapter for the map lookup.
+DEFAULT_GENRE = "MEDIUM"
 
 
 # --- requirement 1: table sizes, users with their occupation -----------------
@@ -137,6 +145,13 @@ def top_watched_detail_brief(t: Tables, k: int = DEFAULT_K) -> DataFrame:
     return top_k(joined, k, *by_count()).select("n", "movie_id", "title", "genres")
 
 
+def decoded_rating_stats(t: Tables) -> DataFrame:
+    """``movie_id, total, n, avg_rating`` of the ratings written as ``::``
+    lines and decoded again, as the text source hands them over."""
+    lines = format_records(t.ratings, RATINGS)
+    return rating_stats(parse_records(lines, RATINGS)).select("movie_id", "total", "n", "avg_rating")
+
+
 # --- requirement 4: by gender ------------------------------------------------
 
 
@@ -229,28 +244,31 @@ def cohort_multikey(t: Tables, age: int = DEFAULT_AGE, k: int = DEFAULT_K) -> Da
     )
 
 
-def _cohort_semi(t: Tables, age: int, broadcast_max_rows: int) -> DataFrame:
+def _cohort_semi(t: Tables, age: int, broadcast_max_bytes: int | None) -> DataFrame:
     return cohort(
-        t.ratings, t.users, _age(age), how="left_semi", broadcast_max_rows=broadcast_max_rows
+        t.ratings, t.users, _age(age), how="left_semi", broadcast_max_bytes=broadcast_max_bytes
     )
 
 
 def cohort_semi_count(
-    t: Tables, age: int = DEFAULT_AGE, broadcast_max_rows: int = COHORT_BROADCAST_ROWS
+    t: Tables, age: int = DEFAULT_AGE, broadcast_max_bytes: int | None = None
 ) -> DataFrame:
-    """Ratings whose user is in the band, each counted once (semi-join)."""
-    return row_count(_cohort_semi(t, age, broadcast_max_rows))
+    """Ratings whose user is in the band, each counted once (semi-join).
+
+    With ``broadcast_max_bytes`` the band's users are measured by a job and
+    broadcast if they fit."""
+    return row_count(_cohort_semi(t, age, broadcast_max_bytes))
 
 
 def cohort_semi_top(
     t: Tables,
     age: int = DEFAULT_AGE,
     k: int = SEMI_TOP_K,
-    broadcast_max_rows: int = COHORT_BROADCAST_ROWS,
+    broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """``movie_id, total, n, avg_rating`` ordered by mean down, count down and
     the id compared as text (so 10 comes before 9)."""
-    stats = rating_stats(_cohort_semi(t, age, broadcast_max_rows))
+    stats = rating_stats(_cohort_semi(t, age, broadcast_max_bytes))
     order = (F.desc("avg_rating"), F.desc("n"), F.asc(F.col("movie_id").cast("string")))
     return top_k(stats, k, *order).select("movie_id", "total", "n", "avg_rating")
 
@@ -268,6 +286,28 @@ def year_counts(t: Tables, pattern: str = YEAR_PATTERN_TWO_WORD) -> DataFrame:
     return count_by(with_year(t.movies, pattern), "year").orderBy("year")
 
 
+def title_parts(t: Tables) -> DataFrame:
+    """``movie_id, name_two_word, name_plain``: the name group of both year
+    patterns for every movie, ``''`` where a pattern does not match."""
+    return t.movies.select(
+        "movie_id",
+        title_pattern_name("title", YEAR_PATTERN_TWO_WORD).alias("name_two_word"),
+        title_pattern_name("title", YEAR_PATTERN_PLAIN).alias("name_plain"),
+    )
+
+
+def year_genre_lookup(t: Tables, genre: str = DEFAULT_GENRE, pattern: str = YEAR_PATTERN_TWO_WORD) -> DataFrame:
+    """``year, n_genres, n``: from each year's map of genre counts, its size
+    and the count of one genre (0 where the map lacks it)."""
+    pieces = explode_genres(with_year(t.movies, pattern), "year")
+    maps = count_map(pieces, "year", "genre")
+    return maps.select(
+        "year",
+        F.size("counts").cast("bigint").alias("n_genres"),
+        F.coalesce(F.try_element_at("counts", F.lit(genre)), F.lit(0)).cast("bigint").alias("n"),
+    )
+
+
 def year_genre_counts(t: Tables, pattern: str = YEAR_PATTERN_TWO_WORD) -> DataFrame:
     """``year, genre, n`` ordered by year (then genre)."""
     pieces = explode_genres(with_year(t.movies, pattern), "year")
@@ -278,29 +318,31 @@ def year_genre_counts(t: Tables, pattern: str = YEAR_PATTERN_TWO_WORD) -> DataFr
 
 
 def _rating_occupations(t: Tables) -> DataFrame:
-    """``occupation_name, movie_id`` for every rating by a user with a known
-    occupation.  Ratings meet users on ``user_id`` carrying only the int
-    occupation id; the names come from a map-side join with the small
-    occupations table afterwards (filters on that table are propagated into
-    the users scan by the optimizer)."""
-    rated = t.ratings.select("user_id", "movie_id").join(
+    """``occupation_id, movie_id`` for every rating by a known user."""
+    return t.ratings.select("user_id", "movie_id").join(
         t.users.select("user_id", "occupation_id"), "user_id"
-    )
-    return with_occupation(rated, t.occupations).select("occupation_name", "movie_id")
+    ).select("occupation_id", "movie_id")
 
 
 def occupation_genre_counts(t: Tables) -> DataFrame:
     """``occupation_name, genre, n``: rating x genre-piece rows per pair.
 
-    Counted per (occupation, movie) first and fanned out to genres after, so
-    the join with the genre pieces moves one row per (occupation, movie)
-    instead of one per rating; summing over genres gives the same numbers.
+    Counted per (occupation id, movie) first and fanned out to genres after,
+    so the join with the genre pieces moves one row of numbers per
+    (occupation, movie) instead of one per rating; names join the counts of
+    (occupation id, genre) at the end, which merges ids of one name and
+    repeats a count for an id listed twice, as joining them first would.
     Genres are split once per movie, before the join (splitting after it
     would repeat the split for every occupation of a movie).
     """
-    per_movie = count_by(_rating_occupations(t), "occupation_name", "movie_id")
-    return (
+    per_movie = count_by(_rating_occupations(t), "occupation_id", "movie_id")
+    per_genre = (
         per_movie.join(explode_genres(t.movies), "movie_id")
+        .groupBy("occupation_id", "genre")
+        .agg(F.sum("n").alias("n"))
+    )
+    return (
+        with_occupation(per_genre, t.occupations)
         .groupBy("occupation_name", "genre")
         .agg(F.sum("n").alias("n"))
     )
@@ -310,7 +352,7 @@ def occupation_genre_counts_direct(t: Tables) -> DataFrame:
     """Same result as ``occupation_genre_counts`` in the reference's order:
     every rating joined to every genre piece, then counted.  Kept to check
     the pre-aggregated plan against."""
-    rows = _rating_occupations(t).join(explode_genres(t.movies), "movie_id")
+    rows = with_occupation(_rating_occupations(t), t.occupations).join(explode_genres(t.movies), "movie_id")
     return count_by(rows, "occupation_name", "genre")
 
 

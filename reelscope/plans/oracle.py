@@ -12,7 +12,7 @@ from __future__ import annotations
 _BASE = r"""
 occupations AS (
   SELECT n_nationkey AS occupation_id, n_name AS occupation_name
-  FROM nation WHERE n_nationkey < 21
+  FROM nation
 ),
 users AS (
   SELECT c_custkey AS user_id,
@@ -49,7 +49,6 @@ movies AS (
               WHEN 4 THEN p_type || '|' || split_part(p_name, ' ', 2) || '|'
               ELSE p_type || '||' || split_part(p_name, ' ', 2) END AS genres
   FROM (SELECT *, CAST(1950 + (p_partkey * 7) % 60 AS VARCHAR) AS y FROM part) p
-  WHERE p_partkey % 10 <> 9
 )"""
 
 # Reusable derived tables.
@@ -211,6 +210,8 @@ FROM stats s JOIN movies m ON s.movie_id = m.movie_id
 ORDER BY s.n DESC, s.movie_id LIMIT 10""",
         _STATS,
     ),
+    # the text layout loses nothing of a rating, so plain statistics answer it
+    "r3_decoded_rating_stats": _sql("SELECT movie_id, total, n, avg_rating FROM stats", _STATS),
     **_gender_queries("female", "F"),
     **_gender_queries("male", "M"),
     "r5_cohort_user_count": _sql("SELECT count(*) AS n FROM users WHERE age = 1"),
@@ -262,6 +263,19 @@ ORDER BY avg_rating DESC, n DESC, CAST(movie_id AS VARCHAR) LIMIT 100"""
     "r6_genre_counts": _sql("SELECT genre, count(*) AS n FROM pieces GROUP BY genre", _PIECES),
     "r7_year_counts_two_word": _year_counts(_TWO_WORD),
     "r7_year_counts": _year_counts(_PLAIN),
+    "r7_title_parts": _sql(
+        f"""
+SELECT movie_id, regexp_extract(title, {_TWO_WORD}, 1) AS name_two_word,
+       regexp_extract(title, {_PLAIN}, 1) AS name_plain
+FROM movies"""
+    ),
+    "r8_year_genre_lookup": _sql(
+        f"""
+SELECT y.year, count(DISTINCT p.genre) AS n_genres, count(*) FILTER (p.genre = 'MEDIUM') AS n
+FROM (SELECT movie_id, {_year(_TWO_WORD)} AS year FROM movies) y
+JOIN pieces p ON y.movie_id = p.movie_id GROUP BY y.year""",
+        _PIECES,
+    ),
     "r8_year_genre_counts_two_word": _year_genre_counts(_TWO_WORD),
     "r8_year_genre_counts": _year_genre_counts(_PLAIN),
     "r9_occupation_genre_counts": _sql(

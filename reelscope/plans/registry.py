@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "r3_top_watched": a.top_watched,
     "r3_top_watched_detail": a.top_watched_detail,
     "r3_top_watched_detail_brief": a.top_watched_detail_brief,
+    "r3_decoded_rating_stats": a.decoded_rating_stats,
     # requirement 4
     "r4_top_total_female": partial(a.top_total_by_gender, gender="F"),
     "r4_top_total_male": partial(a.top_total_by_gender, gender="M"),
@@ -49,6 +50,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "r6_genre_counts": a.genre_counts,
     "r7_year_counts_two_word": partial(a.year_counts, pattern=YEAR_PATTERN_TWO_WORD),
     "r7_year_counts": partial(a.year_counts, pattern=YEAR_PATTERN_PLAIN),
+    "r7_title_parts": a.title_parts,
+    "r8_year_genre_lookup": a.year_genre_lookup,
     "r8_year_genre_counts_two_word": partial(a.year_genre_counts, pattern=YEAR_PATTERN_TWO_WORD),
     "r8_year_genre_counts": partial(a.year_genre_counts, pattern=YEAR_PATTERN_PLAIN),
     # requirements 9-10

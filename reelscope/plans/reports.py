@@ -28,8 +28,6 @@ from reelscope.functions.columns import title_name
 from reelscope.operators import (
     by_count,
     by_mean,
-    COHORT_BROADCAST_ROWS,
-    bounded_broadcast,
     rating_stats,
     row_count,
     top_k,
@@ -99,7 +97,6 @@ def cohort_report(
     k: int = DEFAULT_K,
     semi_k: int = SEMI_TOP_K,
     keep: str = "persist",
-    broadcast_max_rows: int = COHORT_BROADCAST_ROWS,
 ) -> Report:
     """The eight results of one age band from one member list and one
     joined per-movie aggregate."""
@@ -108,7 +105,7 @@ def cohort_report(
     joined = t.ratings.join(members, "user_id")
     stats = _keep(rating_stats(joined), keep, kept)
     detail = _keep(with_movie(stats, t.movies), keep, kept)
-    semi = t.ratings.join(bounded_broadcast(members, broadcast_max_rows), "user_id", "left_semi")
+    semi = t.ratings.join(members, "user_id", "left_semi")
     semi_stats = rating_stats(semi)
     semi_order = (F.desc("avg_rating"), F.desc("n"), F.asc(F.col("movie_id").cast("string")))
     multikey = (F.desc("avg_rating"), F.desc("n"), F.asc("title"), F.asc("movie_id"))

@@ -1,10 +1,10 @@
 """Adapter: the four rating tables as views over the TPC-H-like star schema.
 
 The mapping is a fixed test definition, so both engines in the oracle check
-see the same inputs.  It contains edge cases on purpose: nations 21-24 have
-no occupation row, every tenth part has no movie row, one-word titles, a
-second bracket in the title, titles without a year, and genre strings with
-repeated, trailing and inner-empty pieces.
+see the same inputs.  Every nation is an occupation, every part a movie.  It
+contains edge cases on purpose: one-word titles, a second bracket in the
+title, titles without a year, and genre strings with repeated, trailing and
+inner-empty pieces.
 
 Only columns a query asks for are read: every expression below is a plain
 projection, so Catalyst prunes the parquet ``ReadSchema`` and pushes
@@ -13,26 +13,25 @@ filters on ``user_id`` / ``occupation_id`` / ``movie_id`` into the scans.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from reelscope.sources.tables import Tables
+from pyspark.sql import types as T
 
 # Fixed values of the adapter (must equal the oracle's CTEs).
-OCCUPATION_NATIONS_BELOW = 21  # nations 0..20 are occupations
 FEMALE_SEGMENTS = ("FURNITURE", "BUILDING")
 # Account-balance upper bounds of the age bands 1, 18, 25, 35, 45, 50; 56 above.
 AGE_BAND_BOUNDS = ((0, 1), (2000, 18), (4000, 25), (6000, 35), (7000, 45), (8000, 50))
 AGE_BAND_TOP = 56
 ZIP_BASE = 10000
 RATING_LEVELS = 5
-NO_MOVIE_PARTKEY_MOD10 = 9
 YEAR_BASE, YEAR_STEP, YEAR_SPAN = 1950, 7, 60
 
 
-# The star columns the adapter reads.  Giving the scan its schema skips
-# footer-based inference and makes the column contract explicit; parquet
-# reads only these columns (and the optimizer prunes further per query).
+# The star columns the adapter reads, with their types.  They are selected from
+# the file's own schema, so a column that is not there is an error; the
+# optimizer prunes the scan further per query.
 STAR_COLUMNS = {
     "nation": "n_nationkey int, n_name string",
     "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -43,11 +42,13 @@ STAR_COLUMNS = {
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(STAR_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    wanted = T.StructType.fromDDL(STAR_COLUMNS[name])
+    return table.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))
 
 
 def occupations_view(nation: DataFrame) -> DataFrame:
-    return nation.where(F.col("n_nationkey") < OCCUPATION_NATIONS_BELOW).select(
+    return nation.select(
         F.col("n_nationkey").alias("occupation_id"),
         F.col("n_name").alias("occupation_name"),
     )
@@ -110,16 +111,40 @@ def movies_view(part: DataFrame) -> DataFrame:
         .when(shape == 4, F.concat(ptype, bar, second_word, bar))
         .otherwise(F.concat(ptype, bar, bar, second_word))
     )
-    return part.where(key % 10 != NO_MOVIE_PARTKEY_MOD10).select(
-        key.alias("movie_id"), title.alias("title"), genres.alias("genres")
-    )
+    return part.select(key.alias("movie_id"), title.alias("title"), genres.alias("genres"))
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The four rating tables over ``{sf_dir}/*.parquet``; lazy, nothing read yet."""
-    return Tables(
-        ratings=ratings_view(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders")),
-        users=users_view(_read(spark, sf_dir, "customer")),
-        movies=movies_view(_read(spark, sf_dir, "part")),
-        occupations=occupations_view(_read(spark, sf_dir, "nation")),
-    )
+class StarTables:
+    """The four rating tables over ``{sf_dir}/*.parquet``, as ``Tables`` has them.
+
+    A table's files are looked at when an analysis first asks for it, so a
+    query opens only what it reads.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._sf_dir = sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return _read(self._spark, self._sf_dir, name)
+
+    @cached_property
+    def ratings(self) -> DataFrame:
+        return ratings_view(self._read("lineitem"), self._read("orders"))
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return users_view(self._read("customer"))
+
+    @cached_property
+    def movies(self) -> DataFrame:
+        return movies_view(self._read("part"))
+
+    @cached_property
+    def occupations(self) -> DataFrame:
+        return occupations_view(self._read("nation"))
+
+
+def star_tables(spark: SparkSession, sf_dir: str) -> StarTables:
+    """The four rating tables over ``{sf_dir}/*.parquet``; no row is read yet."""
+    return StarTables(spark, sf_dir)

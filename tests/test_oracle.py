@@ -6,22 +6,25 @@ import pytest
 import __spark_entry__ as contract
 from oracle_compare import compare, duck_connection
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+from reelscope.plans import ORACLE_SQL as ORACLE
+from reelscope.plans import QUERIES as ANALYSES
+
+QUERIES = {name: contract.queries()[name] for name in ANALYSES}
 
 # Result sizes at sf0.01.
 EXPECTED_ROWS = {
     "r1_table_counts": 4,
-    "r1_users_by_occupation": 1257,
-    "r2_user_movies": 34,
+    "r1_users_by_occupation": 1500,
+    "r2_user_movies": 39,
     "r5_cohort_semi_top100": 100,
     "r6_genre_counts": 23,
-    "r7_year_counts_two_word": 43,
-    "r7_year_counts": 49,
-    "r8_year_genre_counts_two_word": 804,
-    "r8_year_genre_counts": 916,
-    "r9_occupation_genre_counts": 483,
-    "r10_occupation_genre_sink": 483,
+    "r7_year_counts_two_word": 49,
+    "r7_title_parts": 2000,
+    "r7_year_counts": 55,
+    "r8_year_genre_counts_two_word": 918,
+    "r8_year_genre_counts": 1030,
+    "r9_occupation_genre_counts": 575,
+    "r10_occupation_genre_sink": 575,
     "x_all_age_top10": 70,
 }
 
@@ -58,5 +61,5 @@ def test_entry_smoke(spark):
 
 def test_known_counts_sf001(spark, sf001_dir):
     counts = {r.table_name: r.n for r in QUERIES["r1_table_counts"](spark, sf001_dir).collect()}
-    assert counts == {"occupations": 21, "movies": 1800, "users": 1500, "ratings": 60000}
+    assert counts == {"occupations": 25, "movies": 2000, "users": 1500, "ratings": 60000}
     assert QUERIES["r5_cohort_user_count"](spark, sf001_dir).first().n == 122

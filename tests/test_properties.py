@@ -50,7 +50,7 @@ def test_semi_count_equals_join_count_when_users_unique(t):
 
 def test_semi_count_without_broadcast_is_the_same(t):
     assert (
-        a.cohort_semi_count(t, broadcast_max_rows=0).first().n
+        a.cohort_semi_count(t, broadcast_max_bytes=0).first().n
         == a.cohort_semi_count(t).first().n
     )
 

@@ -60,7 +60,7 @@ def stats(ratings):
 @given(ratings_st, users_st, movies_st)
 def test_analyses_match_brute_force(spark, ratings, users, movies):
     movie_rows = [(m, title, g) for m, (title, g) in movies.items()]
-    occupations = [(0, "artist"), (1, "doctor"), (2, "artist")]  # id 3 unknown, a name used twice
+    occupations = [(0, "artist"), (1, "doctor"), (2, "artist"), (1, "nurse")]  # id 3 unknown, a name and an id used twice
     t = make_tables(spark, ratings, users, movie_rows, occupations)
     s = stats(ratings)
 

@@ -31,7 +31,7 @@ def test_duplicate_user_counts_twice_in_join_once_in_semi_join(spark):
     assert a.cohort_rating_count(t).first().n == 2
     assert a.cohort_semi_count(t).first().n == 1
     # with the broadcast turned off the semi-join gives the same answer
-    assert a.cohort_semi_count(t, broadcast_max_rows=0).first().n == 1
+    assert a.cohort_semi_count(t, broadcast_max_bytes=0).first().n == 1
 
 
 def test_missing_movie_in_short_top_not_in_detailed_top(spark):

@@ -100,7 +100,7 @@ def test_cohort_stats_under_skew(spark, skewed):
     by_text = [(avg, m) for avg, _, m in sorted(stats, key=lambda x: (-x[0], -x[1], str(x[2])))[:100]]
 
     with conf(spark, SKEW_CONF):
-        semi = a.cohort_semi_top(t, broadcast_max_rows=0).collect()
+        semi = a.cohort_semi_top(t, broadcast_max_bytes=0).collect()
         inner = a.cohort_top_avg(t, k=100).collect()
     assert [(r.avg_rating, r.movie_id) for r in semi] == by_text
     assert [(r.avg_rating, r.movie_id) for r in inner] == by_id

@@ -1,0 +1,38 @@
+"""The star adapter reads whole tables and refuses files without its columns."""
+
+import pytest
+
+from reelscope.plans import QUERIES
+from reelscope.sources.star import star_tables
+
+
+def test_every_row_of_the_raw_tables_is_there(spark, sf001_dir):
+    raw = {n: spark.read.parquet(f"{sf001_dir}/{n}.parquet") for n in ("nation", "part", "customer", "lineitem", "orders")}
+    counts = {r.table_name: r.n for r in QUERIES["r1_table_counts"](star_tables(spark, sf001_dir)).collect()}
+    rated = raw["lineitem"].join(raw["orders"], raw["lineitem"].l_orderkey == raw["orders"].o_orderkey)
+    assert counts == {
+        "occupations": raw["nation"].count(),
+        "movies": raw["part"].count(),
+        "users": raw["customer"].count(),
+        "ratings": rated.count(),
+    }
+
+
+def test_missing_column_is_an_error(spark, sf001_dir, tmp_path):
+    for name in ("lineitem", "orders"):
+        table = spark.read.parquet(f"{sf001_dir}/{name}.parquet")
+        table.drop("l_quantity").write.parquet(str(tmp_path / f"{name}.parquet"))
+    with pytest.raises(Exception, match="l_quantity"):
+        star_tables(spark, str(tmp_path)).ratings
+
+
+def test_rewritten_files_are_read_anew(spark, tmp_path):
+    path = str(tmp_path / "nation.parquet")
+    for n in (3, 5):
+        spark.range(n).selectExpr("cast(id as int) as n_nationkey", "'x' as n_name").write.mode("overwrite").parquet(path)
+        assert star_tables(spark, str(tmp_path)).occupations.count() == n
+
+
+def test_a_query_opens_only_its_tables(spark, tmp_path):
+    spark.range(2).selectExpr("cast(id as int) as n_nationkey", "'x' as n_name").write.parquet(str(tmp_path / "nation.parquet"))
+    assert star_tables(spark, str(tmp_path)).occupations.count() == 2

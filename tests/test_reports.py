@@ -45,8 +45,9 @@ def test_movie_report_equals_single_analyses(t, keep):
     assert all(df.storageLevel == StorageLevel.NONE for df in kept)
 
 
-def test_cohort_report_equals_single_analyses(t):
-    with cohort_report(t) as r:
+@pytest.mark.parametrize("keep", ["persist", "checkpoint"])
+def test_cohort_report_equals_single_analyses(t, keep):
+    with cohort_report(t, keep=keep) as r:
         assert set(r) == set(SINGLE_COHORT)
         for name, fn in SINGLE_COHORT.items():
             assert r[name].collect() == fn(t).collect(), name

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelscope.llm.staging import Staging
+from reelscope.llm.staging import Staging, bounded_batches
 from reelscope.llm.textgrams import slices, words
 
 WINDOW = 2
@@ -49,6 +49,7 @@ EPOCHS = 2
 STRIDE = 16
 BATCH = 512
 RATE = 0.4
+COUNT_BYTES = 8 << 20  # text counted together before its counts travel
 _PIECE = 8192  # parameters in one row of the averaging
 FAN = 1024  # groups of tasks averaged first, so the second average has at most so many inputs
 
@@ -68,24 +69,39 @@ def word_ids(hashes: np.ndarray, frequent: np.ndarray, ids: np.ndarray) -> np.nd
     return np.where(frequent[at] == hashes, ids[at], shared)
 
 
+@dataclass
+class Encoded:
+    """Word ids of some texts: ``padded`` holds each text between edge ids, ``place`` its words there."""
+
+    padded: np.ndarray
+    place: np.ndarray
+    first: np.ndarray  # each text's first word, and the number of words
+
+    @property
+    def ids(self) -> np.ndarray:
+        return self.padded[self.place]
+
+    def context(self, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """The ids on either side of the words ``rows``, one line for each."""
+        around = np.array([d for d in range(-WINDOW, WINDOW + 1) if d])
+        return self.padded[self.place[rows][:, None] + around]
+
+
 @dataclass
 class Vocabulary:
     frequent: np.ndarray
     ids: np.ndarray
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word ids of all texts, each text's first word, and the words' contexts."""
+    def encode(self, texts: pa.Array) -> Encoded:
         w = words(texts)
-        ids = word_ids(w.hashes, self.frequent, self.ids)
         rows = len(w.counts)
-        padded = np.full(len(ids) + 2 * WINDOW * rows, LEFT_EDGE, dtype=np.int64)
-        place = np.arange(len(ids)) + 2 * WINDOW * w.row_of_word() + WINDOW
-        padded[place] = ids
+        padded = np.full(len(w.hashes) + 2 * WINDOW * rows, LEFT_EDGE, dtype=np.int32)
+        place = np.arange(len(w.hashes)) + 2 * WINDOW * w.row_of_word() + WINDOW
+        padded[place] = word_ids(w.hashes, self.frequent, self.ids)
         ends = w.first[1:] + 2 * WINDOW * np.arange(rows) + WINDOW
         for k in range(WINDOW):
             padded[ends + k] = RIGHT_EDGE
-        around = [d for d in range(-WINDOW, WINDOW + 1) if d]
-        return ids, w.first, np.column_stack([padded[place + d] for d in around]) if len(ids) else np.zeros((0, len(around)), int)
+        return Encoded(padded, place, w.first)
 
 
 class Network:
@@ -135,23 +151,39 @@ class Network:
         z /= z.sum(axis=1, keepdims=True)
         return z
 
-    def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """log p(target | context) of each word."""
-        out = np.empty(len(target))
-        for at in range(0, len(target), 65536):
-            part = slice(at, at + 65536)
-            h = self.hidden(context[part])
-            own = target[part]
+    def _log_share(self, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Logarithm of the softmax at one column of each row."""
+        z = h @ weights.T
+        z += bias
+        if np.abs(weights).sum(1).max() + np.abs(bias).max() > 60:  # |h| is below 1, so exp cannot overflow otherwise
+            z -= z.max(axis=1, keepdims=True)
+        own = z[np.arange(len(z)), column]
+        np.exp(z, out=z)
+        return own - np.log(z.sum(axis=1))
+
+    def log_probabilities(self, text: Encoded) -> np.ndarray:
+        """log p(word | words on both sides) of each word."""
+        ids = text.ids
+        out = np.empty(len(ids))
+        at_place = [self.embed * p for p in self.position]
+        for at in range(0, len(ids), 32768):
+            part = slice(at, at + 32768)
+            context = text.context(part)
+            h = at_place[0][context[:, 0]]
+            for k in range(1, 2 * WINDOW):
+                h += at_place[k][context[:, k]]
+            np.tanh(h, out=h)
+            own = ids[part]
             block = own // BLOCK
-            p = self._softmax(h, self.block, self.block_bias)[np.arange(len(own)), block].astype(float)
+            p = self._log_share(h, self.block, self.block_bias, block).astype(float)
             order = np.argsort(block, kind="stable")
+            h, place = h[order], (own % BLOCK)[order]
             edges = np.searchsorted(block[order], np.arange(BLOCKS + 1))
             for b in np.flatnonzero(np.diff(edges)):
-                rows = order[edges[b] : edges[b + 1]]
-                words_of = slice(b * BLOCK, (b + 1) * BLOCK)
-                q = self._softmax(h[rows], self.word[words_of], self.word_bias[words_of])
-                p[rows] *= q[np.arange(len(rows)), own[rows] % BLOCK]
-            out[part] = np.log(np.maximum(p, 1e-30))
+                rows = slice(edges[b], edges[b + 1])
+                of = slice(b * BLOCK, (b + 1) * BLOCK)
+                p[order[rows]] += self._log_share(h[rows], self.word[of], self.word_bias[of], place[rows])
+            out[part] = p
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
@@ -184,7 +216,7 @@ class Network:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", COUNT_BYTES):
         hashes, counts = np.unique(words(batch.column("text")).hashes, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
@@ -217,13 +249,13 @@ def _trained(shared, epoch: int, stride: int) -> Callable:
         net = Network(flat.copy())
         seen = 0
         for batch in slices(batches, "text"):
-            ids, first, context = vocabulary.encode(batch.column("text"))
-            within = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
+            text = vocabulary.encode(batch.column("text"))
+            within = np.arange(len(text.place)) - np.repeat(text.first[:-1], np.diff(text.first))
             chosen = np.flatnonzero(within % stride == epoch % stride)
-            chosen = np.random.default_rng(len(ids)).permutation(chosen)
+            chosen = np.random.default_rng(len(within)).permutation(chosen)
+            context, ids = text.context(chosen), text.ids[chosen]
             for at in range(0, len(chosen), BATCH):
-                rows = chosen[at : at + BATCH]
-                net.train(context[rows], ids[rows])
+                net.train(context[at : at + BATCH], ids[at : at + BATCH])
             seen += len(chosen)
         if seen:
             task = TaskContext.get().partitionId()
@@ -286,10 +318,10 @@ def _scored(shared) -> Callable:
         vocabulary, flat = shared.value
         net = Network(flat)
         for batch in slices(batches, "text"):
-            ids, first, context = vocabulary.encode(batch.column("text"))
-            total = np.r_[0.0, np.cumsum(net.log_probabilities(context, ids))]
-            score = total[first[1:]] - total[first[:-1]]
-            n = np.diff(first)
+            text = vocabulary.encode(batch.column("text"))
+            total = np.r_[0.0, np.cumsum(net.log_probabilities(text))]
+            score = total[text.first[1:]] - total[text.first[:-1]]
+            n = np.diff(text.first)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -306,7 +338,7 @@ def _scored(shared) -> Callable:
 def score_documents(docs: DataFrame) -> DataFrame:
     """Train on ``docs`` (``doc_id``, ``text``) and score every row of it."""
     spark = docs.sparkSession
-    docs = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
+    docs = bounded_batches(docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text"))
     vocabulary, counts = corpus_vocabulary(docs, Staging(spark, "masked-lm"))
     net = train_network(docs, vocabulary, counts)
     return docs.mapInArrow(_scored(spark.sparkContext.broadcast((vocabulary, net.flat))), SCHEMA)

@@ -26,7 +26,7 @@ def test_vocabulary_counts_the_whole_corpus(spark):
     vocabulary, counts = lm.corpus_vocabulary(table(spark, rows), Staging(spark, "test"))
     flat = [w for _, t in rows for w in words(t)]
     assert counts.sum() == len(flat)
-    ids, first, context = vocabulary.encode(pa.array([t for _, t in rows], pa.string()))
+    ids = vocabulary.encode(pa.array([t for _, t in rows], pa.string())).ids
     assert (np.bincount(ids, minlength=lm.SIZE) == counts).all()
     assert len(set(ids.tolist())) == len(set(flat))
 
@@ -36,14 +36,15 @@ def test_words_beyond_the_frequent_share_ids(spark, monkeypatch):
     monkeypatch.setattr(lm, "SIZE", 64 + lm.SHARED)
     rows = [(1, " ".join(f"x{i}" for i in range(500)))]
     vocabulary, counts = lm.corpus_vocabulary(table(spark, rows), Staging(spark, "test"))
-    ids, _, _ = vocabulary.encode(pa.array([rows[0][1]]))
+    ids = vocabulary.encode(pa.array([rows[0][1]])).ids
     assert (np.bincount(ids, minlength=lm.SIZE) == counts).all() and (counts[:64] == 1).all()
 
 
 def test_context_is_both_sides():
     vocabulary = lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    ids, first, context = vocabulary.encode(pa.array(["a b c", None, "d"]))
-    a, b, c, d = ids
+    text = vocabulary.encode(pa.array(["a b c", None, "d"]))
+    first, context = text.first, text.context()
+    a, b, c, d = text.ids
     left, right = lm.LEFT_EDGE, lm.RIGHT_EDGE
     assert first.tolist() == [0, 3, 3, 4]
     assert context.tolist() == [[left, left, b, c], [left, a, c, right], [a, b, right, right], [left, left, right, right]]
@@ -55,7 +56,8 @@ def test_probabilities_add_up_and_match_by_hand():
     net.block[:] = rng.normal(0, 0.3, net.block.shape)
     net.word[:] = rng.normal(0, 0.3, net.word.shape)
     context = np.array([[1, 2, 3, 4]])
-    everything = net.log_probabilities(np.repeat(context, lm.SIZE, 0), np.arange(lm.SIZE))
+    every = np.array([[1, 2, i, 3, 4] for i in range(lm.SIZE)], dtype=np.int32).ravel()
+    everything = net.log_probabilities(lm.Encoded(every, np.arange(2, len(every), 5), np.array([0, lm.SIZE])))
     assert abs(np.exp(everything).sum() - 1) < 1e-4
     h = np.tanh(sum(net.embed[context[0, k]] * net.position[k] for k in range(4)))
     z = net.block @ h + net.block_bias
@@ -68,11 +70,12 @@ def test_probabilities_add_up_and_match_by_hand():
 def test_gradient_step_lowers_the_loss():
     rng = np.random.default_rng(1)
     net = lm.Network.start(np.ones(lm.SIZE))
-    context, target = rng.integers(0, 30, (256, 4)), rng.integers(0, 30, 256)
-    before = net.log_probabilities(context, target).mean()
+    padded = rng.integers(0, 30, 5 * 256).astype(np.int32)
+    text = lm.Encoded(padded, np.arange(2, len(padded), 5), np.array([0, 256]))
+    before = net.log_probabilities(text).mean()
     for _ in range(30):
-        net.train(context, target)
-    assert net.log_probabilities(context, target).mean() > before + 0.5
+        net.train(text.context(), text.ids)
+    assert net.log_probabilities(text).mean() > before + 0.5
 
 
 def test_training_beats_the_unigram_model_and_orders_texts(spark):
@@ -83,10 +86,10 @@ def test_training_beats_the_unigram_model_and_orders_texts(spark):
     vocabulary, counts = lm.corpus_vocabulary(docs, Staging(spark, "test"))
     start = lm.Network.start(counts)
     net = lm.train_network(docs, vocabulary, counts, epochs=4, stride=1)
-    ids, _, context = vocabulary.encode(pa.array([t for _, t in corpus(50, seed=2)]))
-    assert net.log_probabilities(context, ids).mean() > start.log_probabilities(context, ids).mean() + 0.2
-    own, first, context = vocabulary.encode(pa.array([t for _, t in shuffled]))
-    assert net.log_probabilities(context, own).mean() < net.log_probabilities(*vocabulary.encode(pa.array([t for _, t in rows]))[::-2]).mean()
+    unseen = vocabulary.encode(pa.array([t for _, t in corpus(50, seed=2)]))
+    assert net.log_probabilities(unseen).mean() > start.log_probabilities(unseen).mean() + 0.2
+    mixed = vocabulary.encode(pa.array([t for _, t in shuffled]))
+    assert net.log_probabilities(mixed).mean() < net.log_probabilities(unseen).mean()
 
 
 def test_scores_are_sums_over_the_words(spark):
@@ -95,8 +98,8 @@ def test_scores_are_sums_over_the_words(spark):
     vocabulary, counts = lm.corpus_vocabulary(docs, Staging(spark, "test"))
     net = lm.train_network(docs, vocabulary, counts)
     for r in lm.score_documents(docs).collect():
-        ids, _, context = vocabulary.encode(pa.array([dict(rows)[r.doc_id]]))
-        assert abs(net.log_probabilities(context, ids).sum() - r.log_likelihood) < 1e-3
+        text = vocabulary.encode(pa.array([dict(rows)[r.doc_id]]))
+        assert abs(net.log_probabilities(text).sum() - r.log_likelihood) < 1e-3
         assert abs(r.mean_log_likelihood - r.log_likelihood / 60) < 1e-9
 
 

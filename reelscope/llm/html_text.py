@@ -34,6 +34,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from reelscope.llm.staging import bounded_batches
 from reelscope.llm.textgrams import slices
 
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
@@ -177,15 +178,11 @@ def _walk(root: Node) -> list[Node]:
     return out
 
 
-def _inside(node: Node, tags: tuple[str, ...]) -> bool:
-    while node is not None:
-        if node.tag in tags or node.attributes.get("role") == "main":
-            return True
-        node = node.parent
-    return False
+def _is_main(node: Node) -> bool:
+    return node.tag in ("article", "main") or node.attributes.get("role") == "main"
 
 
-def _is_boilerplate(node: Node, holds_main: bool) -> bool:
+def _is_boilerplate(node: Node, holds_main: bool, in_main: bool) -> bool:
     if node.tag in DROPPED:
         return True
     if node.tag in ("#root", "html", "body", "main"):
@@ -201,8 +198,7 @@ def _is_boilerplate(node: Node, holds_main: bool) -> bool:
         return False
     if node.attributes.get("role", "").lower() in BOILERPLATE_ROLES or names & BOILERPLATE_WORDS:
         return True
-    page_level = not _inside(node.parent, ("article", "main"))
-    return page_level and (node.tag == "header" or bool(names & PAGE_HEADER_WORDS))
+    return not in_main and (node.tag == "header" or bool(names & PAGE_HEADER_WORDS))
 
 
 def prune(root: Node) -> None:
@@ -212,10 +208,14 @@ def prune(root: Node) -> None:
     for node in reversed(order):
         if node.tag in ("article", "main") or id(node) in holds_main:
             holds_main.add(id(node.parent))
+    in_main = set()
     for node in order:
+        if _is_main(node) or id(node.parent) in in_main:
+            in_main.add(id(node))
+        inside = id(node) in in_main
         if any(isinstance(c, Node) for c in node.children):
             node.children = [
-                c for c in node.children if isinstance(c, str) or not _is_boilerplate(c, id(c) in holds_main)
+                c for c in node.children if isinstance(c, str) or not _is_boilerplate(c, id(c) in holds_main, inside)
             ]
 
 
@@ -264,7 +264,7 @@ def _main_subtrees(order: list[Node]) -> tuple[list[Node], float]:
             break
         node = node.parent
     threshold = min(n.density for n in path)
-    whole = [n for n in path if n.tag in ("article", "main") or n.attributes.get("role") == "main"]
+    whole = [n for n in path if _is_main(n)]
     if whole:
         return [whole[-1]], threshold
     # other subtrees as dense as the threshold, hanging off the path
@@ -336,4 +336,4 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (``page_id``, ``url``, ``html``)."""
     rows = pages.selectExpr("cast(page_id as bigint) as page_id", "cast(url as string) as url", "cast(html as string) as html")
-    return rows.mapInArrow(_extract, SCHEMA)
+    return bounded_batches(rows).mapInArrow(_extract, SCHEMA)

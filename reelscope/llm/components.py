@@ -18,18 +18,13 @@ from reelscope.llm.staging import Staging
 
 
 def _roots(parent: DataFrame, stage: Staging, label: str) -> DataFrame:
-    """Follow ``p`` until every node points at a root."""
+    """Follow ``p`` until every node points at a root; a table is written only where that moves one."""
     step = 0
     while True:
         up = parent.select(F.col("c").alias("p"), F.col("p").alias("pp"))
-        parent = stage.write(
-            parent.join(up, "p").select("c", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved")),
-            f"{label}-jump{step}",
-        )
-        moved = parent.where("moved").limit(1).count()
-        parent = parent.drop("moved")
-        if not moved:
+        if parent.join(up.where("p <> pp"), "p", "left_semi").isEmpty():
             return parent
+        parent = stage.write(parent.join(up, "p").select("c", F.col("pp").alias("p")), f"{label}-jump{step}")
         step += 1
 
 
@@ -58,7 +53,7 @@ def connected_components(links: DataFrame, stage: Staging, label: str = "cc") ->
             labels = labels.join(root.withColumnRenamed("c", "component"), "component", "left").select(
                 "node", F.coalesce("p", "component").alias("component")
             )
-        labels = stage.write(labels, f"{label}-labels{turn}")
+            labels = stage.write(labels, f"{label}-labels{turn}")
         edges = stage.write(
             edges.join(root.select(F.col("c").alias("a"), F.col("p").alias("pa")), "a")
             .join(root.select(F.col("c").alias("b"), F.col("p").alias("pb")), "b")

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelscope.llm.staging import bounded_batches
 from reelscope.llm.textgrams import mix, sequences, shingles, slices, words
 
 SHINGLE = 5
@@ -159,7 +160,7 @@ def _pairs(index) -> Callable:
 def contaminated_pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id, item_id, n_item_shingles, n_shared``: every item that a document contains."""
     spark = docs.sparkSession
-    docs = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
+    docs = bounded_batches(docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text"))
     out = None
     for index in indexes(items):
         found = docs.mapInArrow(_pairs(spark.sparkContext.broadcast(index)), SCHEMA)
@@ -179,6 +180,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return run
 
+    bounded_batches(docs)
     for index in indexes(items):
         docs = docs.mapInArrow(clean(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
     return docs

@@ -56,7 +56,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelscope.llm.components import connected_components
-from reelscope.llm.staging import Staging
+from reelscope.llm.staging import Staging, bounded_batches
 from reelscope.llm.textgrams import mix, shingles, slices, words
 
 SHINGLE = 5
@@ -248,14 +248,13 @@ def _blooms(counts: DataFrame) -> list[np.ndarray]:
 
 
 def _bounded(ids: DataFrame) -> DataFrame:
-    """A written table of ids, broadcast to the texts while their number is bounded."""
+    """A small table of ids, broadcast to the texts while their number is bounded."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, blooms, stage: Staging, label: str) -> DataFrame:
     """Links among ``pairs`` (a, na, b, nb): the other orders' prefixes first, then the sets."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    ids = stage.write(ids, f"{label}-ids")
     full = stage.write(
         docs.join(_bounded(ids), "doc_id", "left_semi").mapInArrow(
             _full(blooms),
@@ -270,12 +269,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, blooms, stage: Staging, label:
             pairs = pairs.join(own, [side, f"n{side}"])
         return pairs
 
-    survivors = stage.write(
+    survivors = (
         both(pairs, "second", "third")
         .where("arrays_overlap(second_a, second_b) and arrays_overlap(third_a, third_b)")
         .select("a", "na", "b", "nb")
-        .distinct(),
-        f"{label}-survivors",
+        .distinct()
     )
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     linked = both(survivors, "tokens").where(100 * shared >= PERCENT * (F.col("na") + F.col("nb") - shared))
@@ -290,7 +288,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id``, ``text``)."""
     spark = docs.sparkSession
     stage = Staging(spark, "ngram-join")
-    docs = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
+    docs = bounded_batches(docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text"))
     sets = stage.write(docs.mapInArrow(_sets, "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>"), "hashed")
     # documents with equal sets
     first = stage.write(
@@ -310,6 +308,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     bloom = spark.sparkContext.broadcast(_bloom(counts))
     rich = sets.select("doc_id", "prefix").where("doc_id is not null").mapInArrow(_rich(bloom), "doc_id bigint")
     rich = stage.write(rich.join(copies.select("doc_id"), "doc_id", "left_anti").distinct(), "rich")
+    bloom.unpersist()
     among = (
         known.join(_bounded(rich), "doc_id", "left_semi")
         .mapInArrow(_tokens, "tokens array<bigint>")
@@ -330,10 +329,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
     shared = stage.write(
         prefixes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared"
     )
-    postings = prefixes.mapInArrow(
-        _postings(spark.sparkContext.broadcast(_bloom(shared))),
-        "doc_id bigint, n bigint, own bigint, pos int, token bigint",
-    )
+    listed = spark.sparkContext.broadcast(_bloom(shared))
+    postings = prefixes.mapInArrow(_postings(listed), "doc_id bigint, n bigint, own bigint, pos int, token bigint")
     alive = stage.write(
         postings.join(shared, "token")
         .join(copies, ["doc_id", "n"], "left")
@@ -341,6 +338,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
         .distinct(),
         "alive",
     )
+    listed.unpersist()
     stage.drop("prefixes")
 
     # first round: each list's documents against the one with the fewest tokens of its own
@@ -395,6 +393,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     rest = _verified(stage.write(pairs, "pairs"), known, blooms, stage, "rest")
+    blooms.unpersist()
 
     every = links.union(rest).union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     component = connected_components(every, stage, "all").withColumnRenamed("node", "doc_id")
@@ -413,7 +412,6 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     placed = stage.write(similar_components(docs), "components")
     copies = placed.where("component_id < doc_id").select("doc_id").distinct()
     repeated = placed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    copies, repeated = stage.write(copies, "copies"), stage.write(repeated, "repeated")
     kept = docs.join(_bounded(copies), "doc_id", "left_anti")
     if repeated.isEmpty():
         return kept.select(*docs.columns)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelscope.llm.staging import Staging
+from reelscope.llm.staging import Staging, bounded_batches
 from reelscope.llm.textgrams import mix, slices, span_hashes, words
 
 MAX_TOKENS = 4096
@@ -44,7 +44,7 @@ END_ID = 1
 GROUP_PIECES = 8192
 # Tokens decide; places and attention cost order sequences of equal fill.
 WEIGHTS = (1.0, 1e-3, 1e-3)
-_CACHE_UNITS = 1 << 21
+_CACHE_UNITS = 1 << 19
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -200,7 +200,7 @@ def tokenized_pieces(
     """One row per piece of each row of ``docs`` (``doc_id``, ``text``); with ``with_ids`` its ids too."""
     schema = PIECES if with_ids else PIECES.rpartition(", ")[0]
     rows = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
-    return rows.mapInArrow(_pieces(tokenizer_path, max_tokens, end_id, with_ids), schema)
+    return bounded_batches(rows).mapInArrow(_pieces(tokenizer_path, max_tokens, end_id, with_ids), schema)
 
 
 def best_fit(

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelscope.llm.staging import bounded_batches
 from reelscope.llm.textgrams import slices, words
 
 SAMPLE_ROWS = 20_000
@@ -215,7 +216,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
         .agg((F.avg("q") >= 0.5).cast("double").alias("label"))
     )
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
+    texts = bounded_batches(docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text"))
     rows = (
         texts.join(F.broadcast(chosen), "doc_id")  # at most sample_rows rows of two numbers
         .mapInArrow(_statistics_rows, "x array<double>, label double")
@@ -249,4 +250,4 @@ def score_quality(docs: DataFrame, model: Trees) -> DataFrame:
     rows = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"
     )
-    return rows.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model)), SCHEMA)
+    return bounded_batches(rows).mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model)), SCHEMA)

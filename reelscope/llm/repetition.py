@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from reelscope.llm.staging import bounded_batches
 from reelscope.llm.textgrams import Words, slices, utf8, words
 
 MIN_WORDS = 10
@@ -124,7 +125,7 @@ def repetition_rules(docs: DataFrame) -> DataFrame:
     repeated n-grams or lines pass ``GRAM_PERCENT`` / ``LINE_PERCENT``.
     """
     rows = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
-    return rows.mapInArrow(_measure, SCHEMA)
+    return bounded_batches(rows).mapInArrow(_measure, SCHEMA)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -145,4 +146,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(kept)], names=[*names, flag])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(flag, T.BooleanType())])
-    return docs.mapInArrow(judged, schema).where(flag).drop(flag)
+    return bounded_batches(docs).mapInArrow(judged, schema).where(flag).drop(flag)

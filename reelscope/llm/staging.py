@@ -19,14 +19,14 @@ ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, with Arrow batches of about 4 MB in its session unless a size is set there.
+    """``df``, with Arrow batches of about 2 MB in its session unless a size is set there.
 
     By default a batch may hold 10,000 rows of any length, and the JVM and the
     Python worker each keep one.
     """
     conf = df.sparkSession.conf
     if conf.get(ARROW_BYTES, None) is None:
-        conf.set(ARROW_BYTES, "4m")
+        conf.set(ARROW_BYTES, "2m")
     return df
 
 

@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
-SEGMENT_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 18
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -71,6 +71,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
 
 @dataclass

@@ -11,7 +11,8 @@ labels, and path prefixes as long as a rule path; a prefix whose length only
 rules ending in ``/`` have must itself end in ``/``.  A URL of a megabyte
 therefore yields no more expressions than the rules have shapes.  Rows meet
 on (host, path), not on the host, and repeated pairs are reduced before they
-travel, so a hot host or URL does not gather in one task.
+travel.  The verdicts are written to the shared folder and joined from there,
+a plain join that adaptive execution splits where one URL has many rows.
 
 Defined cases: a null URL or one without ``://`` has empty host and path; an
 empty host matches no rule.  Rules with a null or empty host are ignored, a
@@ -26,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelscope.llm.staging import Staging
+
 HASH_PREFIX = 8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -117,16 +120,18 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
         .select("host", "path", _digest(F.col("e.host"), F.col("e.path")).alias("own"))
         .withColumn("prefix", F.substring("own", 1, HASH_PREFIX))
     )
+    stage = Staging(pages.sparkSession, "url-rules")
     best = (
         expanded.join(hashed, "prefix")
         .where("own = digest")
         .groupBy("host", "path")
         .agg(F.max(F.struct(F.length("rule").alias("n"), "host_length", "rule", "verdict")).alias("best"))
     )
-    return urls.join(best, ["host", "path"], "left").select(
+    verdicts = stage.write(best.select("host", "path", "best.rule", "best.verdict"), "verdicts")
+    return urls.join(verdicts, ["host", "path"], "left").select(
         "page_id",
         "host",
         "path",
-        F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
+        "rule",
+        F.coalesce("verdict", F.lit(default)).alias("verdict"),
     )

@@ -12,9 +12,9 @@ Network: position-weighted sum of the neighbours' embeddings, tanh, and a
 softmax in two steps, over blocks of ids and within the block, both with
 biases that start at the corpus' log frequencies.  Training is local SGD in
 numpy: every task trains on the words of its own texts at positions
-``epoch modulo STRIDE``, all texts taking part; the tasks' parameters are
-averaged with the number of their words as weights, and the next epoch starts
-from there.  Parameters travel in pieces of 32 KB and are averaged in two
+``epoch modulo STRIDE``; ``EPOCHS`` is ``STRIDE``, so every word of every text
+is a target once.  The tasks' parameters are averaged with the number of their
+words as weights, and the next epoch starts from there.  Parameters travel in pieces of 32 KB and are averaged in two
 levels, so no group takes in the pieces of all tasks.
 
 Scoring is one pass without a shuffle; the broadcast network has a fixed
@@ -46,8 +46,9 @@ SHARED = 1024
 BLOCK = 64
 WIDTH = 32
 EPOCHS = 2
-STRIDE = 16
+STRIDE = EPOCHS
 BATCH = 512
+GROUP = 16  # targets of one block multiplied together in a step
 RATE = 0.4
 COUNT_BYTES = 8 << 20  # text counted together before its counts travel
 _PIECE = 8192  # parameters in one row of the averaging
@@ -198,21 +199,47 @@ class Network:
         step = rate / np.float32(math.sqrt(len(target)))
         self.block -= step * (error.T @ h)
         self.block_bias -= step * error.sum(0)
+        # targets of one block side by side, in groups of GROUP places, so all blocks are multiplied at once
         order = np.argsort(block, kind="stable")
-        edges = np.searchsorted(block[order], np.arange(BLOCKS + 1))
-        for b in np.flatnonzero(np.diff(edges)):
-            own = order[edges[b] : edges[b + 1]]
-            words_of = slice(b * BLOCK, (b + 1) * BLOCK)
-            error = self._softmax(h[own], self.word[words_of], self.word_bias[words_of])
-            error[np.arange(len(own)), target[own] % BLOCK] -= 1
-            back[own] += error @ self.word[words_of]
-            self.word[words_of] -= step * (error.T @ h[own])
-            self.word_bias[words_of] -= step * error.sum(0)
+        sizes = np.bincount(block, minlength=BLOCKS)
+        groups = -(-sizes // GROUP)
+        first = np.cumsum(groups) - groups
+        within = rows - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        place = first[block[order]] * GROUP + within
+        of = np.repeat(np.arange(BLOCKS), groups)
+        words, biases = self.word.reshape(BLOCKS, BLOCK, WIDTH), self.word_bias.reshape(BLOCKS, BLOCK)
+        inputs = np.zeros((len(of) * GROUP, WIDTH), dtype=np.float32)
+        inputs[place] = h[order]
+        inputs = inputs.reshape(-1, GROUP, WIDTH)
+        weights = words[of]
+        error = inputs @ weights.transpose(0, 2, 1)
+        error += biases[of][:, None]
+        error -= error.max(axis=2, keepdims=True)
+        np.exp(error, out=error)
+        error /= error.sum(axis=2, keepdims=True)
+        flat = error.reshape(-1, BLOCK)
+        flat[place, target[order] % BLOCK] -= 1
+        empty = np.ones(len(flat), dtype=bool)
+        empty[place] = False
+        flat[empty] = 0
+        back[order] += (error @ weights).reshape(-1, WIDTH)[place]
+        by_word, by_bias = step * (error.transpose(0, 2, 1) @ inputs), step * error.sum(1)
+        nth = np.arange(len(of)) - first[of]  # a block's groups one after another, as an index may stand only once
+        for k in range(groups.max()):
+            now = np.flatnonzero(nth == k)
+            words[of[now]] -= by_word[now]
+            biases[of[now]] -= by_bias[now]
         back *= 1 - h * h
+        change = np.empty((2 * WINDOW, len(target), WIDTH), dtype=np.float32)
         for k in range(2 * WINDOW):
-            of = self.embed[context[:, k]]
-            np.subtract.at(self.embed, context[:, k], step * back * self.position[k])
-            self.position[k] -= step * (back * of).sum(0)
+            near = self.embed[context[:, k]]
+            np.multiply(back, step * self.position[k], out=change[k])
+            self.position[k] -= step * (back * near).sum(0)
+        ids = context.T.ravel()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        self.embed[ids[starts]] -= np.add.reduceat(change.reshape(-1, WIDTH)[order], starts)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,6 +270,13 @@ def corpus_vocabulary(docs: DataFrame, stage: Staging) -> tuple[Vocabulary, np.n
     return Vocabulary(frequent.view(np.uint64), ids), total
 
 
+def targets(text: Encoded, epoch: int, stride: int = STRIDE) -> np.ndarray:
+    """The words an epoch trains on, mixed; each word is one in one of ``stride`` epochs."""
+    within = np.arange(len(text.place)) - np.repeat(text.first[:-1], np.diff(text.first))
+    chosen = np.flatnonzero(within % stride == epoch % stride)
+    return np.random.default_rng(len(within)).permutation(chosen)
+
+
 def _trained(shared, epoch: int, stride: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat = shared.value
@@ -250,9 +284,7 @@ def _trained(shared, epoch: int, stride: int) -> Callable:
         seen = 0
         for batch in slices(batches, "text"):
             text = vocabulary.encode(batch.column("text"))
-            within = np.arange(len(text.place)) - np.repeat(text.first[:-1], np.diff(text.first))
-            chosen = np.flatnonzero(within % stride == epoch % stride)
-            chosen = np.random.default_rng(len(within)).permutation(chosen)
+            chosen = targets(text, epoch, stride)
             context, ids = text.context(chosen), text.ids[chosen]
             for at in range(0, len(chosen), BATCH):
                 net.train(context[at : at + BATCH], ids[at : at + BATCH])

@@ -92,6 +92,22 @@ def test_training_beats_the_unigram_model_and_orders_texts(spark):
     assert net.log_probabilities(mixed).mean() < net.log_probabilities(unseen).mean()
 
 
+def test_every_word_is_a_target_once():
+    vocabulary = lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    text = vocabulary.encode(pa.array([" ".join(f"w{i}" for i in range(n)) for n in (0, 1, 2, 15, 16, 17, 40)]))
+    seen = np.concatenate([lm.targets(text, epoch) for epoch in range(lm.EPOCHS)])
+    assert sorted(seen.tolist()) == list(range(len(text.place)))
+
+
+def test_registered_training_beats_the_unigram_model_on_held_out_text(spark):
+    docs = table(spark, corpus(1500))
+    vocabulary, counts = lm.corpus_vocabulary(docs, Staging(spark, "test"))
+    net = lm.train_network(docs, vocabulary, counts)
+    unseen = vocabulary.encode(pa.array([t for _, t in corpus(50, seed=2)]))
+    gain = net.log_probabilities(unseen).mean() - lm.Network.start(counts).log_probabilities(unseen).mean()
+    assert gain > 2.5, gain  # 1.5 when only one word in eight was a target
+
+
 def test_scores_are_sums_over_the_words(spark):
     rows = corpus(50)
     docs = table(spark, rows)

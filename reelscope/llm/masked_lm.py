@@ -4,9 +4,12 @@ Every word of a text is predicted from the ``WINDOW`` words on either side of
 it by a small network; the sum of the log-probabilities of all its words is
 the text's pseudo-log-likelihood.
 
-Vocabulary: word counts over the whole corpus; the ``FREQUENT`` most frequent
-words (by count, then hash) have an id of their own, every other word shares
-one of ``SHARED`` ids chosen by its hash, and two ids mark a text's edges.
+Vocabulary: word counts over the whole corpus; the most frequent words (by
+count, then hash) have an id of their own, ``FREQUENT`` of them and more with
+the square root of the number of distinct words (``own_ids``).  Every other
+word shares one of ``SHARED`` ids chosen by its hash; its probability is that
+of the id times the word's part of the id's count in the corpus, so the
+probabilities of all words add up to 1.  Two ids mark a text's edges.
 
 Network: position-weighted sum of the neighbours' embeddings, tanh, and a
 softmax in two steps, over blocks of ids and within the block, both with
@@ -17,8 +20,10 @@ is a target once.  The tasks' parameters are averaged with the number of their
 words as weights, and the next epoch starts from there.  Parameters travel in pieces of 32 KB and are averaged in two
 levels, so no group takes in the pieces of all tasks.
 
-Scoring is one pass without a shuffle; the broadcast network has a fixed
-size (``parameters`` of some 1.2 MB).
+Scoring is one pass over the texts with the network broadcast (some 1.1 MB and
+260 bytes an id beyond ``FREQUENT``).  The counts of all words stay in a written
+table; what the words of shared ids add is joined from it, by word, and summed
+by text.  Copies of a text are summed together and parted again by their number.
 
 Defined cases: a null, empty or blank text has no words, a sum of 0 and a
 null mean; an empty table gives no rows; repeated rows count as often as they
@@ -54,16 +59,20 @@ COUNT_BYTES = 8 << 20  # text counted together before its counts travel
 _PIECE = 8192  # parameters in one row of the averaging
 FAN = 1024  # groups of tasks averaged first, so the second average has at most so many inputs
 
-SIZE = FREQUENT + SHARED
-LEFT_EDGE, RIGHT_EDGE = SIZE, SIZE + 1
-BLOCKS = SIZE // BLOCK
+SIZE = FREQUENT + SHARED  # ids at least
+LEFT_EDGE, RIGHT_EDGE = SIZE, SIZE + 1  # ids of the edges in that case
 
 SCHEMA = "doc_id bigint, n_words bigint, log_likelihood double, mean_log_likelihood double"
 
 
-def word_ids(hashes: np.ndarray, frequent: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Ids of word hashes; ``frequent``: sorted hashes of the words with ids of their own."""
-    shared = FREQUENT + (hashes % np.uint64(SHARED)).astype(np.int64)
+def own_ids(distinct: int) -> int:
+    """Words with an id of their own, of so many distinct ones."""
+    return FREQUENT + BLOCK * int(2 * math.sqrt(distinct) / BLOCK)
+
+
+def word_ids(hashes: np.ndarray, frequent: np.ndarray, ids: np.ndarray, own: int) -> np.ndarray:
+    """Ids of word hashes; ``frequent``: sorted hashes of the words with ids of their own, ``own`` at most."""
+    shared = own + (hashes % np.uint64(SHARED)).astype(np.int64)
     if not len(frequent):
         return shared
     at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
@@ -92,31 +101,33 @@ class Encoded:
 class Vocabulary:
     frequent: np.ndarray
     ids: np.ndarray
+    own: int = FREQUENT
 
     def encode(self, texts: pa.Array) -> Encoded:
         w = words(texts)
         rows = len(w.counts)
-        padded = np.full(len(w.hashes) + 2 * WINDOW * rows, LEFT_EDGE, dtype=np.int32)
+        left, right = self.own + SHARED, self.own + SHARED + 1
+        padded = np.full(len(w.hashes) + 2 * WINDOW * rows, left, dtype=np.int32)
         place = np.arange(len(w.hashes)) + 2 * WINDOW * w.row_of_word() + WINDOW
-        padded[place] = word_ids(w.hashes, self.frequent, self.ids)
+        padded[place] = word_ids(w.hashes, self.frequent, self.ids, self.own)
         ends = w.first[1:] + 2 * WINDOW * np.arange(rows) + WINDOW
         for k in range(WINDOW):
-            padded[ends + k] = RIGHT_EDGE
+            padded[ends + k] = right
         return Encoded(padded, place, w.first)
 
 
 class Network:
-    """All parameters in one float32 vector, with views by name."""
+    """All parameters for ``size`` ids in one float32 vector, with views by name."""
 
-    def __init__(self, flat: np.ndarray):
-        self.flat = flat
+    def __init__(self, flat: np.ndarray, size: int):
+        self.flat, self.size, self.blocks = flat, size, size // BLOCK
         shapes = {
-            "embed": (SIZE + 2, WIDTH),
+            "embed": (size + 2, WIDTH),
             "position": (2 * WINDOW, WIDTH),
-            "block": (BLOCKS, WIDTH),
-            "block_bias": (BLOCKS,),
-            "word": (SIZE, WIDTH),
-            "word_bias": (SIZE,),
+            "block": (self.blocks, WIDTH),
+            "block_bias": (self.blocks,),
+            "word": (size, WIDTH),
+            "word_bias": (size,),
         }
         at = 0
         for name, shape in shapes.items():
@@ -124,17 +135,18 @@ class Network:
             at += math.prod(shape)
 
     @staticmethod
-    def length() -> int:
-        return (SIZE + 2) * WIDTH + 2 * WINDOW * WIDTH + BLOCKS * (WIDTH + 1) + SIZE * (WIDTH + 1)
+    def length(size: int) -> int:
+        return (size + 2) * WIDTH + 2 * WINDOW * WIDTH + (size // BLOCK + size) * (WIDTH + 1)
 
     @classmethod
     def start(cls, counts: np.ndarray) -> Network:
-        net = cls(np.zeros(cls.length(), dtype=np.float32))
+        size = len(counts)
+        net = cls(np.zeros(cls.length(size), dtype=np.float32), size)
         rng = np.random.default_rng(0)
         net.embed[:] = rng.normal(0, 0.1, net.embed.shape)
         net.position[:] = 1
-        share = (counts + 0.5) / (counts.sum() + 0.5 * SIZE)
-        blocks = share.reshape(BLOCKS, BLOCK).sum(1)
+        share = (counts + 0.5) / (counts.sum() + 0.5 * size)
+        blocks = share.reshape(net.blocks, BLOCK).sum(1)
         net.block_bias[:] = np.log(blocks)
         net.word_bias[:] = np.log(share / np.repeat(blocks, BLOCK))
         return net
@@ -179,7 +191,7 @@ class Network:
             p = self._log_share(h, self.block, self.block_bias, block).astype(float)
             order = np.argsort(block, kind="stable")
             h, place = h[order], (own % BLOCK)[order]
-            edges = np.searchsorted(block[order], np.arange(BLOCKS + 1))
+            edges = np.searchsorted(block[order], np.arange(self.blocks + 1))
             for b in np.flatnonzero(np.diff(edges)):
                 rows = slice(edges[b], edges[b + 1])
                 of = slice(b * BLOCK, (b + 1) * BLOCK)
@@ -201,13 +213,13 @@ class Network:
         self.block_bias -= step * error.sum(0)
         # targets of one block side by side, in groups of GROUP places, so all blocks are multiplied at once
         order = np.argsort(block, kind="stable")
-        sizes = np.bincount(block, minlength=BLOCKS)
+        sizes = np.bincount(block, minlength=self.blocks)
         groups = -(-sizes // GROUP)
         first = np.cumsum(groups) - groups
         within = rows - np.repeat(np.cumsum(sizes) - sizes, sizes)
         place = first[block[order]] * GROUP + within
-        of = np.repeat(np.arange(BLOCKS), groups)
-        words, biases = self.word.reshape(BLOCKS, BLOCK, WIDTH), self.word_bias.reshape(BLOCKS, BLOCK)
+        of = np.repeat(np.arange(self.blocks), groups)
+        words, biases = self.word.reshape(-1, BLOCK, WIDTH), self.word_bias.reshape(-1, BLOCK)
         inputs = np.zeros((len(of) * GROUP, WIDTH), dtype=np.float32)
         inputs[place] = h[order]
         inputs = inputs.reshape(-1, GROUP, WIDTH)
@@ -248,26 +260,70 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
 
-def corpus_vocabulary(docs: DataFrame, stage: Staging) -> tuple[Vocabulary, np.ndarray]:
-    """The vocabulary and the count of each id, over all rows of ``docs`` (``text``)."""
-    counts = stage.write(
-        docs.select("text").mapInArrow(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words"
-    )
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+def word_counts(docs: DataFrame, stage: Staging) -> DataFrame:
+    """``word, n`` of every distinct word in all rows of ``docs`` (``text``), by hash."""
+    counted = docs.select("text").mapInArrow(_counted, "word bigint, n bigint")
+    return stage.write(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """The vocabulary and the count of each id, from the counts of all words."""
+    own = own_ids(counts.count())
+    top = counts.orderBy(F.desc("n"), "word").limit(own).collect()
     rank = {r.word: i for i, r in enumerate(top)}
     frequent = np.array(sorted(rank, key=lambda w: w & (2**64 - 1)), dtype=np.int64)
     ids = np.array([rank[w] for w in frequent.tolist()], dtype=np.int64)
     # ids of shared words: the hash's low bits, as in word_ids
     shared = F.pmod(F.col("word").bitwiseAND(F.lit(SHARED - 1)), F.lit(SHARED))
     rest = counts.groupBy(shared.alias("id")).agg(F.sum("n").alias("n")).collect()
-    total = np.zeros(SIZE)
+    total = np.zeros(own + SHARED)
     for r in rest:
-        total[FREQUENT + r.id] += r.n
+        total[own + r.id] += r.n
     for r in top:
         total[rank[r.word]] = r.n
-        total[FREQUENT + (r.word & (SHARED - 1))] -= r.n
-    stage.drop("words")
-    return Vocabulary(frequent.view(np.uint64), ids), total
+        total[own + (r.word & (SHARED - 1))] -= r.n
+    return Vocabulary(frequent.view(np.uint64), ids, own), total
+
+
+def corpus_vocabulary(docs: DataFrame, stage: Staging) -> tuple[Vocabulary, np.ndarray]:
+    """The vocabulary and the count of each id, over all rows of ``docs`` (``text``)."""
+    return vocabulary_of(word_counts(docs, stage))
+
+
+def _sharing(shared) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        for batch in slices(batches, "text"):
+            w = words(batch.column("text"))
+            ids = word_ids(w.hashes, vocabulary.frequent, vocabulary.ids, vocabulary.own)
+            at = np.flatnonzero(ids >= vocabulary.own)
+            rows, hashes = w.row_of_word()[at], w.hashes[at]
+            order = np.lexsort((hashes, rows))
+            rows, hashes = rows[order], hashes[order]
+            starts = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])][: len(rows)])
+            times = np.diff(np.r_[starts, len(rows)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("key").take(pa.array(rows[starts])),
+                    pa.array(hashes[starts].view(np.int64)),
+                    pa.array(times.astype(np.int32)),
+                ],
+                names=["key", "word", "times"],
+            )
+
+    return run
+
+
+def shared_words(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, stage: Staging) -> DataFrame:
+    """``key, log_counts, times`` over all rows of ``docs`` (``key``, ``text``) of one ``key``: the
+    words of shared ids in them and the sum of the logarithms of their counts."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    found = docs.select("key", "text").mapInArrow(_sharing(shared), "key bigint, word bigint, times int")
+    joined = found.join(counts.hint("merge"), "word")
+    sums = joined.groupBy("key").agg(
+        F.sum(F.col("times") * F.log("n")).alias("log_counts"), F.sum("times").alias("times")
+    )
+    return stage.write(sums, "shared")
 
 
 def targets(text: Encoded, epoch: int, stride: int = STRIDE) -> np.ndarray:
@@ -280,7 +336,7 @@ def targets(text: Encoded, epoch: int, stride: int = STRIDE) -> np.ndarray:
 def _trained(shared, epoch: int, stride: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat = shared.value
-        net = Network(flat.copy())
+        net = Network(flat.copy(), vocabulary.own + SHARED)
         seen = 0
         for batch in slices(batches, "text"):
             text = vocabulary.encode(batch.column("text"))
@@ -337,40 +393,62 @@ def train_network(
         shared = spark.sparkContext.broadcast((vocabulary, net.flat))
         parts = texts.mapInArrow(_trained(shared, epoch, stride), _AVERAGED)
         some = parts.groupBy("piece", (F.col("task") % FAN).alias("part")).applyInArrow(_average, _AVERAGED)
-        rows = some.groupBy("piece").applyInArrow(_average, _AVERAGED).collect()  # the network itself, a fixed size
+        rows = some.groupBy("piece").applyInArrow(_average, _AVERAGED).collect()  # the network itself
         flat = net.flat.copy()
         for r in rows:
             flat[r.piece * _PIECE : r.piece * _PIECE + len(r.data) // 4] = np.frombuffer(r.data, np.float32)
-        net = Network(flat)
+        net = Network(flat, net.size)
     return net
 
 
 def _scored(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, flat = shared.value
-        net = Network(flat)
+        vocabulary, flat, counts = shared.value
+        net = Network(flat, vocabulary.own + SHARED)
+        # what the count of a shared id takes from the logarithm of a word's count
+        less = np.log(np.maximum(counts, 1))
+        less[: vocabulary.own] = 0
         for batch in slices(batches, "text"):
             text = vocabulary.encode(batch.column("text"))
-            total = np.r_[0.0, np.cumsum(net.log_probabilities(text))]
+            ids = text.ids
+            total = np.r_[0.0, np.cumsum(net.log_probabilities(text) - less[ids])]
             score = total[text.first[1:]] - total[text.first[:-1]]
-            n = np.diff(text.first)
+            alike = np.r_[0, np.cumsum(ids >= vocabulary.own)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(n, pa.int64()),
-                    pa.array(np.where(n > 0, score, 0.0)),
-                    pa.array(score / np.maximum(n, 1), mask=n == 0),
+                    batch.column("key"),
+                    pa.array(np.diff(text.first), pa.int64()),
+                    pa.array(alike[text.first[1:]] - alike[text.first[:-1]], pa.int64()),
+                    pa.array(score),
                 ],
-                names=["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"],
+                names=["doc_id", "key", "n_words", "n_shared", "score"],
             )
 
     return run
 
 
+_SCORED = "doc_id bigint, key bigint, n_words bigint, n_shared bigint, score double"
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """Train on ``docs`` (``doc_id``, ``text``) and score every row of it."""
     spark = docs.sparkSession
+    stage = Staging(spark, "masked-lm")
     docs = bounded_batches(docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text"))
-    vocabulary, counts = corpus_vocabulary(docs, Staging(spark, "masked-lm"))
+    docs = docs.withColumn("key", F.xxhash64("text"))
+    words_of = word_counts(docs, stage)
+    vocabulary, counts = vocabulary_of(words_of)
     net = train_network(docs, vocabulary, counts)
-    return docs.mapInArrow(_scored(spark.sparkContext.broadcast((vocabulary, net.flat))), SCHEMA)
+    sums = shared_words(docs, vocabulary, words_of, stage)
+    stage.drop("words")
+    scored = docs.mapInArrow(_scored(spark.sparkContext.broadcast((vocabulary, net.flat, counts))), _SCORED)
+    # all copies of a text have n_shared words each
+    added = F.coalesce(F.col("log_counts") * F.col("n_shared") / F.col("times"), F.lit(0.0))
+    score = F.when(F.col("n_words") > 0, F.col("score") + added).otherwise(0.0)
+    return scored.join(sums, "key", "left").select(
+        "doc_id",
+        "n_words",
+        score.alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("mean_log_likelihood"),
+    )

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,30 @@ def test_scores_are_sums_over_the_words(spark):
         assert abs(r.mean_log_likelihood - r.log_likelihood / 60) < 1e-9
 
 
+def test_words_of_a_shared_id_have_their_own_probabilities(spark, monkeypatch):
+    monkeypatch.setattr(lm, "own_ids", lambda distinct: 0)  # on the driver; the tasks take it from the vocabulary
+    rng = random.Random(3)
+    texts = [" ".join(f"x{int(3000 * rng.random() ** 3)}" for _ in range(40)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:5], "x1", "x2999 x2999"])]
+    counts = Counter(w for _, t in rows for w in words(t))
+    docs = table(spark, rows)
+    vocabulary, of_id = lm.corpus_vocabulary(docs, Staging(spark, "test"))
+    net = lm.train_network(docs, vocabulary, of_id)
+    got = {r.doc_id: r for r in lm.score_documents(docs).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        text = vocabulary.encode(pa.array([t]))
+        share = [np.log(counts[w] / of_id[k]) for w, k in zip(words(t), text.ids.tolist())]
+        assert abs(net.log_probabilities(text).sum() + sum(share) - got[i].log_likelihood) < 1e-2
+
+
+def test_own_ids_grow_with_the_distinct_words(spark):
+    rows = [(i, " ".join(f"y{i * 100 + k}" for k in range(100))) for i in range(60)]
+    vocabulary, counts = lm.corpus_vocabulary(table(spark, rows), Staging(spark, "test"))
+    assert len(vocabulary.ids) == lm.own_ids(6000) > lm.FREQUENT and len(counts) == lm.own_ids(6000) + lm.SHARED
+    assert counts.sum() == 6000 and lm.own_ids(10**8) > 5 * lm.FREQUENT
+
+
 def test_edge_rows(spark):
     got = lm.score_documents(edge_docs(spark)).collect()
     assert sorted(((r.doc_id, r.n_words) for r in got), key=repr) == sorted(((i, len(words(t))) for i, t in EDGE_TEXTS), key=repr)

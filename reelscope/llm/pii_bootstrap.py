@@ -4,9 +4,11 @@ Base kinds (``KINDS``) are found by regular expressions with checks (parts of
 an address at most 255, Luhn digits, digit counts).  The method then learns
 where such identifiers stand and adds what it finds there:
 
-1. Every base span and every other word with a digit or ``@`` is an
-   occurrence of an instance (its text); the two words before it, and the
-   words on both sides, are its lexical patterns.
+1. Every base span is an occurrence of an instance (its text), and so is
+   every other word with a digit or ``@``, run of digit groups (``(017)
+   555-7713``) and address in words (``ann at host dot org``); the two words
+   before it, and the words on both sides, are its lexical patterns.  A word
+   inside a run or address stands for itself only if it has a shape of step 3.
 2. Instances seen as a base span are seeds of its kind.  On the graph of
    patterns and instances a pattern's confidence for a kind is the mean
    confidence of its instances, an instance's the noisy-or of its accepted
@@ -51,7 +53,7 @@ KINDS = {
 ORDER = list(KINDS)
 # The least a discovered identifier must look like.
 SHAPES = {
-    "email": r"@",
+    "email": r"@|[\x20(\[]at[\x20)\]]",
     "ip": r"[0-9a-fA-F]+[.:][0-9a-fA-F]+[.:]",
     "card": r"(?:[0-9][^0-9]?){12}",
     "phone": r"(?:[0-9][^0-9]?){7}",
@@ -63,6 +65,12 @@ CONTEXT = 64
 
 _SPACE = r"\x20\x09-\x0D"
 _CANDIDATE = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
+# Digit groups joined by spaces, brackets, dots or hyphens: phones and cards without their checks.
+_RUN = r"(?<![\p{L}\p{N}+(.-])\+?\(?[0-9]++(?:[\x20().-]{1,3}+[0-9]++(?![\p{L}\p{N}]))++"
+_AT = r"(?:\x20at\x20|\x20?[(\[]at[)\]]\x20?)"
+_DOT = r"(?:\x20dot\x20|\x20?[(\[]dot[)\]]\x20?|\.)"
+_ADDRESS = rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++"
+_CANDIDATES = {"word": _CANDIDATE, "run": _RUN, "address": _ADDRESS}
 _SPAN = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
 
 
@@ -184,7 +192,7 @@ def _kind_spans(kind: str) -> Column:
 
 def _with_spans(rows: DataFrame, *others: str) -> DataFrame:
     """``rows`` with ``spans``, all base spans by start, then kind; matches of ``others`` are kept too."""
-    matched = _matched(rows, KINDS | ({"word": _CANDIDATE} if others else {}))
+    matched = _matched(rows, KINDS | {name: _CANDIDATES[name] for name in others})
     kept = [*rows.columns, *(f"{name}_{part}" for name in others for part in ("values", "gaps"))]
     return matched.select(*kept, F.array_sort(F.concat(*(_kind_spans(kind) for kind in ORDER))).alias("spans"))
 
@@ -202,9 +210,23 @@ def _masked(word: Column) -> Column:
     return F.translate(F.lower(word), "123456789", "000000000")
 
 
+def _apart(c: Column, others: Column) -> Column:
+    return ~F.exists(others, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
+
+
+def _wide() -> Column:
+    """Runs and addresses apart from the base spans; a column of its own, as every word is held against it."""
+
+    def whole(s: Column) -> Column:
+        rank = F.lit(-1).alias("rank")
+        return F.struct(s["start"].alias("start"), rank, *(s[k].alias(k) for k in ("end", "value", "left", "right")))
+
+    return F.filter(F.transform(F.concat(_found("run"), _found("address")), whole), lambda c: _apart(c, F.col("spans")))
+
+
 def _occurrences() -> Column:
-    """Base spans and the other candidate words, with the words around them."""
-    spans = F.col("spans")
+    """Base spans and the other candidates, with the words around them."""
+    spans, wide = F.col("spans"), F.col("wide")
 
     def core(s: Column) -> Column:
         lead = F.length(F.regexp_extract(s["value"], r"^[^\p{L}\p{N}+]++", 0))
@@ -220,9 +242,19 @@ def _occurrences() -> Column:
             s["right"].alias("right"),
         )
 
-    free = F.filter(
-        F.transform(_found("word"), core),
-        lambda c: (c["end"] > c["start"]) & ~F.exists(spans, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])),
+    word = F.filter(F.transform(_found("word"), core), lambda c: (c["end"] > c["start"]) & _apart(c, spans))
+    any_shape = "|".join(SHAPES.values())
+    # of the words in a wide candidate those of a shape, unless they are all of it
+    free = F.concat(
+        wide,
+        F.filter(
+            word,
+            lambda c: _apart(c, wide)
+            | (
+                c["value"].rlike(any_shape)
+                & ~F.exists(wide, lambda s: (s["start"] == c["start"]) & (s["end"] == c["end"]))
+            ),
+        ),
     )
 
     def placed(s: Column) -> Column:
@@ -309,7 +341,7 @@ def _text(docs: DataFrame) -> DataFrame:
 
 def _bases(docs: DataFrame, stage: Staging) -> DataFrame:
     """Each row's base spans and occurrences, without its text."""
-    rows = _with_spans(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), "word")
+    rows = _with_spans(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), *_CANDIDATES).withColumn("wide", _wide())
     return stage.write(
         rows.select("doc_id", "text_hash", _slim(F.col("spans")).alias("base"), _occurrences().alias("occurrences")), "base"
     )

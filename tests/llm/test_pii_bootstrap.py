@@ -104,6 +104,35 @@ def test_contexts_find_unseen_identifiers(spark):
     assert clean[51] == unseen[1][1] and clean[80] == other[0][1]
 
 
+def test_contexts_find_identifiers_with_spaces(spark):
+    rows = [(i, f"note {i} call me at +1 (017) 555-77{i:02} soon") for i in range(20)]
+    cards = [(100 + i, f"note {i} paid by card {c} then") for i, c in enumerate(valid_cards(20))]
+    mails = [(200 + i, f"note {i} please write to ann{i}@host.org now") for i in range(20)]
+    unseen = {
+        50: ("she said call me at (017) 555-7713 please", "(017) 555-7713", "phone"),
+        51: ("bob paid by card 4111 1111 1111 1112 then", "4111 1111 1111 1112", "card"),
+        52: ("and please write to bob at host dot org now", "bob at host dot org", "email"),
+    }
+    other = [(60, "they met at (017) 555-7713 points"), (61, "bob sat at host dot org alone")]
+    docs = table(spark, [*rows, *cards, *mails, *((i, t) for i, (t, _, _) in unseen.items()), *other])
+    got = {r.doc_id: r.spans for r in find_personal_data(docs).collect()}
+    clean = {r.doc_id: r.text for r in redact(docs).collect()}
+    for i, (text, value, kind) in unseen.items():
+        start = text.index(value)
+        assert got[i] == f"{kind}:{start}:{start + len(value)}"
+        assert clean[i] == text.replace(value, f"[{kind.upper()}]")
+    assert all(got[i] == "" and clean[i] == t for i, t in other)
+
+
+def valid_cards(n):
+    rng, out = random.Random(4), []
+    while len(out) < n:
+        digits = "".join(rng.choices("0123456789", k=16))
+        if luhn(digits):
+            out.append(" ".join(digits[k : k + 4] for k in range(0, 16, 4)))
+    return out
+
+
 def test_a_learnt_context_finds_seeds_of_the_next(spark):
     rows, _, _ = learnable()
     bad = [(100 + i, f"q{i} member number is {x} z") for i, x in enumerate(["1234567890123450", "1234567890123400"])]

@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelscope.llm.chat_format import digest_conversations, format_conversations
 from reelscope.llm.decontaminate import contaminated_pairs
+from reelscope.llm.divergence import source_divergence
 from reelscope.llm.html_text import extract_main_text
+from reelscope.llm.line_dedup import without_repeated_lines
 from reelscope.llm.masked_lm import score_documents
 from reelscope.llm.ngram_join import similar_components
 from reelscope.llm.packing import pack_documents
+from reelscope.llm.phrases import collocations
 from reelscope.llm.pii_bootstrap import find_personal_data
 from reelscope.llm.quality_model import fit_quality, score_quality
 from reelscope.llm.repetition import repetition_rules
@@ -221,3 +225,101 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_query
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLE_SQL["op11_phrase_mining"] = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (
+  SELECT lang, k, array_to_string(words[i:i+k-1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, words, generate_subscripts(words, 1) AS i FROM w), (SELECT unnest([1, 2, 3, 4]) AS k)
+  WHERE i + k - 1 <= len(words) GROUP BY ALL),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS words FROM g WHERE k > 1 AND f >= 30),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r,
+    CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f), cut) AS place
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:cut], ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[cut+1:], ' ')),
+around AS (
+  SELECT lang, array_to_string(words[i:i+size-1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, words, k, a, size, unnest(range(1, k - size + 2)) AS i
+        FROM c, (SELECT unnest([2, 3]) AS size) WHERE size < k)
+  GROUP BY ALL),
+ranked AS (
+  SELECT lang, phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM cut LEFT JOIN around USING (lang, phrase)
+  WHERE place = 1 AND (longer IS NULL OR 100 * longer < 80 * a))
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang) USING (lang)
+WHERE rank <= 2000"""
+
+
+@_query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+ORACLE_SQL["op12_source_divergence"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents),
+t AS (
+  SELECT row, lang, source, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+s AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+c AS (
+  SELECT s.lang, s.source, kept.term, coalesce(n, 0) AS n,
+    sum(coalesce(n, 0)) OVER (PARTITION BY s.lang, s.source) AS total, count(*) OVER (PARTITION BY s.lang, s.source) AS v
+  FROM s JOIN kept USING (lang) LEFT JOIN n ON n.lang = s.lang AND n.source = s.source AND n.term = kept.term),
+p AS (SELECT lang, source, term, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (total + 2 * v) AS p FROM c),
+l AS (SELECT lang, term, sum(n) AS n, v FROM c GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q FROM l),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) z
+  ON z.lang = a.lang AND z.source = a.source AND z.item = b.source),
+term AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT *, 'pair' AS part FROM pair UNION ALL SELECT *, 'term' FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= 10"""
+
+
+@_query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op13_line_dedup"] = rf"""
+WITH l AS (
+  SELECT doc_id, line, i, {_LOWER.format("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key
+  FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+last AS (
+  SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT doc_id, line, i, last IS NOT NULL AND last <> doc_id AS gone FROM l LEFT JOIN last USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""

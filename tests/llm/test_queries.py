@@ -6,7 +6,7 @@ from reelscope.llm.queries import ORACLE_SQL, QUERIES
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert set(ORACLE_SQL) <= set(entry.oracle_sql())
 

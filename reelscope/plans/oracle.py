@@ -312,3 +312,102 @@ SELECT gender, "rank", movie_id, avg_rating, total, n FROM (
 ) t WHERE "rank" <= 10"""
     ),
 }
+
+
+# --- mechanisms made for a cluster: the question in plain SQL ------------------
+
+_PLAIN_YEARS = f"years AS (SELECT movie_id, {_year(_PLAIN)} AS year FROM movies)"
+_LEVELS = """sums AS (
+  SELECT 0 AS level, CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS INTEGER) AS age, movie_id, sum(rating) AS total, count(*) AS n
+  FROM ratings GROUP BY movie_id
+  UNION ALL
+  SELECT 1, gender, NULL, movie_id, sum(rating), count(*) FROM ratings JOIN users USING (user_id) GROUP BY gender, movie_id
+  UNION ALL
+  SELECT 2, NULL, age, movie_id, sum(rating), count(*) FROM ratings JOIN users USING (user_id) GROUP BY age, movie_id
+)"""
+
+
+def _top_lists(name: str, levels: str, order: str) -> str:
+    return f"""
+SELECT '{name}' AS list, "of", row_number() OVER (PARTITION BY level, "of" ORDER BY {order}) AS rank, movie_id, total, n
+FROM (SELECT *, CASE level WHEN 0 THEN 'all' WHEN 1 THEN gender ELSE CAST(age AS VARCHAR) END AS "of" FROM sums)
+WHERE level IN ({levels})"""
+
+
+_COHORTS = """cohorts AS (
+  SELECT user_id, unnest(['gender ' || gender, 'age ' || CAST(age AS VARCHAR), 'occupation ' || CAST(occupation_id AS VARCHAR)]) AS cohort
+  FROM users
+),
+sizes AS (SELECT cohort, count(DISTINCT user_id) AS n FROM cohorts GROUP BY cohort),
+met AS (
+  SELECT x.cohort AS a, y.cohort AS b, count(DISTINCT user_id) AS n_both
+  FROM cohorts x JOIN cohorts y USING (user_id) WHERE x.cohort < y.cohort GROUP BY ALL
+)"""
+
+# The planted faults: one kind for each remainder by 11 of the movie's id.
+_FAULT = """CASE movie_id % 11 WHEN 1 THEN 'blank line' WHEN 2 THEN 'no movie_id' WHEN 3 THEN 'no rating'
+  WHEN 4 THEN 'user_id is not bigint' WHEN 5 THEN 'movie_id is not bigint' WHEN 6 THEN 'rating is not double' ELSE 'good' END"""
+
+ORACLE_SQL |= {
+    "r3_movie_positions": _sql(
+        "SELECT row_number() OVER (ORDER BY avg_rating DESC, movie_id) AS position, movie_id, avg_rating, n FROM stats", _STATS
+    ),
+    "r8_year_genre_positions": _sql(
+        """
+SELECT row_number() OVER (ORDER BY year, genre) AS position, year, genre, n
+FROM (SELECT year, genre, count(*) AS n FROM years JOIN pieces USING (movie_id) GROUP BY year, genre)""",
+        _PLAIN_YEARS,
+        _PIECES,
+    ),
+    "r8_year_movie_pages": _sql(
+        """
+SELECT year, page, count(*) AS n, string_agg(CAST(movie_id AS VARCHAR), ',' ORDER BY movie_id) AS movie_ids
+FROM (SELECT year, movie_id, (row_number() OVER (PARTITION BY year ORDER BY movie_id) - 1) // 50 AS page FROM years)
+GROUP BY year, page""",
+        _PLAIN_YEARS,
+    ),
+    "r8_year_genre_counts_from_pages": _sql(
+        "SELECT year, genre, count(*) AS n FROM years JOIN pieces USING (movie_id) GROUP BY year, genre", _PLAIN_YEARS, _PIECES
+    ),
+    "r4_top_total_female_threshold": ORACLE_SQL["r4_top_total_female"],
+    "r4_top_total_male_threshold": ORACLE_SQL["r4_top_total_male"],
+    "x_rating_levels": _sql("SELECT level, gender, age, movie_id, total, n, total / n AS avg_rating FROM sums", _LEVELS),
+    "x_report_lists": _sql(
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            (
+                _top_lists("best mean", "0, 1, 2", "total / n DESC, movie_id"),
+                _top_lists("most watched", "0", "n DESC, movie_id"),
+                _top_lists("largest sum", "1", "total DESC, movie_id"),
+            )
+        )
+        + ") WHERE rank <= 10",
+        _LEVELS,
+    ),
+    "r5_cohort_bitmap_count": ORACLE_SQL["r5_cohort_semi_count"],
+    "x_cohort_overlaps": _sql(
+        """
+SELECT a, b, x.n AS n_a, y.n AS n_b, n_both, x.n + y.n - n_both AS n_either, x.n - n_both AS n_only_a
+FROM met JOIN sizes x ON x.cohort = a JOIN sizes y ON y.cohort = b""",
+        _COHORTS,
+    ),
+    "r9_occupation_genre_counts_split": ORACLE_SQL["r9_occupation_genre_counts"],
+    "r3_exact_thirds": _sql(
+        """
+SELECT movie_id, fsum(rating / 3) AS total, count(*) AS n, fsum(rating / 3) / count(*) AS avg_rating
+FROM ratings GROUP BY movie_id"""
+    ),
+    "r3_stats_from_state": _sql("SELECT movie_id, total, n, avg_rating FROM stats", _STATS),
+    "r3_stats_after_withdrawal": _sql(
+        """
+SELECT movie_id, sum(rating) AS total, count(*) AS n, sum(rating) / count(*) AS avg_rating
+FROM ratings WHERE year(rated_at) <> 1996 GROUP BY movie_id"""
+    ),
+    "r1_record_faults": _sql(f"SELECT {_FAULT} AS reason, count(*) AS n FROM ratings GROUP BY ALL"),
+    "r1_good_record_stats": _sql(
+        f"""
+SELECT movie_id, sum(rating) AS total, count(*) AS n, sum(rating) / count(*) AS avg_rating
+FROM ratings WHERE {_FAULT} = 'good' GROUP BY movie_id"""
+    ),
+    "r10_sink_written_twice": ORACLE_SQL["r10_occupation_genre_sink"],
+}

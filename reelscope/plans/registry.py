@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 
 from reelscope.functions.columns import YEAR_PATTERN_PLAIN, YEAR_PATTERN_TWO_WORD
 from reelscope.plans import analyses as a
+from reelscope.plans import distributed as d
 from reelscope.sources.tables import Tables
 
-QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
+ANALYSES: dict[str, Callable[[Tables], DataFrame]] = {
     # requirement 1
     "r1_table_counts": a.table_counts,
     "r1_users_by_occupation": a.users_by_occupation,
@@ -61,3 +62,29 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "x_all_age_top10": a.top_avg_per_age,
     "x_all_gender_top10": a.top_avg_per_gender,
 }
+
+# The same questions and their extensions by mechanisms made for a cluster.
+DISTRIBUTED: dict[str, Callable[[Tables], DataFrame]] = {
+    "r3_movie_positions": d.movie_positions,
+    "r8_year_genre_positions": d.year_genre_positions,
+    "r8_year_movie_pages": d.year_movie_pages,
+    "r8_year_genre_counts_from_pages": d.year_genre_counts_from_pages,
+    "r4_top_total_female_threshold": partial(d.top_total_by_threshold, gender="F"),
+    "r4_top_total_male_threshold": partial(d.top_total_by_threshold, gender="M"),
+    "x_rating_levels": d.rating_levels,
+    "x_report_lists": d.report_lists,
+    "r5_cohort_bitmap_count": d.cohort_bitmap_count,
+    "x_cohort_overlaps": d.cohort_overlaps,
+    "r9_occupation_genre_counts_split": d.occupation_genre_counts_split,
+    "r3_exact_thirds": d.exact_thirds,
+    "r3_stats_from_state": d.stats_from_state,
+    "r3_stats_after_withdrawal": d.stats_after_withdrawal,
+    "r1_record_faults": d.record_faults,
+    "r1_good_record_stats": d.stats_of_good_records,
+    "r10_sink_written_twice": d.sink_rows_written_twice,
+}
+
+# Those that write intermediate tables, or count keys, while they are built; all others start no job.
+STAGED = set(DISTRIBUTED) - {"x_rating_levels", "r5_cohort_bitmap_count", "x_cohort_overlaps", "r3_exact_thirds"}
+
+QUERIES = ANALYSES | DISTRIBUTED

@@ -63,7 +63,8 @@ def lines_from(reader, path: str, encoding: str = "UTF-8") -> DataFrame:
     return lines.select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
 
 
-def _typed(raw: Column, data_type: T.DataType) -> Column:
+def typed_field(raw: Column, data_type: T.DataType) -> Column:
+    """A field's text as a value of ``data_type``; null where it is not one."""
     if isinstance(data_type, T.StringType):
         return raw
     if isinstance(data_type, T.TimestampType):
@@ -84,7 +85,7 @@ def parse_records(lines: DataFrame, schema: T.StructType, mode: str = "fail") ->
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     split = lines.select("value", F.split(F.col("value"), FIELD_SEPARATOR, -1).alias("_parts"))
     typed = [
-        _typed(F.get(F.col("_parts"), i), f.dataType).cast(f.dataType).alias(f.name)
+        typed_field(F.get(F.col("_parts"), i), f.dataType).cast(f.dataType).alias(f.name)
         for i, f in enumerate(schema.fields)
     ]
     rows = split.select(F.inline(F.array(F.struct(F.col("value"), *typed))))

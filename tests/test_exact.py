@@ -1,0 +1,84 @@
+"""Order-free sums: the exact sum rounded once, for any partitioning, with merges and withdrawals."""
+
+import math
+import random
+import struct
+from fractions import Fraction
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from reelscope.operators.exact import exact_parts, exact_rating_stats, exact_sums, merged_parts
+
+ODD = [0.1, 0.2, 0.3, 1 / 3, 1e16, -1e16, 1.0, 2.0**53, 2.0**-53, 5e-324, 2.0**-1060, 1e300, -1e300, 0.0, -0.0, 2.0**32, -(2.0**-32)]
+
+
+def bits(x):
+    return "nan" if math.isnan(x) else struct.pack(">d", x + 0.0).hex()
+
+
+def values(seed, keys=60):
+    rng = random.Random(seed)
+    out = []
+    for k in range(keys):
+        for _ in range(rng.choice([1, 2, 5, 40])):
+            out.append((k, [rng.uniform(-5, 5), rng.choice([-1, 1]) * math.ldexp(rng.random(), rng.randint(-200, 200)), rng.choice(ODD)][k % 3]))
+    return out
+
+
+def sums(rows):
+    out = {}
+    for k, x in rows:
+        out.setdefault(k, []).append(x)
+    return {k: (bits(float(sum(map(Fraction, v)))), len(v)) for k, v in out.items()}
+
+
+def result(state):
+    return {r.k: (bits(r.total), r.n) for r in exact_sums(state, ["k"]).collect()}
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "k int, x double")
+
+
+@pytest.mark.parametrize("parts", [1, 3, 11])
+def test_the_exact_sum_however_partitioned(spark, parts):
+    rows = values(parts)
+    assert result(exact_parts(frame(spark, rows).repartition(parts), ["k"], "x")) == sums(rows)
+
+
+def test_states_merge_and_take_withdrawals(spark):
+    rows = values(5)
+    gone = [r for i, r in enumerate(rows) if i % 3 == 0 or r[0] == 4]
+    stay = [r for i, r in enumerate(rows) if not (i % 3 == 0 or r[0] == 4)]
+    half = frame(spark, rows[::2]).withColumn("w", F.lit(1)), frame(spark, rows[1::2]).withColumn("w", F.lit(1))
+    minus = frame(spark, gone).withColumn("w", F.lit(-1))
+    states = [exact_parts(df, ["k"], "x", "w") for df in (*half, minus)]
+    merged = merged_parts(states[0].unionByName(states[1]).unionByName(states[2]), ["k"])
+    assert result(merged) == sums(stay)
+    assert 4 not in result(merged)
+
+
+def test_cancelling_values_and_ties_to_even(spark):
+    rows = [(0, 1e308), (0, 1e308), (0, -1e308), (0, -1e308), (1, 2.0**53), (1, 1.0), (2, 2.0**53), (2, 1.0), (2, 2.0**-1000),
+            (3, -(2.0**53)), (3, -1.0), (3, -(2.0**-1000)), (4, 1e-300), (4, -1e-300), (5, 0.0), (5, -0.0), (6, 0.1), (6, 0.2), (6, 0.3)]
+    assert result(exact_parts(frame(spark, rows), ["k"], "x")) == sums(rows)
+
+
+def test_values_that_are_not_finite_and_nulls(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, nan), (0, 1.0), (1, inf), (1, 2.0), (2, -inf), (3, inf), (3, -inf), (4, None), (4, 2.5), (5, None), (None, 1.5)]
+    got = result(exact_parts(frame(spark, rows), ["k"], "x"))
+    assert got == {0: ("nan", 2), 1: (bits(inf), 2), 2: (bits(-inf), 1), 3: ("nan", 2), 4: (bits(2.5), 2), 5: (bits(0.0), 1), None: (bits(1.5), 1)}
+    assert result(exact_parts(frame(spark, []), ["k"], "x")) == {}
+
+
+def test_rating_stats_on_fractions(spark):
+    rng = random.Random(2)
+    rows = [(rng.randrange(20), rng.randrange(1, 11) / 3) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "movie_id bigint, rating double")
+    once = {r.movie_id: (r.total, r.n, r.avg_rating) for r in exact_rating_stats(df.repartition(2)).collect()}
+    again = {r.movie_id: (r.total, r.n, r.avg_rating) for r in exact_rating_stats(df.repartition(13, "rating")).collect()}
+    assert once == again
+    assert {m: (bits(t), n) for m, (t, n, _) in once.items()} == sums(rows)

@@ -1,0 +1,84 @@
+"""Appends that add their rows once: repeated, failed half-way, in steps, beside other writes."""
+
+import pytest
+
+from reelscope.sinks import ledger as module
+from reelscope.sinks.ledger import append_once, ledger, read_committed
+
+
+def frame(spark, start, stop):
+    return spark.range(start, stop).selectExpr("id as k", "concat('v', id) as v", "if(id % 5 = 0, null, id * 1.5) as x")
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_repeated_writes_add_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = frame(spark, 0, 100)
+    assert append_once(df, path, "a", partitions=4) == 100
+    assert append_once(df, path, "a", partitions=4) == 0
+    assert append_once(frame(spark, 100, 130), path, "17", partitions=3) == 30  # an id that looks like a number
+    assert rows(read_committed(spark, path)) == rows(frame(spark, 0, 130))
+    assert read_committed(spark, path).columns == ["k", "v", "x"]
+    assert {(r.write_id, r.part) for r in ledger(spark, path).collect()} == {("a", p) for p in range(4)} | {("17", p) for p in range(3)}
+
+
+def test_rows_of_an_uncommitted_write_are_not_seen(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    append_once(frame(spark, 0, 10), path, "a", partitions=2)
+
+    def lost(*args):
+        raise RuntimeError("driver lost before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(module, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            append_once(frame(spark, 10, 50), path, "b", partitions=4)
+    assert rows(read_committed(spark, path)) == rows(frame(spark, 0, 10))
+    assert append_once(frame(spark, 10, 50), path, "b", partitions=4) == 40
+    assert rows(read_committed(spark, path)) == rows(frame(spark, 0, 50))
+
+
+def test_a_retry_writes_only_the_partitions_that_are_missing(spark, tmp_path, monkeypatch):
+    path, df, calls = str(tmp_path / "t"), frame(spark, 0, 400), []
+    commit = module._commit
+
+    def second_fails(spark, path, write_id, partitions, parts):
+        calls.append(parts)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return commit(spark, path, write_id, partitions, parts)
+
+    monkeypatch.setattr(module, "_commit", second_fails)
+    with pytest.raises(RuntimeError):
+        append_once(df, path, "a", partitions=8, steps=4)
+    first = sum(r.n for r in ledger(spark, path).collect())
+    assert calls == [[0, 4], [1, 5]] and 0 < first < 400
+    assert append_once(df, path, "a", partitions=8) == 400 - first
+    assert calls[-1] == [1, 2, 3, 5, 6, 7]
+    assert rows(read_committed(spark, path)) == rows(df)
+
+
+def test_a_task_that_fails_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_once(frame(spark, 0, 10), path, "a", partitions=2)
+    broken = spark.range(100).selectExpr("if(id = 77, raise_error('bad row'), id) as k", "'v' as v", "1.5 as x")
+    with pytest.raises(Exception, match="bad row"):
+        append_once(broken, path, "b", partitions=4)
+    assert rows(read_committed(spark, path)) == rows(frame(spark, 0, 10))
+
+
+def test_repeated_rows_empty_writes_and_refusals(spark, tmp_path):
+    path = str(tmp_path / "t")
+    same = spark.range(20).selectExpr("1L as k")
+    assert append_once(same, path, "a", partitions=4) == 20  # equal rows all stay
+    assert append_once(same.limit(0), path, "b", partitions=4) == 0
+    assert read_committed(spark, path).count() == 20
+    with pytest.raises(ValueError, match="begun with 4"):
+        append_once(same, path, "a", partitions=5)
+    with pytest.raises(ValueError):
+        append_once(spark.range(1).selectExpr("id as part"), path, "c")
+    with pytest.raises(ValueError):
+        append_once(same, path, "")

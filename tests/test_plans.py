@@ -7,6 +7,7 @@ import pytest
 
 from reelscope.operators import bounded_broadcast, broadcast_bytes
 from reelscope.plans import QUERIES
+from reelscope.plans.registry import STAGED
 from reelscope.session import tune
 from reelscope.sources.star import star_tables
 
@@ -96,8 +97,9 @@ def test_building_an_analysis_starts_no_job(spark, sf001_dir):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "building")
     try:
-        for analysis in QUERIES.values():
-            analysis(tables)
+        for name, analysis in QUERIES.items():
+            if name not in STAGED:
+                analysis(tables)
         assert list(tracker.getJobIdsForGroup("building")) == []
     finally:
         spark.sparkContext._jsc.clearJobGroup()

@@ -8,12 +8,18 @@ gets its composite text density
     C/T * log_b(C/LC * T/LT),  b = ln(C/(C-LC) * LC + LCbody/Cbody * C + e)
 
 with C characters and T tags below it and LC, LT those inside links.  The
-subtree whose children's densities have the largest sum is the main text; the
-least density on its path up to the body is the threshold at which subtrees
-elsewhere count as main text too.  Where that subtree lies in an ``article``
-or ``main`` element the outermost such element is taken whole instead, so an
-article of several sections stays together.  Inside the main text only blocks
-that are mostly links and below the threshold are left out.
+subtree whose children's densities have the largest sum is the main text.  What
+stands beside it under the same parent belongs to it, however short, but for
+blocks that are mostly links and below the threshold, which is the least density
+on the path from the subtree up to the body.  Farther up that path a subtree
+counts if it reaches the threshold, and a heading if what follows it does.
+
+Names are taken with care.  A name that an article may use for its own parts
+(``related``, ``social``, ``discussion`` ...) marks boilerplate only where the
+element is also built like it: mostly links, a form, a thread of entries.  Where
+the subtree lies in an ``article`` or ``main`` element, nothing of that element
+is left out for its density or its links.  If names would leave no text at all,
+only tags and attributes count.
 
 One pass over the rows; a page is parsed by itself.
 
@@ -65,15 +71,21 @@ CLOSED_BY = {
     "tbody": frozenset(["tbody", "tfoot"]),
     "head": frozenset(["body"]),
 }
-# Words of class and id names.
+# Words of class and id names that mark boilerplate by themselves,
 BOILERPLATE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo promotion banner "
-    "sidebar aside nav navbar navigation navi menu breadcrumb breadcrumbs footer cookie cookies consent gdpr notice "
-    "notices alert popup modal overlay newsletter subscribe subscription signup login search searchbox share sharing "
-    "social related recommended recommendations pagination pager toolbar widget widgets disclaimer skip".split()
+    "ad ads adv advert adverts advertisement advertisements sponsor sponsored promo banner sidebar nav navbar navi "
+    "breadcrumb breadcrumbs cookie cookies gdpr notice notices popup modal overlay newsletter signup pagination pager "
+    "toolbar searchbox skip".split()
+)
+# and that do so inside an article, or on a paragraph, only where the element is mostly links or has a form.
+DOUBTFUL_WORDS = frozenset(
+    "advertising promotion aside navigation menu footer consent alert subscribe subscription login search share sharing "
+    "social related recommended recommendations widget widgets disclaimer".split()
 )
 PAGE_HEADER_WORDS = frozenset("header masthead topbar".split())
-COMMENT_WORDS = frozenset("comment comments commentlist discussion disqus respond reply replies responses".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus".split())
+# Names of reader comments, where entries or a form follow, and of parts of an article, where they do not.
+DOUBTFUL_COMMENT_WORDS = frozenset("discussion respond reply replies responses".split())
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
@@ -84,6 +96,7 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:@-][^\s=>/]*+)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?")
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")  # the slash of href=/a/ is part of the address
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -158,7 +171,7 @@ def parse(page: str) -> Node:
         }
         node = Node(name, at, attributes)
         at.children.append(node)
-        if name in VOID or found[3].endswith("/") and name not in BLOCKS:
+        if name in VOID or _SELF_CLOSED.search(found[3]) and name not in BLOCKS:
             continue
         if name in RAW:
             end = re.compile(rf"</{name}(?![^\s/>])[^>]*+>?", re.I).search(page, position)
@@ -182,32 +195,75 @@ def _is_main(node: Node) -> bool:
     return node.tag in ("article", "main") or node.attributes.get("role") == "main"
 
 
-def _is_boilerplate(node: Node, holds_main: bool, in_main: bool) -> bool:
+def _names(node: Node) -> set[str]:
+    return set(_WORD.findall(f"{node.attributes.get('class', '')} {node.attributes.get('id', '')}".lower()))
+
+
+def _hidden(node: Node) -> bool:
+    style = node.attributes.get("style", "").replace(" ", "").lower()
+    return "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true" or "display:none" in style
+
+
+@dataclass
+class _Shape:
+    """What a subtree is built of, before anything is cut off."""
+
+    chars: int = 0
+    link_chars: int = 0
+    forms: int = 0
+    entries: int = 0  # li and article elements, and such as are named a comment or reply
+    mains: int = 0  # article and main elements
+
+    @property
+    def links(self) -> bool:
+        return self.link_chars * 2 > self.chars
+
+
+def _shapes(order: list[Node]) -> dict[int, _Shape]:
+    shapes = {id(n): _Shape() for n in order}
+    for node in reversed(order):
+        own = shapes[id(node)]
+        if node.tag not in ("script", "style"):
+            own.chars += sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        if node.tag == "a":
+            own.link_chars = own.chars
+        own.forms += node.tag in ("form", "textarea", "input")
+        own.entries += node.tag in ("li", "article") or bool(_names(node) & (COMMENT_WORDS | {"reply"}))
+        own.mains += node.tag in ("article", "main")
+        if node.parent is not None:
+            up = shapes[id(node.parent)]
+            for name, value in vars(own).items():
+                setattr(up, name, getattr(up, name) + value)
+    return shapes
+
+
+def _is_boilerplate(node: Node, shape: _Shape, page: _Shape, in_main: bool, by_name: bool) -> bool:
     if node.tag in DROPPED:
         return True
     if node.tag in ("#root", "html", "body", "main"):
         return False
-    names = set(_WORD.findall(f"{node.attributes.get('class', '')} {node.attributes.get('id', '')}".lower()))
-    if names & COMMENT_WORDS and not holds_main:
-        return True
-    if "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true":
+    if _hidden(node):
         return True
-    if "display:none" in node.attributes.get("style", "").replace(" ", "").lower():
+    if not by_name or node.tag in HEADINGS:
+        return False
+    names = _names(node)
+    if 0 < shape.mains == page.mains and not in_main:  # it holds every article: no part beside one, unless comments are the articles
+        return bool(names & COMMENT_WORDS) and shape.mains > 1 and shape.chars * 2 < page.chars
+    if names & COMMENT_WORDS or names & DOUBTFUL_COMMENT_WORDS and (shape.forms or shape.entries > 1):
         return True
-    if node.tag == "article" or node.tag in HEADINGS or holds_main:
+    if node.tag == "article" or node.tag == "header" and in_main:
         return False
     if node.attributes.get("role", "").lower() in BOILERPLATE_ROLES or names & BOILERPLATE_WORDS:
         return True
+    if names & DOUBTFUL_WORDS and (shape.links or shape.forms or not in_main and node.tag not in ("p", "blockquote", "li", "td")):
+        return True
     return not in_main and (node.tag == "header" or bool(names & PAGE_HEADER_WORDS))
 
 
-def prune(root: Node) -> None:
+def prune(root: Node, by_name: bool = True) -> None:
     """Cut boilerplate elements off the tree."""
     order = _walk(root)
-    holds_main = set()
-    for node in reversed(order):
-        if node.tag in ("article", "main") or id(node) in holds_main:
-            holds_main.add(id(node.parent))
+    shapes = _shapes(order)
     in_main = set()
     for node in order:
         if _is_main(node) or id(node.parent) in in_main:
@@ -215,7 +271,7 @@ def prune(root: Node) -> None:
         inside = id(node) in in_main
         if any(isinstance(c, Node) for c in node.children):
             node.children = [
-                c for c in node.children if isinstance(c, str) or not _is_boilerplate(c, id(c) in holds_main, inside)
+                c for c in node.children if isinstance(c, str) or not _is_boilerplate(c, shapes[id(c)], shapes[id(root)], inside, by_name)
             ]
 
 
@@ -253,8 +309,14 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
-def _main_subtrees(order: list[Node]) -> tuple[list[Node], float]:
-    """Roots of the main text in page order, and the density threshold."""
+def _menu(node: Node, threshold: float) -> bool:
+    """Whether a block is mostly links, and less dense than the path to the body."""
+    return node.link_tags > 1 and node.link_chars * 2 > node.chars and node.density < threshold
+
+
+def _main_parts(order: list[Node]) -> tuple[list[Node | str], float | None]:
+    """Subtrees and strings of the main text in page order; the density below
+    which blocks of links in them go (None: they stay)."""
     best = max(order, key=lambda n: n.density_sum)
     path = []
     node = best
@@ -264,25 +326,46 @@ def _main_subtrees(order: list[Node]) -> tuple[list[Node], float]:
             break
         node = node.parent
     threshold = min(n.density for n in path)
-    whole = [n for n in path if _is_main(n)]
-    if whole:
-        return [whole[-1]], threshold
-    # other subtrees as dense as the threshold, hanging off the path
+    top = max((i for i, n in enumerate(path) if _is_main(n)), default=-1)
+    inside = {id(n) for n in path[: top + 1]}  # the explicit article and what leads to the subtree in it
     on_path = {id(n) for n in path}
-    roots = []
-    stack = [path[-1]]
+
+    def stays(parent: Node, child: Node | str) -> bool:
+        if isinstance(child, str):
+            return bool(child.strip()) and (id(parent) in inside or parent is best.parent)
+        if id(child) in on_path:
+            return True
+        if not child.chars:
+            return False
+        if id(parent) in inside:
+            return True
+        if parent is best.parent:
+            return not _menu(child, threshold)
+        return child.density >= threshold
+
+    parts: list[Node | str] = []
+    stack: list[Node | str] = [path[-1]]
     while stack:
         node = stack.pop()
-        if node is best:
-            roots.append(node)
-        elif id(node) in on_path:
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
-        elif node.chars and node.density >= threshold:
-            roots.append(node)
-    return roots, threshold
+        if isinstance(node, str) or node is best or id(node) not in on_path:
+            parts.append(node)
+            continue
+        kept, follows = [], True
+        for child in reversed(node.children):
+            heading = isinstance(child, Node) and child.tag in HEADINGS and id(child) not in on_path
+            if heading and id(node) not in inside:
+                keep = bool(child.chars) and follows  # a heading goes with what it stands over
+            else:
+                keep = stays(node, child)
+                if not isinstance(child, str) or child.strip():
+                    follows = keep
+            if keep:
+                kept.append(child)
+        stack.extend(kept)
+    return parts, None if inside else threshold
 
 
-def _blocks(root: Node, threshold: float) -> Iterator[str]:
+def _blocks(root: Node | str, threshold: float | None) -> Iterator[str]:
     """The text of each block in page order."""
     parts: list[str] = []
     stack: list = [root]
@@ -296,12 +379,12 @@ def _blocks(root: Node, threshold: float) -> Iterator[str]:
         elif isinstance(item, str):
             parts.append(item)
         else:
-            menu = item.link_tags > 1 and item.link_chars * 2 > item.chars and item.density < threshold
-            if menu and item is not root and item.tag in BLOCKS:
+            block = item.tag in BLOCKS
+            # A paragraph, entry or cell is text even where it is all links; a list or box of links is a menu.
+            if threshold is not None and block and item is not root and item.tag not in ("p", "li", "dd", "td") and _menu(item, threshold):
                 continue
             if item.tag == "br":
                 parts.append(" ")
-            block = item.tag in BLOCKS
             if block:
                 stack.append(edge)
             stack.extend(reversed(item.children))
@@ -315,13 +398,14 @@ def main_text(page: str | None) -> str:
     """The main text of a page, one line per block."""
     if not page:
         return ""
-    root = parse(page)
-    prune(root)
-    order = measure(root)
-    if not root.chars:
-        return ""
-    roots, threshold = _main_subtrees(order)
-    return "\n".join(block for r in roots for block in _blocks(r, threshold))
+    for by_name in (True, False):
+        root = parse(page)
+        prune(root, by_name)
+        order = measure(root)
+        if root.chars:
+            parts, threshold = _main_parts(order)
+            return "\n".join(block for part in parts for block in _blocks(part, threshold))
+    return ""
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,6 +49,71 @@ def test_short_blocks_stay_and_sections_elsewhere_count():
     assert len(lines) == 6 and lines[1:3] == ["Yes.", "No."]
 
 
+@pytest.mark.parametrize(
+    "part, text",
+    [
+        ('<section id="discussion"><h2>Discussion</h2><p>What follows from it.</p></section>', "Discussion\nWhat follows from it."),
+        ('<p class="related work">Others did it before.</p>', "Others did it before."),
+        ('<p class="responses">They answered late.</p>', "They answered late."),
+        ('<section class="social history"><p>Of the town.</p></section>', "Of the town."),
+        ('<section id="advertising"><p>How firms advertise.</p></section>', "How firms advertise."),
+        ('<p>See <a href="/a">Alpha paper of the first group</a> and <a href="/b">Beta paper</a>.</p>', "See Alpha paper of the first group and Beta paper."),
+        ('<ol><li><a href="/a">First reference</a>, <a href="/b">copy</a></li></ol>', "First reference, copy"),
+        ("bare words between blocks", "bare words between blocks"),
+    ],
+)
+@pytest.mark.parametrize("place", ["<body><article>{}</article></body>", "<main><div>{}</div></main>"])
+def test_nothing_of_an_article_is_lost_for_its_names_or_links(place, part, text):
+    menu = f"<nav>{MENU}</nav>"
+    page = place.format(ARTICLE + part + ARTICLE)
+    assert main_text(menu + page) == f"{LINES}\n{text}\n{LINES}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f"<div class='related'><h3>More</h3>{MENU}</div>",
+        f"<div class='social'>{MENU}</div>",
+        "<div class='share'><a href='/f'>on one site</a> <a href='/t'>on another</a></div>",
+        "<section id='discussion'><ul><li>First!</li><li>I disagree with all of it.</li></ul></section>",
+        "<div class='respond'>Write to us <form><textarea></textarea></form></div>",
+        "<div id='comments'><article>One reader says so.</article><article>Another does not.</article></div>",
+        "<div class='notice'>Our terms have changed.</div>",
+    ],
+)
+def test_boilerplate_in_an_article_goes_by_name_and_structure(part):
+    assert main_text(f"<body><article>{ARTICLE}{part}</article></body>") == LINES
+    assert main_text(f"<body><div id='content'>{ARTICLE}</div>{part}</body>") == LINES
+
+
+def test_without_an_article_headings_and_short_sections_stay():
+    long = "<p>" + "A long and dense paragraph of the text goes on. " * 8 + "</p>"
+    short = "<div><p>Short one.</p><p>Short two.</p><p>Short three.</p></div>"
+    page = f"<body><h1>The heading</h1><div>{long * 10}</div><h2>Second part</h2>{short}<h2>Elsewhere</h2>{MENU}</body>"
+    lines = main_text(page).split("\n")
+    assert lines[0] == "The heading" and lines[11:] == ["Second part", "Short one.", "Short two.", "Short three."]
+    deeper = f"<body><div><h1>The heading</h1><div><div>{long * 10}</div>{short}</div></div>{MENU}</body>"
+    assert main_text(deeper).split("\n")[0] == "The heading" and len(main_text(deeper).split("\n")) == 14
+
+
+def test_density_decides_on_the_given_pages(spark, sf001_dir):
+    """Without their article tags the given pages give the same text."""
+    pages = [r.html for r in spark.read.parquet(f"{sf001_dir}/pages.parquet").collect()]
+    plain = [p.replace("<article>", "<div>").replace("</article>", "</div>") for p in pages]
+    assert [main_text(p) for p in plain] == [main_text(p) for p in pages]
+
+
+def test_names_that_cover_the_whole_page_do_not_empty_it():
+    assert main_text(f"<body><div class='post comments'>{ARTICLE}</div></body>") == LINES
+
+
+def test_unquoted_addresses_and_deep_lists():
+    root = parse("<p><a href=http://x.org/>link</a> text</p>")
+    assert root.children[0].children[0].children == ["link"]
+    deep = "<ul><li>" * 5000 + "bottom" + "</li></ul>" * 5000
+    assert main_text(f"<article><p>top</p>{deep}</article>") == "top\nbottom"
+
+
 def test_density_is_link_adjusted():
     root = parse(f"<body><div>{MENU}</div><div>{ARTICLE}</div></body>")
     measure(root)

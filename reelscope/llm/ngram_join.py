@@ -52,12 +52,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelscope.llm.components import connected_components
 from reelscope.llm.staging import Staging, bounded_batches
 from reelscope.llm.textgrams import mix, shingles, slices, words
+from reelscope.operators.positions import with_positions
 
 SHINGLE = 5
 PERCENT = 80
@@ -154,24 +155,25 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(blooms):
-    """doc_id, set size, number of tokens nobody else is known to hold, and prefix under
-    the final order, once per distinct set of a slice."""
+    """doc_id, set size, half of the set's signature, number of tokens nobody else is known to
+    hold, and prefix under the final order, once per distinct set of a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingles(words(batch.column("text"), lower=True), SHINGLE)
             once = {_signature(s): r for r, s in reversed(list(enumerate(sets))) if len(s)}
-            rows = sorted(once.values())
+            signs, rows = zip(*sorted(once.items(), key=lambda x: x[1])) if once else ((), ())
             levels = [_level(sets[r], blooms.value) for r in rows]
             found = [_prefix(sets[r], level) for r, level in zip(rows, levels)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(rows, pa.int64())),
                     pa.array([len(sets[r]) for r in rows], pa.int64()),
+                    pa.array([sign[0] for sign in signs], pa.int64()),
                     pa.array([int((level == 0).sum()) for level in levels], pa.int64()),
                     _lists(found),
                 ],
-                names=["doc_id", "n", "own", "prefix"],
+                names=["doc_id", "n", "s1", "own", "prefix"],
             )
 
     return run
@@ -193,8 +195,8 @@ def _postings(bloom):
             tokens, rows, places = _flat(batch.column("prefix"))
             found = np.flatnonzero(_in_bloom(tokens.view(np.uint64), bloom.value))
             row = pa.array(rows[found])
-            columns = [*(batch.column(c).take(row) for c in ("doc_id", "n", "own")), pa.array(places[found].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(tokens[found])], names=["doc_id", "n", "own", "pos", "token"])
+            columns = [*(batch.column(c).take(row) for c in ("doc_id", "n", "s1", "own")), pa.array(places[found].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(tokens[found])], names=["doc_id", "n", "s1", "own", "pos", "token"])
 
     return run
 
@@ -296,7 +298,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
     copies = stage.write(
         sets.where("n > 0").select("doc_id", "n", "s1", "s2").join(first, ["n", "s1", "s2"])
-        .where("doc_id <> rep").select("doc_id", "n", "rep").distinct(),
+        .where("doc_id <> rep").select("doc_id", "n", "s1", "rep").distinct(),
         "copies",
     )
 
@@ -324,16 +326,16 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
     # posting lists of tokens that two documents hold
     prefixes = stage.write(
-        known.mapInArrow(_prefixes(blooms), "doc_id bigint, n bigint, own bigint, prefix array<bigint>"), "prefixes"
+        known.mapInArrow(_prefixes(blooms), "doc_id bigint, n bigint, s1 bigint, own bigint, prefix array<bigint>"), "prefixes"
     )
     shared = stage.write(
         prefixes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token"), "shared"
     )
     listed = spark.sparkContext.broadcast(_bloom(shared))
-    postings = prefixes.mapInArrow(_postings(listed), "doc_id bigint, n bigint, own bigint, pos int, token bigint")
+    postings = prefixes.mapInArrow(_postings(listed), "doc_id bigint, n bigint, s1 bigint, own bigint, pos int, token bigint")
     alive = stage.write(
         postings.join(shared, "token")
-        .join(copies, ["doc_id", "n"], "left")
+        .join(copies, ["doc_id", "n", "s1"], "left")  # of a doc_id's rows only those with the representative's set
         .select("token", F.coalesce("rep", "doc_id").alias("id"), "n", "own", "pos")
         .distinct(),
         "alive",
@@ -403,22 +405,35 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """``docs`` with the smallest ``doc_id`` of every group of linked documents only.
+    """``docs`` with one row of every group of linked texts, that of the smallest ``doc_id``.
 
-    All columns stay.  Of rows that repeat a ``doc_id`` one stays (the least
-    by a hash of its text); rows without ``doc_id`` stay.
+    All columns stay.  Different texts under one ``doc_id`` are judged apart: each
+    stays unless it is itself a copy (of texts of one id the one with the least
+    hash stays); of equal rows one does.  Rows without ``doc_id`` stay.
     """
-    stage = Staging(docs.sparkSession, "ngram-groups")
-    placed = stage.write(similar_components(docs), "components")
-    copies = placed.where("component_id < doc_id").select("doc_id").distinct()
-    repeated = placed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(_bounded(copies), "doc_id", "left_anti")
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    least = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col("text").cast("string")))
-    place = "place"
-    while place in docs.columns:
-        place = "_" + place
-    again = kept.join(_bounded(repeated), "doc_id", "left_semi").withColumn(place, F.row_number().over(least))
-    once = kept.join(_bounded(repeated), "doc_id", "left_anti")
-    return once.select(*docs.columns).unionByName(again.where(F.col(place) == 1).select(*docs.columns))
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        placed = Staging(docs.sparkSession, "ngram-groups").write(similar_components(docs), "components")
+        copies = placed.where("component_id < doc_id").select("doc_id")
+        return docs.join(_bounded(copies), "doc_id", "left_anti").select(*docs.columns)
+    return _one_of_each_text(docs)
+
+
+def _one_of_each_text(docs: DataFrame) -> DataFrame:
+    """``one_of_each_group`` where ids repeat: every text of an id is numbered as a document of its own."""
+    stage = Staging(docs.sparkSession, "ngram-texts")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = ["id", "t1", "t2"]
+    whole = F.struct(*(F.col(c) for c in docs.columns))
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"),
+        text.alias("text"), whole.alias("whole"),
+    )
+    known = rows.where("id is not null")
+    numbers = stage.write(with_positions(known.select(*key).distinct(), *key, name="number"), "numbers")
+    numbered = stage.write(known.select(*key, "text").join(numbers, key).select(F.col("number").alias("doc_id"), "text"), "texts")
+    placed = stage.write(similar_components(numbered), "components")
+    first = placed.where("component_id = doc_id").select(F.col("doc_id").alias("number")).distinct()
+    stay = numbers.join(first, "number", "left_semi")
+    # equal rows are combined before they are shuffled, so a row that is often repeated meets in no task
+    once = known.join(stay, key, "left_semi").groupBy(*key).agg(F.min_by("whole", F.xxhash64("whole")).alias("whole"))
+    return once.select("whole.*").unionByName(rows.where("id is null").select("whole.*"))

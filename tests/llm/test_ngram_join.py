@@ -107,6 +107,50 @@ def test_rows_of_one_id_are_one_document(spark):
     assert got == {(5, 3), (9, 3), (3, 3)}
 
 
+def brute_by_id(rows):
+    """As ``brute``, where ids repeat: a link of any row of an id is its link."""
+    label = {i: c for i, _, c in brute(rows) if i is not None}
+    return sorted(((i, len(shingle_set(t)), label.get(i)) for i, t in rows), key=repr)
+
+
+def repeated_ids(seed):
+    """Texts of several groups under ids that stand on two or three rows each."""
+    rng = random.Random(seed)
+    rows = corpus(seed, bases=8, copies=6)
+    return [(rng.choice([i, i // 2, i // 3, None]) if rng.random() < 0.7 else i, t) for i, t in rows]
+
+
+def test_another_text_of_an_id_keeps_its_links(spark):
+    """Both texts of id 1 have as many shingles; one is a copy of id 0's, the other is near id 5's."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(0, a), (1, a), (1, b), (5, b.replace("b59", "other"))]
+    assert {r.component_id for r in similar_components(table(spark, rows)).collect()} == {0}
+    assert sorted(map(tuple, one_of_each_group(table(spark, rows)).collect())) == [(0, a), (1, b)]
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_repeated_ids_against_brute_force(spark, seed):
+    rows = repeated_ids(seed)
+    assert result(similar_components(table(spark, rows))) == brute_by_id(rows)
+
+
+@pytest.mark.parametrize("seed", [31, 32])
+def test_of_every_group_of_texts_one_row_stays_where_ids_repeat(spark, seed):
+    rows = repeated_ids(seed)
+    kept = [tuple(r) for r in one_of_each_group(table(spark, rows)).collect()]
+    texts = sorted({(i, t) for i, t in rows if i is not None})
+    groups_of = {n: c for n, _, c in brute([(n, t) for n, (_, t) in enumerate(texts)])}
+    assert sorted(t for t in kept if t[0] is None) == sorted(r for r in rows if r[0] is None)
+    stay = [t for t in kept if t[0] is not None]
+    number = {t: n for n, t in enumerate(texts)}
+    held = sorted(groups_of[number[t]] for t in stay)
+    assert held == sorted(set(groups_of.values()))  # one of each group, none lost
+    smallest = {}
+    for n, c in groups_of.items():
+        smallest[c] = min(smallest.get(c, texts[n][0]), texts[n][0])
+    assert all(smallest[groups_of[number[t]]] == t[0] for t in stay)
+
+
 def test_one_of_each_group(spark):
     docs = edge_docs(spark)
     kept = one_of_each_group(docs)

@@ -13,17 +13,22 @@ probabilities of all words add up to 1.  Two ids mark a text's edges.
 
 Network: position-weighted sum of the neighbours' embeddings, tanh, and a
 softmax in two steps, over blocks of ids and within the block, both with
-biases that start at the corpus' log frequencies.  Training is local SGD in
-numpy: every task trains on the words of its own texts at positions
-``epoch modulo STRIDE``; ``EPOCHS`` is ``STRIDE``, so every word of every text
-is a target once.  The tasks' parameters are averaged with the number of their
-words as weights, and the next epoch starts from there.  Parameters travel in pieces of 32 KB and are averaged in two
-levels, so no group takes in the pieces of all tasks.
-
-Scoring is one pass over the texts with the network broadcast (some 1.1 MB and
-260 bytes an id beyond ``FREQUENT``).  The counts of all words stay in a written
-table; what the words of shared ids add is joined from it, by word, and summed
-by text.  Copies of a text are summed together and parted again by their number.
+biases that start at the corpus' log frequencies.  Own ids are dealt to the
+blocks so that these hold about equal numbers of words.  Training is local SGD
+in numpy, with Adagrad's step sizes by parameter row: every task trains on the
+words of its own texts at positions ``epoch modulo STRIDE``; ``EPOCHS`` is
+``STRIDE``, so every word of every text is a target once.  The tasks'
+parameters are averaged with the number of their words as weights, and the
+next epoch starts from there (one average alone fits held-out text worse).
+Parameters travel in pieces of 32 KB and are averaged in two levels, so no
+group takes in the pieces of all tasks.
+
+Texts are encoded once: each row's word ids, and the hashes of its words of
+shared ids, are written as bytes under a row number of its own, and training
+and scoring read that table.  Scoring is one pass over it with the network
+broadcast (some 1.1 MB and 260 bytes an id beyond ``FREQUENT``).  The counts of
+all words stay in a written table; what the words of shared ids add is joined
+from it, by word, and summed by row.
 
 Defined cases: a null, empty or blank text has no words, a sum of 0 and a
 null mean; an empty table gives no rows; repeated rows count as often as they
@@ -32,6 +37,7 @@ occur and are scored alike; other columns are not read.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -52,9 +58,9 @@ BLOCK = 64
 WIDTH = 32
 EPOCHS = 2
 STRIDE = EPOCHS
-BATCH = 512
-GROUP = 16  # targets of one block multiplied together in a step
-RATE = 0.4
+BATCH = 4096
+FIRST_BATCH = 512  # batches grow to BATCH with the words a task has seen
+RATE = 0.2
 COUNT_BYTES = 8 << 20  # text counted together before its counts travel
 _PIECE = 8192  # parameters in one row of the averaging
 FAN = 1024  # groups of tasks averaged first, so the second average has at most so many inputs
@@ -70,6 +76,11 @@ def own_ids(distinct: int) -> int:
     return FREQUENT + BLOCK * int(2 * math.sqrt(distinct) / BLOCK)
 
 
+def edges(own: int) -> tuple[int, int]:
+    """The ids before and after a text."""
+    return own + SHARED, own + SHARED + 1
+
+
 def word_ids(hashes: np.ndarray, frequent: np.ndarray, ids: np.ndarray, own: int) -> np.ndarray:
     """Ids of word hashes; ``frequent``: sorted hashes of the words with ids of their own, ``own`` at most."""
     shared = own + (hashes % np.uint64(SHARED)).astype(np.int64)
@@ -87,6 +98,18 @@ class Encoded:
     place: np.ndarray
     first: np.ndarray  # each text's first word, and the number of words
 
+    @classmethod
+    def of(cls, ids: np.ndarray, first: np.ndarray, own: int) -> Encoded:
+        rows = len(first) - 1
+        left, right = edges(own)
+        padded = np.full(len(ids) + 2 * WINDOW * rows, left, dtype=np.int32)
+        place = np.arange(len(ids)) + 2 * WINDOW * np.repeat(np.arange(rows), np.diff(first)) + WINDOW
+        padded[place] = ids
+        ends = first[1:] + 2 * WINDOW * np.arange(rows) + WINDOW
+        for k in range(WINDOW):
+            padded[ends + k] = right
+        return cls(padded, place, first)
+
     @property
     def ids(self) -> np.ndarray:
         return self.padded[self.place]
@@ -103,17 +126,12 @@ class Vocabulary:
     ids: np.ndarray
     own: int = FREQUENT
 
+    def ids_of(self, hashes: np.ndarray) -> np.ndarray:
+        return word_ids(hashes, self.frequent, self.ids, self.own)
+
     def encode(self, texts: pa.Array) -> Encoded:
         w = words(texts)
-        rows = len(w.counts)
-        left, right = self.own + SHARED, self.own + SHARED + 1
-        padded = np.full(len(w.hashes) + 2 * WINDOW * rows, left, dtype=np.int32)
-        place = np.arange(len(w.hashes)) + 2 * WINDOW * w.row_of_word() + WINDOW
-        padded[place] = word_ids(w.hashes, self.frequent, self.ids, self.own)
-        ends = w.first[1:] + 2 * WINDOW * np.arange(rows) + WINDOW
-        for k in range(WINDOW):
-            padded[ends + k] = right
-        return Encoded(padded, place, w.first)
+        return Encoded.of(self.ids_of(w.hashes), w.first, self.own)
 
 
 class Network:
@@ -121,6 +139,7 @@ class Network:
 
     def __init__(self, flat: np.ndarray, size: int):
         self.flat, self.size, self.blocks = flat, size, size // BLOCK
+        self.squares: dict[str, np.ndarray] = {}  # sums of squared gradients, by row
         shapes = {
             "embed": (size + 2, WIDTH),
             "position": (2 * WINDOW, WIDTH),
@@ -151,25 +170,21 @@ class Network:
         net.word_bias[:] = np.log(share / np.repeat(blocks, BLOCK))
         return net
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        total = np.zeros((len(context), WIDTH), dtype=np.float32)
-        for k in range(2 * WINDOW):
-            total += self.embed[context[:, k]] * self.position[k]
-        return np.tanh(total)
+    @staticmethod
+    def _tame(z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
+        if np.abs(weights).sum(1).max() + np.abs(bias).max() > 60:  # |h| is below 1, so exp cannot overflow otherwise
+            z -= z.max(axis=1, keepdims=True)
 
-    def _softmax(self, h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        z = h @ weights.T + bias
-        z -= z.max(axis=1, keepdims=True)
+    def _softmax(self, z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
+        self._tame(z, weights, bias)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        return z
+        z *= (1 / z.sum(axis=1))[:, None]
 
     def _log_share(self, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, column: np.ndarray) -> np.ndarray:
         """Logarithm of the softmax at one column of each row."""
         z = h @ weights.T
         z += bias
-        if np.abs(weights).sum(1).max() + np.abs(bias).max() > 60:  # |h| is below 1, so exp cannot overflow otherwise
-            z -= z.max(axis=1, keepdims=True)
+        self._tame(z, weights, bias)
         own = z[np.arange(len(z)), column]
         np.exp(z, out=z)
         return own - np.log(z.sum(axis=1))
@@ -191,67 +206,95 @@ class Network:
             p = self._log_share(h, self.block, self.block_bias, block).astype(float)
             order = np.argsort(block, kind="stable")
             h, place = h[order], (own % BLOCK)[order]
-            edges = np.searchsorted(block[order], np.arange(self.blocks + 1))
-            for b in np.flatnonzero(np.diff(edges)):
-                rows = slice(edges[b], edges[b + 1])
+            bounds = np.searchsorted(block[order], np.arange(self.blocks + 1))
+            for b in np.flatnonzero(np.diff(bounds)):
+                rows = slice(bounds[b], bounds[b + 1])
                 of = slice(b * BLOCK, (b + 1) * BLOCK)
                 p[order[rows]] += self._log_share(h[rows], self.word[of], self.word_bias[of], place[rows])
             out[part] = p
         return out
 
-    def train(self, context: np.ndarray, target: np.ndarray) -> None:
-        """One step of SGD on a batch."""
-        rate = np.float32(RATE)
-        h = self.hidden(context)
+    def gradients(self, context: np.ndarray, target: np.ndarray) -> list[tuple]:
+        """``name, rows, gradient of weights, of biases`` of a batch's summed loss."""
+        kind = self.flat.dtype
         block = target // BLOCK
-        rows = np.arange(len(target))
-        error = self._softmax(h, self.block, self.block_bias)
+        order = np.argsort(_narrow(block, self.blocks), kind="stable")  # a block's targets side by side
+        target, block, context = target[order], block[order], np.ascontiguousarray(context[order].T)
+        rows, ones = np.arange(len(target)), np.ones(len(target), dtype=kind)
+        near = [self.embed.take(ids, axis=0) for ids in context]
+        h = near[0] * self.position[0]
+        for k in range(1, 2 * WINDOW):
+            h += near[k] * self.position[k]
+        np.tanh(h, out=h)
+
+        error = h @ self.block.T
+        error += self.block_bias
+        self._softmax(error, self.block, self.block_bias)
         error[rows, block] -= 1
         back = error @ self.block
-        step = rate / np.float32(math.sqrt(len(target)))
-        self.block -= step * (error.T @ h)
-        self.block_bias -= step * error.sum(0)
-        # targets of one block side by side, in groups of GROUP places, so all blocks are multiplied at once
-        order = np.argsort(block, kind="stable")
-        sizes = np.bincount(block, minlength=self.blocks)
-        groups = -(-sizes // GROUP)
-        first = np.cumsum(groups) - groups
-        within = rows - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        place = first[block[order]] * GROUP + within
-        of = np.repeat(np.arange(self.blocks), groups)
-        words, biases = self.word.reshape(-1, BLOCK, WIDTH), self.word_bias.reshape(-1, BLOCK)
-        inputs = np.zeros((len(of) * GROUP, WIDTH), dtype=np.float32)
-        inputs[place] = h[order]
-        inputs = inputs.reshape(-1, GROUP, WIDTH)
-        weights = words[of]
-        error = inputs @ weights.transpose(0, 2, 1)
-        error += biases[of][:, None]
-        error -= error.max(axis=2, keepdims=True)
-        np.exp(error, out=error)
-        error /= error.sum(axis=2, keepdims=True)
-        flat = error.reshape(-1, BLOCK)
-        flat[place, target[order] % BLOCK] -= 1
-        empty = np.ones(len(flat), dtype=bool)
-        empty[place] = False
-        flat[empty] = 0
-        back[order] += (error @ weights).reshape(-1, WIDTH)[place]
-        by_word, by_bias = step * (error.transpose(0, 2, 1) @ inputs), step * error.sum(1)
-        nth = np.arange(len(of)) - first[of]  # a block's groups one after another, as an index may stand only once
-        for k in range(groups.max()):
-            now = np.flatnonzero(nth == k)
-            words[of[now]] -= by_word[now]
-            biases[of[now]] -= by_bias[now]
-        back *= 1 - h * h
-        change = np.empty((2 * WINDOW, len(target), WIDTH), dtype=np.float32)
+        by_block = ("block", slice(None), error.T @ h, ones @ error)
+
+        bounds = np.searchsorted(block, np.arange(self.blocks + 1))
+        used = np.flatnonzero(np.diff(bounds))
+        spans = [(i, slice(bounds[b], bounds[b + 1]), slice(b * BLOCK, (b + 1) * BLOCK)) for i, b in enumerate(used)]
+        error = np.empty((len(target), BLOCK), dtype=kind)
+        for _, at, of in spans:
+            np.dot(h[at], self.word[of].T, out=error[at])
+            error[at] += self.word_bias[of]
+        self._softmax(error, self.word, self.word_bias)
+        error[rows, target % BLOCK] -= 1
+        by_word = np.empty((len(used), BLOCK, WIDTH), dtype=kind)
+        by_bias = np.empty((len(used), BLOCK), dtype=kind)
+        for i, at, of in spans:
+            own = error[at]
+            back[at] += own @ self.word[of]
+            np.dot(own.T, h[at], out=by_word[i])
+            np.dot(ones[at], own, out=by_bias[i])
+        ids = (used[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        by_word = ("word", ids, by_word.reshape(-1, WIDTH), by_bias.ravel())
+
+        h *= h
+        back *= 1 - h
+        by_position = np.array([(near[k] * back).sum(0) for k in range(2 * WINDOW)])
+        change = np.empty((2 * WINDOW, len(target), WIDTH), dtype=kind)
         for k in range(2 * WINDOW):
-            near = self.embed[context[:, k]]
-            np.multiply(back, step * self.position[k], out=change[k])
-            self.position[k] -= step * (back * near).sum(0)
-        ids = context.T.ravel()
-        order = np.argsort(ids, kind="stable")
+            np.multiply(back, self.position[k], out=change[k])
+        ids = context.ravel()
+        order = np.argsort(_narrow(ids, self.size + 2), kind="stable")
         ids = ids[order]
         starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        self.embed[ids[starts]] -= np.add.reduceat(change.reshape(-1, WIDTH)[order], starts)
+        by_embed = np.add.reduceat(change.reshape(-1, WIDTH).take(order, axis=0), starts)
+        return [by_block, by_word, ("position", slice(None), by_position, None), ("embed", ids[starts], by_embed, None)]
+
+    def train(self, context: np.ndarray, target: np.ndarray) -> None:
+        """One step of Adagrad on a batch, with a step size for each row of parameters."""
+        for name, rows, weights, biases in self.gradients(context, target):
+            squares = np.einsum("ij,ij->i", weights, weights)
+            if biases is not None:
+                squares += biases * biases
+            squares /= WIDTH
+            so_far = self.squares.setdefault(name, np.full(len(getattr(self, name)), 1e-3, dtype=self.flat.dtype))
+            squares += so_far[rows]
+            so_far[rows] = squares
+            rate = np.float32(RATE) / np.sqrt(squares)
+            weights *= rate[:, None]
+            getattr(self, name)[rows] -= weights
+            if biases is not None:
+                getattr(self, name + "_bias")[rows] -= biases * rate
+
+
+def _narrow(ids: np.ndarray, below: int) -> np.ndarray:
+    """``ids`` in 16 bits where they fit, which sort by radix."""
+    return ids.astype(np.uint16) if below <= 1 << 16 else ids
+
+
+def train_in_batches(net: Network, context: np.ndarray, target: np.ndarray, seen: int = 0) -> None:
+    """Steps over all of ``target``, in batches that grow with the words ``seen`` so far."""
+    at = 0
+    while at < len(target):
+        size = min(BATCH, max(FIRST_BATCH, (seen + at) // 16))
+        net.train(context[at : at + size], target[at : at + size])
+        at += size
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,13 +309,25 @@ def word_counts(docs: DataFrame, stage: Staging) -> DataFrame:
     return stage.write(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
+def dealt(counts: list[int], blocks: int) -> np.ndarray:
+    """Ids for words of these counts, largest first, in ``blocks`` blocks of about equal sums."""
+    ids = np.empty(len(counts), dtype=np.int64)
+    open_blocks = [(0, b, 0) for b in range(blocks)]  # sum, block, words in it; in order, thus a heap
+    for i, n in enumerate(counts):
+        total, b, held = heapq.heappop(open_blocks)
+        ids[i] = b * BLOCK + held
+        if held + 1 < BLOCK:
+            heapq.heappush(open_blocks, (total + n, b, held + 1))
+    return ids
+
+
 def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """The vocabulary and the count of each id, from the counts of all words."""
     own = own_ids(counts.count())
     top = counts.orderBy(F.desc("n"), "word").limit(own).collect()
-    rank = {r.word: i for i, r in enumerate(top)}
-    frequent = np.array(sorted(rank, key=lambda w: w & (2**64 - 1)), dtype=np.int64)
-    ids = np.array([rank[w] for w in frequent.tolist()], dtype=np.int64)
+    slot = dict(zip((r.word for r in top), dealt([r.n for r in top], own // BLOCK).tolist()))
+    frequent = np.array(sorted(slot, key=lambda w: w & (2**64 - 1)), dtype=np.int64)
+    ids = np.array([slot[w] for w in frequent.tolist()], dtype=np.int64)
     # ids of shared words: the hash's low bits, as in word_ids
     shared = F.pmod(F.col("word").bitwiseAND(F.lit(SHARED - 1)), F.lit(SHARED))
     rest = counts.groupBy(shared.alias("id")).agg(F.sum("n").alias("n")).collect()
@@ -280,7 +335,7 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     for r in rest:
         total[own + r.id] += r.n
     for r in top:
-        total[rank[r.word]] = r.n
+        total[slot[r.word]] = r.n
         total[own + (r.word & (SHARED - 1))] -= r.n
     return Vocabulary(frequent.view(np.uint64), ids, own), total
 
@@ -290,40 +345,72 @@ def corpus_vocabulary(docs: DataFrame, stage: Staging) -> tuple[Vocabulary, np.n
     return vocabulary_of(word_counts(docs, stage))
 
 
-def _sharing(shared) -> Callable:
+def _ids(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of their bytes end to end, and each row's first one."""
+    column = column.cast(pa.large_binary())
+    size = np.dtype(kind).itemsize
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    if data is None or offsets[-1] == offsets[0]:
+        return np.zeros(0, kind), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(kind), (offsets - offsets[0]) // size
+
+
+def _bytes(numbers: np.ndarray, first: np.ndarray) -> pa.Array:
+    offsets = first.astype(np.int64) * numbers.itemsize
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(first) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(numbers))]
+    ).cast(pa.binary())
+
+
+def _encoding(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in slices(batches, "text"):
             w = words(batch.column("text"))
-            ids = word_ids(w.hashes, vocabulary.frequent, vocabulary.ids, vocabulary.own)
-            at = np.flatnonzero(ids >= vocabulary.own)
-            rows, hashes = w.row_of_word()[at], w.hashes[at]
-            order = np.lexsort((hashes, rows))
-            rows, hashes = rows[order], hashes[order]
-            starts = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])][: len(rows)])
-            times = np.diff(np.r_[starts, len(rows)])
+            ids = vocabulary.ids_of(w.hashes).astype(np.int32)
+            alike = ids >= vocabulary.own
+            first = np.r_[0, np.cumsum(alike)][w.first]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key").take(pa.array(rows[starts])),
-                    pa.array(hashes[starts].view(np.int64)),
-                    pa.array(times.astype(np.int32)),
-                ],
-                names=["key", "word", "times"],
+                [batch.column("doc_id"), _bytes(ids, w.first), _bytes(w.hashes[alike], first)],
+                names=["doc_id", "ids", "shared"],
             )
 
     return run
 
 
-def shared_words(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, stage: Staging) -> DataFrame:
-    """``key, log_counts, times`` over all rows of ``docs`` (``key``, ``text``) of one ``key``: the
-    words of shared ids in them and the sum of the logarithms of their counts."""
+def encoded_documents(docs: DataFrame, vocabulary: Vocabulary, stage: Staging) -> DataFrame:
+    """``row, doc_id, ids, shared`` of each row of ``docs`` (``doc_id``, ``text``): the ids of its
+    words (32 bits each) and the hashes of those that share one (64 bits each)."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    found = docs.select("key", "text").mapInArrow(_sharing(shared), "key bigint, word bigint, times int")
+    rows = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
+    found = rows.mapInArrow(_encoding(shared), "doc_id bigint, ids binary, shared binary")
+    return stage.write(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "ids", "shared"), "encoded")
+
+
+def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "shared"):
+        hashes, first = _ids(batch.column("shared"), np.uint64)
+        rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        order = np.lexsort((hashes, rows))
+        rows, hashes = rows[order], hashes[order]
+        starts = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])][: len(rows)])
+        times = np.diff(np.r_[starts, len(rows)])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("row").take(pa.array(rows[starts])),
+                pa.array(hashes[starts].view(np.int64)),
+                pa.array(times.astype(np.int32)),
+            ],
+            names=["row", "word", "times"],
+        )
+
+
+def shared_words(encoded: DataFrame, counts: DataFrame, stage: Staging) -> DataFrame:
+    """``row, log_counts`` of ``encoded``: the sum of the logarithms of the counts of a row's words of shared ids."""
+    found = encoded.select("row", "shared").mapInArrow(_sharing, "row bigint, word bigint, times int")
     joined = found.join(counts.hint("merge"), "word")
-    sums = joined.groupBy("key").agg(
-        F.sum(F.col("times") * F.log("n")).alias("log_counts"), F.sum("times").alias("times")
-    )
-    return stage.write(sums, "shared")
+    return stage.write(joined.groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("log_counts")), "shared")
 
 
 def targets(text: Encoded, epoch: int, stride: int = STRIDE) -> np.ndarray:
@@ -333,17 +420,19 @@ def targets(text: Encoded, epoch: int, stride: int = STRIDE) -> np.ndarray:
     return np.random.default_rng(len(within)).permutation(chosen)
 
 
+def _texts(batch: pa.RecordBatch, own: int) -> Encoded:
+    return Encoded.of(*_ids(batch.column("ids"), np.int32), own)
+
+
 def _trained(shared, epoch: int, stride: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, flat = shared.value
-        net = Network(flat.copy(), vocabulary.own + SHARED)
+        own, flat = shared.value
+        net = Network(flat.copy(), own + SHARED)
         seen = 0
-        for batch in slices(batches, "text"):
-            text = vocabulary.encode(batch.column("text"))
+        for batch in slices(batches, "ids"):
+            text = _texts(batch, own)
             chosen = targets(text, epoch, stride)
-            context, ids = text.context(chosen), text.ids[chosen]
-            for at in range(0, len(chosen), BATCH):
-                net.train(context[at : at + BATCH], ids[at : at + BATCH])
+            train_in_batches(net, text.context(chosen), text.ids[chosen], seen)
             seen += len(chosen)
         if seen:
             task = TaskContext.get().partitionId()
@@ -382,16 +471,15 @@ def _average(group: pa.Table) -> pa.Table:
     )
 
 
-def train_network(
-    docs: DataFrame, vocabulary: Vocabulary, counts: np.ndarray, epochs: int = EPOCHS, stride: int = STRIDE
+def train_encoded(
+    encoded: DataFrame, own: int, counts: np.ndarray, epochs: int = EPOCHS, stride: int = STRIDE
 ) -> Network:
-    """A network trained on all rows of ``docs`` (``text``)."""
-    spark = docs.sparkSession
+    """A network trained on all rows of ``encoded`` (``ids``)."""
+    spark = encoded.sparkSession
     net = Network.start(counts)
-    texts = docs.select("text")
     for epoch in range(epochs):
-        shared = spark.sparkContext.broadcast((vocabulary, net.flat))
-        parts = texts.mapInArrow(_trained(shared, epoch, stride), _AVERAGED)
+        shared = spark.sparkContext.broadcast((own, net.flat))
+        parts = encoded.select("ids").mapInArrow(_trained(shared, epoch, stride), _AVERAGED)
         some = parts.groupBy("piece", (F.col("task") % FAN).alias("part")).applyInArrow(_average, _AVERAGED)
         rows = some.groupBy("piece").applyInArrow(_average, _AVERAGED).collect()  # the network itself
         flat = net.flat.copy()
@@ -401,34 +489,34 @@ def train_network(
     return net
 
 
+def train_network(
+    docs: DataFrame, vocabulary: Vocabulary, counts: np.ndarray, epochs: int = EPOCHS, stride: int = STRIDE
+) -> Network:
+    """A network trained on all rows of ``docs`` (``doc_id``, ``text``)."""
+    stage = Staging(docs.sparkSession, "masked-lm")
+    return train_encoded(encoded_documents(docs, vocabulary, stage), vocabulary.own, counts, epochs, stride)
+
+
 def _scored(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, flat, counts = shared.value
-        net = Network(flat, vocabulary.own + SHARED)
+        own, flat, counts = shared.value
+        net = Network(flat, own + SHARED)
         # what the count of a shared id takes from the logarithm of a word's count
         less = np.log(np.maximum(counts, 1))
-        less[: vocabulary.own] = 0
-        for batch in slices(batches, "text"):
-            text = vocabulary.encode(batch.column("text"))
-            ids = text.ids
-            total = np.r_[0.0, np.cumsum(net.log_probabilities(text) - less[ids])]
+        less[:own] = 0
+        for batch in slices(batches, "ids"):
+            text = _texts(batch, own)
+            total = np.r_[0.0, np.cumsum(net.log_probabilities(text) - less[text.ids])]
             score = total[text.first[1:]] - total[text.first[:-1]]
-            alike = np.r_[0, np.cumsum(ids >= vocabulary.own)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("key"),
-                    pa.array(np.diff(text.first), pa.int64()),
-                    pa.array(alike[text.first[1:]] - alike[text.first[:-1]], pa.int64()),
-                    pa.array(score),
-                ],
-                names=["doc_id", "key", "n_words", "n_shared", "score"],
+                [batch.column("row"), batch.column("doc_id"), pa.array(np.diff(text.first), pa.int64()), pa.array(score)],
+                names=["row", "doc_id", "n_words", "score"],
             )
 
     return run
 
 
-_SCORED = "doc_id bigint, key bigint, n_words bigint, n_shared bigint, score double"
+_SCORED = "row bigint, doc_id bigint, n_words bigint, score double"
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -436,17 +524,16 @@ def score_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     stage = Staging(spark, "masked-lm")
     docs = bounded_batches(docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text"))
-    docs = docs.withColumn("key", F.xxhash64("text"))
     words_of = word_counts(docs, stage)
     vocabulary, counts = vocabulary_of(words_of)
-    net = train_network(docs, vocabulary, counts)
-    sums = shared_words(docs, vocabulary, words_of, stage)
+    encoded = encoded_documents(docs, vocabulary, stage)
+    net = train_encoded(encoded, vocabulary.own, counts)
+    sums = shared_words(encoded, words_of, stage)
     stage.drop("words")
-    scored = docs.mapInArrow(_scored(spark.sparkContext.broadcast((vocabulary, net.flat, counts))), _SCORED)
-    # all copies of a text have n_shared words each
-    added = F.coalesce(F.col("log_counts") * F.col("n_shared") / F.col("times"), F.lit(0.0))
-    score = F.when(F.col("n_words") > 0, F.col("score") + added).otherwise(0.0)
-    return scored.join(sums, "key", "left").select(
+    network = spark.sparkContext.broadcast((vocabulary.own, net.flat, counts))
+    scored = encoded.select("row", "doc_id", "ids").mapInArrow(_scored(network), _SCORED)
+    score = F.when(F.col("n_words") > 0, F.col("score") + F.coalesce("log_counts", F.lit(0.0))).otherwise(0.0)
+    return scored.join(sums, "row", "left").select(
         "doc_id",
         "n_words",
         score.alias("log_likelihood"),

@@ -79,6 +79,56 @@ def test_gradient_step_lowers_the_loss():
     assert net.log_probabilities(text).mean() > before + 0.5
 
 
+def test_gradients_equal_differences_of_the_loss():
+    rng = np.random.default_rng(2)
+    size = 3 * lm.BLOCK
+    net = lm.Network(rng.normal(0, 0.3, lm.Network.length(size)), size)  # float64
+    context, target = rng.integers(0, size + 2, (40, 4)), rng.integers(0, size, 40)
+    target[:5] = target[0]  # a word and a block more than once
+    padded = np.c_[context[:, :2], target, context[:, 2:]].ravel()
+    text = lm.Encoded(padded, np.arange(2, len(padded), 5), np.array([0, 40]))
+
+    def loss():
+        return -net.log_probabilities(text).sum()
+
+    found = {}
+    for name, rows, weights, biases in net.gradients(context, target):
+        for part, gradient in ((name, weights), (name + "_bias", biases)):
+            if gradient is not None:
+                found[part] = np.zeros(getattr(net, part).shape)
+                found[part][rows] = gradient
+    assert set(found) == {"embed", "position", "block", "block_bias", "word", "word_bias"}
+    for part, gradient in found.items():
+        values, gradient = getattr(net, part).reshape(-1), gradient.reshape(-1)
+        largest = np.argsort(-np.abs(gradient))[:4]
+        for i in [*largest, *rng.integers(0, len(values), 12)]:
+            at, step = values[i], 1e-5
+            values[i] = at + step
+            above = loss()
+            values[i] = at - step
+            below = loss()
+            values[i] = at
+            assert abs((above - below) / (2 * step) - gradient[i]) < 1e-4, (part, i)
+
+
+def test_own_ids_are_dealt_to_blocks_of_about_equal_mass():
+    counts = [10_000 // (i + 1) for i in range(4 * lm.BLOCK)]
+    ids = lm.dealt(counts, 4)
+    assert sorted(ids.tolist()) == list(range(4 * lm.BLOCK))
+    mass = np.bincount(ids // lm.BLOCK, weights=counts)
+    assert mass.max() - mass.min() < 0.2 * mass.max()
+    assert lm.dealt([], 4).tolist() == [] and lm.dealt([7, 7], 4).tolist() == [0, lm.BLOCK]
+
+
+def test_encoded_rows_read_back(spark):
+    rows = [(3, "a b rare a"), (1, None), (3, "a b rare a"), (2, ""), (None, "zz"), (4, " \n")]
+    vocabulary, _ = lm.corpus_vocabulary(table(spark, rows), Staging(spark, "test"))
+    got = lm.encoded_documents(table(spark, rows), vocabulary, Staging(spark, "test")).collect()
+    assert len({r.row for r in got}) == len(rows)
+    want = [(i, vocabulary.encode(pa.array([t], pa.string())).ids.tolist()) for i, t in rows]
+    assert sorted(((r.doc_id, np.frombuffer(r.ids, np.int32).tolist()) for r in got), key=repr) == sorted(want, key=repr)
+
+
 def test_training_beats_the_unigram_model_and_orders_texts(spark):
     rows = corpus()
     rng = random.Random(7)

@@ -89,3 +89,46 @@ def test_statistics_by_hand():
     assert np.isclose(row["distinct_share"], 4 / 5) and np.isclose(row["top_word_share"], 2 / 5)
     assert np.isclose(row["shouted_share"], 1 / 5) and np.isclose(row["marked_share"], 1 / 5)
     assert row["words_per_line"] == 2.5
+
+
+def test_every_split_is_the_best_of_all_cuts_and_every_leaf_its_step():
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(size=120), rng.integers(0, 5, 120), rng.normal(size=120)]).astype(float)
+    y = ((x[:, 0] * (x[:, 1] - 2) + 0.5 * x[:, 2] + rng.normal(0, 0.3, 120)) > 0).astype(float)
+    cuts = [(f, float(np.quantile(c, k / q.BINS))) for f, c in enumerate(x.T) for k in range(1, q.BINS)]
+    model = q.fit(x, y, trees=4)
+    share = (y.sum() + 1) / (len(y) + 2)
+    margin = [float(np.log(share / (1 - share)))] * len(y)
+    splits = 0
+    for feature, threshold, value in zip(model.feature, model.threshold, model.value):
+        p = [1 / (1 + np.exp(-m)) for m in margin]
+
+        def sums(rows):
+            return sum(p[i] - y[i] for i in rows), sum(p[i] * (1 - p[i]) for i in rows)
+
+        def gain(rows, f, cut):
+            (g, h), (gl, hl) = sums(rows), sums([i for i in rows if x[i, f] <= cut])
+            if min(hl, h - hl) < q.LEAST_HESSIAN:
+                return 0.0
+            return gl**2 / (hl + q.L2) + (g - gl) ** 2 / (h - hl + q.L2) - g**2 / (h + q.L2)
+
+        nodes = {0: list(range(len(y)))}
+        for node in range(2**q.DEPTH - 1):
+            rows = nodes[node]
+            best = max(gain(rows, f, cut) for f, cut in cuts)
+            f, cut = int(feature[node]), float(threshold[node])
+            if np.isfinite(cut):
+                splits += 1
+                assert (f, cut) in cuts and abs(gain(rows, f, cut) - best) < 1e-9
+            else:
+                assert best < 1e-8
+            nodes[2 * node + 1] = [i for i in rows if x[i, f] <= cut]
+            nodes[2 * node + 2] = [i for i in rows if x[i, f] > cut]
+        for leaf in range(2**q.DEPTH):
+            rows = nodes[2**q.DEPTH - 1 + leaf]
+            g, h = sums(rows)
+            assert abs(value[leaf] + q.RATE * g / (h + q.L2)) < 1e-9
+            for i in rows:
+                margin[i] += value[leaf]
+    assert splits > 12
+    assert np.allclose(model.scores(x), 1 / (1 + np.exp(-np.array(margin))))

@@ -30,8 +30,11 @@ that many prefixes hold last and are otherwise independent hash orders:
    joins such groups at linear cost.
 5. Exact completion: lists whose documents lie in one component are done.  In
    the others all pairs from different components are formed, except among
-   the list's largest component, under the size and position bounds; those
-   that share prefix tokens under the other orders too are verified.
+   the list's largest component, under the size and position bounds.  Sizes
+   are bands in the join's key, and the smaller set of a pair takes part with
+   its shorter index prefix only, ``n - ceil(2t / (1 + t) n) + 1`` tokens, so
+   texts that share a template but no more never meet.  Pairs that share
+   prefix tokens under the other orders too are verified.
 6. Components of all links and copies.
 
 Pairs inside a component known by step 4 are never formed: they cannot change
@@ -71,6 +74,9 @@ BITS_PER_TOKEN = 16
 RICH_PERCENT = 30
 # Share of the shorter prefix, in percent, that a first-round pair must hold in common.
 PIVOT_PERCENT = 30
+# Ratio of the size bands that join the sets of a list; over 1 / 0.8, so that a pair lies in one band or two
+# neighbouring ones whatever the rounding of logarithms.
+SIZE_BAND = 1.26
 # Ids are broadcast up to this many (32 MB at most as a hash table of longs); beyond, a shuffle join.
 BROADCAST_IDS = 1_000_000
 _ORDER_SEEDS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
@@ -381,19 +387,31 @@ def similar_components(docs: DataFrame) -> DataFrame:
         "open",
     )
     across = stage.write(placed.join(open_lists, "token"), "across")
-    side = [across.select("token", *(F.col(c).alias(f"{s}{c}") for c in ("id", "n", "pos", "component", "most"))) for s in "xy"]
-    pairs = (
-        side[0]
-        .where("xcomponent <> xmost")
-        .join(side[1], "token")
-        .where("xcomponent <> ycomponent and (ycomponent = ymost or xid < yid)")
-        .where(_larger("xn", "yn"))
-        .where(f"{100 + PERCENT} * least(xn - xpos, yn - ypos) >= {PERCENT} * (xn + yn)")
-        .selectExpr(
-            "least(xid, yid) as a", "if(xid < yid, xn, yn) as na", "greatest(xid, yid) as b", "if(xid < yid, yn, xn) as nb"
-        )
-        .distinct()
+    # Of a linked pair the smaller set has a shared token among its first tokens that leave
+    # 2t / (1 + t) of it, and sizes lie within 1 / t: both bounds come before the match.
+    band = F.floor(F.log("n") / F.log(F.lit(SIZE_BAND))).cast("int")
+    columns = ("id", "n", "pos", "component")
+    sides = across.select(
+        "token", *(F.col(c).alias(f"x{c}") for c in columns), (F.col("component") == F.col("most")).alias("xmost"), band.alias("band")
+    )
+    smaller = sides.where(f"{100 + PERCENT} * (xn - xpos) >= {2 * PERCENT} * xn").withColumn(
+        "band", F.explode(F.array("band", F.col("band") + 1))
     )
+    larger = sides.withColumnsRenamed({f"x{c}": f"y{c}" for c in (*columns, "most")})
+
+    def met(smaller: DataFrame, larger: DataFrame) -> DataFrame:
+        return (
+            smaller.join(larger, ["token", "band"])
+            .where("xcomponent <> ycomponent and (xn < yn or xn = yn and xid < yid)")
+            .where(_larger("xn", "yn"))
+            .where(f"{100 + PERCENT} * least(xn - xpos, yn - ypos) >= {PERCENT} * (xn + yn)")
+            .selectExpr(
+                "least(xid, yid) as a", "if(xid < yid, xn, yn) as na", "greatest(xid, yid) as b", "if(xid < yid, yn, xn) as nb"
+            )
+        )
+
+    # a list's largest component never meets itself
+    pairs = met(smaller.where("not xmost"), larger).union(met(smaller.where("xmost"), larger.where("not ymost"))).distinct()
     rest = _verified(stage.write(pairs, "pairs"), known, blooms, stage, "rest")
     blooms.unpersist()
 

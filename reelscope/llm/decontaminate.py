@@ -13,9 +13,9 @@ verified by the exact containment of the item's shingle set in the set of the
 whole document: ``100 * shared >= 80 * size``.
 
 The benchmark is read in blocks of bounded size, hashed once and broadcast
-(``BLOCK_CHARS`` characters of items a block, so about 16 MB of hashes); the
-documents make one pass a block without any shuffle, however the copies are
-distributed.
+(``BLOCK_CHARS`` characters of items a block, so about 16 MB of hashes); an item
+that is repeated is there once, with its count.  The documents make one pass a
+block without any shuffle, however the copies are distributed.
 
 Defined cases: a null, empty or blank text or item has no shingles and takes
 part in no pair; a text or item of fewer than five words is its whole
@@ -63,12 +63,13 @@ class Partition:
 @dataclass
 class Index:
     item_ids: list
+    times: list[int]
     sets: list[np.ndarray]
     partitions: list[Partition]
 
 
-def build_index(item_ids: list, sets: list[np.ndarray]) -> Index:
-    """MinHash index of one block of items."""
+def build_index(item_ids: list, times: list[int], sets: list[np.ndarray]) -> Index:
+    """MinHash index of one block of distinct items, each with the number of its rows."""
     size_class = [(len(s) - 1).bit_length() if len(s) else -1 for s in sets]
     partitions = []
     for c in sorted({c for c in size_class if c >= 0}):
@@ -83,7 +84,7 @@ def build_index(item_ids: list, sets: list[np.ndarray]) -> Index:
                 members[order].T.copy(),
             )
         )
-    return Index(item_ids, sets, partitions)
+    return Index(item_ids, times, sets, partitions)
 
 
 def _candidates(tokens: np.ndarray, part: Partition) -> set[int]:
@@ -126,19 +127,27 @@ def _item_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         sets = shingles(words(batch.column("text"), lower=True), SHINGLE)
         flat = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("item_id"), flat], names=["item_id", "shingles"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("item_id"), batch.column("times"), flat], names=["item_id", "times", "shingles"]
+        )
 
 
 def indexes(items: DataFrame) -> Iterator[Index]:
-    """One index for each block of ``items`` (``item_id``, ``text``), bounded in size."""
-    items = items.selectExpr("cast(item_id as bigint) as item_id", "cast(text as string) as text").where("text is not null")
+    """One index for each block of the distinct ``items`` (``item_id``, ``text``), bounded in size."""
+    items = (
+        items.selectExpr("cast(item_id as bigint) as item_id", "cast(text as string) as text")
+        .where("text is not null")
+        .groupBy("item_id", "text")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS)
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = own.mapInArrow(_item_sets, "item_id bigint, shingles array<bigint>").collect()
+        rows = own.mapInArrow(_item_sets, "item_id bigint, times bigint, shingles array<bigint>").collect()
         rows.sort(key=lambda r: (r.item_id is None, r.item_id or 0, r.shingles))
-        yield build_index([r.item_id for r in rows], [np.array(r.shingles, np.int64).view(np.uint64) for r in rows])
+        sets = [np.array(r.shingles, np.int64).view(np.uint64) for r in rows]
+        yield build_index([r.item_id for r in rows], [r.times for r in rows], sets)
 
 
 def _pairs(index) -> Callable:
@@ -151,8 +160,9 @@ def _pairs(index) -> Callable:
                 pa.array([index.value.item_ids[f[1]] for f in found], pa.int64()),
                 pa.array([len(index.value.sets[f[1]]) for f in found], pa.int64()),
                 pa.array([f[2] for f in found], pa.int64()),
+                pa.array([index.value.times[f[1]] for f in found], pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "n_item_shingles", "n_shared"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "n_item_shingles", "n_shared", "times"])
 
     return run
 
@@ -163,7 +173,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
     docs = bounded_batches(docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text"))
     out = None
     for index in indexes(items):
-        found = docs.mapInArrow(_pairs(spark.sparkContext.broadcast(index)), SCHEMA)
+        found = docs.mapInArrow(_pairs(spark.sparkContext.broadcast(index)), f"{SCHEMA}, times bigint")
+        # a repeated item's pairs, one row for each of its rows
+        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("times", "copy")
         out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], SCHEMA) if out is None else out
 

@@ -3,9 +3,9 @@
 A word is a maximal run of bytes other than space and ``\\x09-\\x0D``; as
 these separators are ASCII, working on the UTF-8 bytes gives the same words
 as working on characters.  A word's hash is a polynomial over its bytes with
-a random value per byte, an n-gram's hash a rolling sum over its words'
-hashes, both modulo 2^64 and finalised, so equal texts have equal hashes in
-every task.  Everything runs over flat arrays of a slice of rows whose size
+a random value per byte, an n-gram's hash a rolling polynomial over its words'
+hashes (the difference of two prefix sums, whatever its length), both modulo
+2^64 and finalised, so equal texts have equal hashes in every task.  Everything runs over flat arrays of a slice of rows whose size
 in bytes is bounded; a longer text is a slice of its own and is hashed in
 segments that end at a separator.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,17 @@ def mix(h: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
 _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
-_STEP = mix(np.arange(1, 65, dtype=_U) * _U(0xD1342543DE82EF95)) | _U(1)
+# Base of the n-gram polynomials and its inverse modulo 2^64.
+_GRAM = 0xD1342543DE82EF95
+_GRAM_INVERSE = pow(_GRAM, -1, 1 << 64)
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def _powers(n: int) -> np.ndarray:
-    p = np.full(n, _BASE, dtype=_U)
-    p[0] = 1
+def _powers(n: int, base: int = _BASE) -> np.ndarray:
+    p = np.full(n, base, dtype=_U)
+    p[:1] = 1
     return np.multiply.accumulate(p)
 
 
@@ -92,15 +95,25 @@ class Words:
     def row_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
+    @cached_property
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the hashes before each word, times the base to the word's index, and the inverse powers."""
+        n = len(self.hashes)
+        sums = np.zeros(n + 1, dtype=_U)
+        np.cumsum(self.hashes * _powers(n, _GRAM), out=sums[1:])
+        return sums, _powers(n, _GRAM_INVERSE)
+
+    def run(self, at: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """Hashes of the runs of ``n`` words from each word index in ``at``."""
+        sums, inverse = self._sums
+        return mix((sums[at + n] - sums[at]) * inverse[at] + np.asarray(n).astype(_U))
+
     def gram(self, n: int, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Positions (word indexes) and hashes of the n-grams inside one text each."""
         room = np.repeat(self.first[1:], self.counts)  # one past the last word of the text
         at = np.arange(len(self.hashes)) if at is None else at
         at = at[at + n <= room[at]] if len(at) else at
-        h = np.full(len(at), n, dtype=_U)
-        for j in range(n):
-            h += self.hashes[at + j] * _STEP[j]
-        return at, mix(h)
+        return at, self.run(at, n)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
@@ -148,13 +161,8 @@ def sequences(w: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     at, h = w.gram(n)
     short = np.flatnonzero((w.counts > 0) & (w.counts < n))
     if len(short):
-        whole = []
-        for r in short:
-            k = int(w.counts[r])
-            a = w.first[r]
-            whole.append((w.hashes[a : a + k] * _STEP[:k]).sum(dtype=_U) + _U(k))
         at = np.r_[at, w.first[short]]
-        h = np.r_[h, mix(np.array(whole, dtype=_U))]
+        h = np.r_[h, w.run(w.first[short], w.counts[short])]
         order = np.argsort(at, kind="stable")
         at, h = at[order], h[order]
     return h, np.searchsorted(at, w.first)

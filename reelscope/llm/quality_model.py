@@ -203,7 +203,7 @@ def _statistics_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in slices(batches, "text"):
         x = statistics(batch.column("text"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(x), pa.list_(pa.float64())), batch.column("label")], names=["x", "label"]
+            [pa.array(list(x), pa.list_(pa.float64())), batch.column("label"), batch.column("draw")], names=["x", "label", "draw"]
         )
 
 
@@ -219,8 +219,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     texts = bounded_batches(docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text"))
     rows = (
         texts.join(F.broadcast(chosen), "doc_id")  # at most sample_rows rows of two numbers
-        .mapInArrow(_statistics_rows, "x array<double>, label double")
-        .orderBy("x", "label")
+        .select("text", "label", F.xxhash64("doc_id", "text").alias("draw"))
+        .mapInArrow(_statistics_rows, "x array<double>, label double, draw bigint")
+        .orderBy("draw", "x", "label")
         .limit(sample_rows)  # repeated ids in docs do not lift the bound
         .collect()
     )

@@ -3,16 +3,18 @@
 Method: a finite-state machine over the roles validates the order of turns
 (``TRANSITIONS``); each turn emits text segments after its role's entry in a
 template, each with a flag that says whether it is trained on.  Built-in
-functions only: turns are gathered by conversation, segments and spans are
-array expressions.
+functions only: segments are made turn by turn and the loss spans are running
+sums of their lengths over a window of the conversation; only what a training
+example consists of is gathered into one row, once, in time in proportion to it.
 
 Escaping: the characters that control strings are made of (``<``, ``>``,
 ``[`` and the escape character ``\\``) are each followed by ``\\`` inside
 texts and role names.  No control string can then occur there, and dropping
 the character after each of them restores the text exactly.
 
-A conversation is one training example, so its turns meet in one row; their
-order is by turn, then role and text where a turn is repeated.
+A conversation is one training example, so its segments meet in one row, which
+Spark holds to 2 GB; their order is by turn, then role and text where a turn is
+repeated.
 
 Defined cases: a null text is empty, a null role is the empty role.  Roles
 without an entry of their own are formatted under ``OTHER`` with their name
@@ -27,7 +29,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -57,6 +59,9 @@ TRANSITIONS = {
     ("assistant", "user"): "user",
 }
 
+# Characters a block in which spans are looked up.
+BLOCK = 512
+
 _SPECIAL = r"([<>\[\\])"
 _BODY = r"(?:[^<>\[\\]++|[<>\[\\]\\)*+"
 
@@ -88,21 +93,19 @@ def _state(roles: Column) -> Column:
     return F.aggregate(roles, F.lit("start"), step)
 
 
-def _segments(turns: Column) -> Column:
-    def of(turn: Column) -> Column:
-        role = turn["role"]
-        (left, right), after = OTHER
-        opening = F.concat(F.lit(left), escape(role), F.lit(right))
-        before = _by_role(role, lambda p: F.lit(p.before), opening)
-        closing = _by_role(role, lambda p: F.lit(p.after), F.lit(after))
-        loss = _by_role(role, lambda p: F.lit(p.loss), F.lit(False))
-
-        def segment(text: Column, flag: Column) -> Column:
-            return F.struct(text.alias("text"), flag.alias("loss"))
+def _segments() -> Column:
+    """The three segments of the turn (``role``, ``text``)."""
+    role = F.col("role")
+    (left, right), after = OTHER
+    opening = F.concat(F.lit(left), escape(role), F.lit(right))
+    before = _by_role(role, lambda p: F.lit(p.before), opening)
+    closing = _by_role(role, lambda p: F.lit(p.after), F.lit(after))
+    loss = _by_role(role, lambda p: F.lit(p.loss), F.lit(False))
 
-        return F.array(segment(before, F.lit(False)), segment(escape(turn["text"]), loss), segment(closing, F.lit(False)))
+    def segment(text: Column, flag: Column) -> Column:
+        return F.struct(text.alias("text"), flag.alias("loss"))
 
-    return F.flatten(F.transform(turns, of))
+    return F.array(segment(before, F.lit(False)), segment(escape(F.col("text")), loss), segment(closing, F.lit(False)))
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
@@ -112,42 +115,49 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     laid end to end; ``loss_spans``: (start, length) in characters, from 0,
     of the parts of ``formatted`` that are trained on.
     """
-    turn = F.struct(
+    turns = conversations.select(
+        F.col("conv_id").cast("bigint").alias("conv_id"),
         F.col("turn").cast("bigint").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    turns = (
-        conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), turn.alias("turn"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = F.transform("segments", lambda s: F.length(s["text"]).cast("bigint"))
+    placed = (
+        turns.withColumn("segments", _segments())
+        .withColumn("sizes", sizes)
+        .withColumn("size", F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b))
+        .select(
+            "conv_id",
+            "role",
+            "segments",
+            "sizes",
+            F.row_number().over(order).alias("place"),
+            F.coalesce(F.sum("size").over(before), F.lit(0)).alias("at"),
+        )
+    )
+    span = F.when(
+        F.col("segments")[1]["loss"],
+        F.struct((F.col("at") + F.col("sizes")[0]).alias("start"), F.col("sizes")[1].alias("length")),
+    )
+    gathered = (
+        placed.select("conv_id", F.struct("place", "role", "segments", span.alias("span")).alias("turn"))
         .groupBy("conv_id")
         .agg(F.sort_array(F.collect_list("turn")).alias("turns"))
+        .select(
+            "conv_id",
+            _state(F.col("turns.role")).alias("state"),
+            F.flatten("turns.segments").alias("segments"),
+            F.filter("turns.span", lambda s: s.isNotNull()).alias("loss_spans"),
+        )
     )
-    state = _state(F.transform("turns", lambda t: t["role"]))
-    rows = turns.select(
-        "conv_id", (~state.isin("start", "invalid")).alias("valid"), _segments(F.col("turns")).alias("segments")
-    )
-    spans = F.aggregate(
-        "segments",
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + F.length(s["text"])).alias("at"),
-            F.when(
-                s["loss"],
-                F.array_append(
-                    acc["spans"],
-                    F.struct(acc["at"].alias("start"), F.length(s["text"]).cast("bigint").alias("length")),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-    )["spans"]
-    return rows.select(
+    return gathered.select(
         "conv_id",
-        "valid",
+        (~F.col("state").isin("start", "invalid")).alias("valid"),
         "segments",
-        F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-        spans.alias("loss_spans"),
+        F.array_join("segments.text", "").alias("formatted"),
+        "loss_spans",
     )
 
 
@@ -185,21 +195,31 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(F.regexp_extract_all(formatted, F.lit(_turn_pattern()), F.lit(0)), of)
 
 
-def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"].cast("int") + 1, s["length"].cast("int")))), ""
-    )
+def loss_text(blocks: Column, spans: Column) -> Column:
+    """All text under the loss mask, unescaped, nothing between.
+
+    ``blocks``: the formatted text in blocks of ``BLOCK`` characters, so that a span
+    is cut out of the blocks it lies in and not searched from the beginning.
+    """
+
+    def cut(s: Column) -> Column:
+        first, past = F.floor(s["start"] / BLOCK), F.ceil((s["start"] + s["length"]) / BLOCK)
+        inside = F.array_join(F.slice(blocks, first.cast("int") + 1, F.greatest(past - first, F.lit(0)).cast("int")), "")
+        return unescape(F.substring(inside, (s["start"] - first * BLOCK).cast("int") + 1, s["length"].cast("int")))
+
+    return F.array_join(F.transform(spans, cut), "")
 
 
 def digest_conversations(formatted: DataFrame) -> DataFrame:
     """What reading ``format_conversations``' output back gives, as counts and digests."""
     turns = read_turns(F.col("formatted"))
-    rows = formatted.select(
+    # a column of its own, as every span reads it
+    blocks = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks")
+    rows = formatted.select("*", blocks).select(
         "conv_id",
         "valid",
         turns.alias("turns"),
-        loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        F.when(F.size("blocks") > 0, loss_text(F.col("blocks"), F.col("loss_spans"))).otherwise("").alias("loss"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

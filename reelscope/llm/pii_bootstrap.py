@@ -15,6 +15,9 @@ where such identifiers stand and adds what it finds there:
    patterns; a pattern is accepted with ``MIN_SUPPORT`` instances of the kind
    and a confidence of ``MIN_CONFIDENCE``.  ``ROUNDS`` rounds, so contexts
    learnt in one find the seeds of the next.
+   A pattern's words are read from the ``CONTEXT`` characters on either side;
+   the part inside them stands for a word that reaches further, the same in
+   every text.
 3. Occurrences in accepted patterns whose text has the least shape of the
    kind (``SHAPES``) become spans beside the base ones.
 
@@ -210,23 +213,57 @@ def _masked(word: Column) -> Column:
     return F.translate(F.lower(word), "123456789", "000000000")
 
 
-def _apart(c: Column, others: Column) -> Column:
-    return ~F.exists(others, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
+def _blocks(spans: str) -> Column:
+    """Spans sorted by start, in blocks of about the square root of their number with the range of each.
+
+    A column of its own, as every candidate of the text is held against it.
+    """
+    count = F.size(spans)
+    width = F.ceil(F.sqrt(count)).cast("int")
+
+    def block(b: Column) -> Column:
+        inside = F.slice(spans, b * width + 1, width)
+        return F.struct(
+            F.get(inside, F.lit(0))["start"].alias("start"),
+            F.array_max(F.transform(inside, lambda s: s["end"])).alias("end"),
+            F.transform(inside, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("spans"),
+        )
+
+    none = F.array().cast("array<struct<start:int,end:int,spans:array<struct<start:int,end:int>>>>")
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(count / width).cast("int") - 1), block)
+    return F.when(count > 0, blocks).otherwise(none)
+
+
+def _apart(c: Column, blocks: Column) -> Column:
+    def meets(s: Column) -> Column:
+        return (s["start"] < c["end"]) & (c["start"] < s["end"])
+
+    return ~F.exists(blocks, lambda b: meets(b) & F.exists(b["spans"], meets))
+
+
+def _within(c: Column, blocks: Column) -> Column:
+    """Whether a span of ``blocks`` has the place of ``c``."""
+
+    def same(s: Column) -> Column:
+        return (s["start"] == c["start"]) & (s["end"] == c["end"])
+
+    return F.exists(blocks, lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"]) & F.exists(b["spans"], same))
 
 
 def _wide() -> Column:
-    """Runs and addresses apart from the base spans; a column of its own, as every word is held against it."""
+    """Runs and addresses apart from the base spans, by start."""
 
     def whole(s: Column) -> Column:
         rank = F.lit(-1).alias("rank")
         return F.struct(s["start"].alias("start"), rank, *(s[k].alias(k) for k in ("end", "value", "left", "right")))
 
-    return F.filter(F.transform(F.concat(_found("run"), _found("address")), whole), lambda c: _apart(c, F.col("spans")))
+    every = F.transform(F.concat(_found("run"), _found("address")), whole)
+    return F.array_sort(F.filter(every, lambda c: _apart(c, F.col("span_blocks"))))
 
 
 def _occurrences() -> Column:
     """Base spans and the other candidates, with the words around them."""
-    spans, wide = F.col("spans"), F.col("wide")
+    spans, wide, wide_blocks = F.col("spans"), F.col("wide"), F.col("wide_blocks")
 
     def core(s: Column) -> Column:
         lead = F.length(F.regexp_extract(s["value"], r"^[^\p{L}\p{N}+]++", 0))
@@ -242,18 +279,14 @@ def _occurrences() -> Column:
             s["right"].alias("right"),
         )
 
-    word = F.filter(F.transform(_found("word"), core), lambda c: (c["end"] > c["start"]) & _apart(c, spans))
+    word = F.filter(F.transform(_found("word"), core), lambda c: (c["end"] > c["start"]) & _apart(c, F.col("span_blocks")))
     any_shape = "|".join(SHAPES.values())
     # of the words in a wide candidate those of a shape, unless they are all of it
     free = F.concat(
         wide,
         F.filter(
             word,
-            lambda c: _apart(c, wide)
-            | (
-                c["value"].rlike(any_shape)
-                & ~F.exists(wide, lambda s: (s["start"] == c["start"]) & (s["end"] == c["end"]))
-            ),
+            lambda c: _apart(c, wide_blocks) | (c["value"].rlike(any_shape) & ~_within(c, wide_blocks)),
         ),
     )
 
@@ -341,7 +374,12 @@ def _text(docs: DataFrame) -> DataFrame:
 
 def _bases(docs: DataFrame, stage: Staging) -> DataFrame:
     """Each row's base spans and occurrences, without its text."""
-    rows = _with_spans(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), *_CANDIDATES).withColumn("wide", _wide())
+    rows = (
+        _with_spans(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), *_CANDIDATES)
+        .withColumn("span_blocks", _blocks("spans"))
+        .withColumn("wide", _wide())
+        .withColumn("wide_blocks", _blocks("wide"))
+    )
     return stage.write(
         rows.select("doc_id", "text_hash", _slim(F.col("spans")).alias("base"), _occurrences().alias("occurrences")), "base"
     )

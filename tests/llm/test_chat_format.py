@@ -89,3 +89,17 @@ def test_escape_is_reversible_and_hides_controls(spark, texts):
         assert r.back == r.text
         for part in TEMPLATE.values():
             assert part.before.strip() not in r.safe and part.after.strip() not in r.safe
+
+
+def test_a_long_conversation(spark):
+    n = 30_000
+    turns = [(("user", "assistant")[i % 2], f"é\U0001f600 [{i}] <b> " * (i % 9)) for i in range(n)]
+    rows = [(1, i, r, x, None) for i, (r, x) in enumerate(turns)] + [(2, 0, "user", "a", None), (2, 1, "assistant", "", None)]
+    out = format_conversations(table(spark, rows[::-1], SCHEMA))
+    got = {r.conv_id: r for r in digest_conversations(out).collect()}
+    loss = "".join(x for r, x in turns if r == "assistant")
+    assert (got[1].n_turns, got[1].valid) == (n, True)
+    assert got[1].turns_sha256 == sha("".join(f"{r}\n{x}\n" for r, x in turns))
+    assert (got[1].loss_chars, got[1].loss_sha256) == (len(loss), sha(loss))
+    assert got[1].formatted_chars == len(formatted_by_hand(turns))
+    assert (got[2].loss_chars, got[2].loss_sha256) == (0, sha(""))

@@ -79,3 +79,12 @@ def test_minhash_estimates_the_overlap():
     a = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     same = [(decontaminate._minhash(a[k : k + 100]) == decontaminate._minhash(a[k + 50 : k + 150])).mean() for k in range(0, 800, 100)]
     assert abs(np.mean(same) - 1 / 3) < 0.1
+
+
+def test_a_repeated_item_is_indexed_once(spark):
+    text = " ".join(f"q{i}" for i in range(30))
+    items = table(spark, [(7, text)], ITEMS).selectExpr("item_id", "text", "explode(sequence(1, 5000)) as row").drop("row")
+    (index,) = decontaminate.indexes(items)
+    assert (len(index.sets), index.times) == (1, [5000])
+    got = contaminated_pairs(table(spark, [(1, f"a {text} b"), (2, "c")]), items)
+    assert got.groupBy("doc_id", "item_id", "n_item_shingles", "n_shared").count().collect() == [(1, 7, 26, 26, 5000)]

@@ -158,3 +158,34 @@ def test_one_of_each_group(spark):
     got = sorted((r.doc_id for r in kept.collect()), key=repr)
     assert got == sorted([1, 2, 3, 4, 6, 7, 8, 10, 11, None, None], key=repr)
     assert one_of_each_group(edge_docs(spark, empty=True)).collect() == []
+
+
+def test_a_template_family_never_meets(spark, monkeypatch):
+    """Texts that share 80 shingles and hold 20 of their own do not link, and no pair of them is formed."""
+    written = {}
+    write = ngram_join.Staging.write
+
+    def noted(self, df, name):
+        written[name] = write(self, df, name)
+        return written[name]
+
+    monkeypatch.setattr(ngram_join.Staging, "write", noted)
+    template = " ".join(f"t{i}" for i in range(84))
+    rows = [(i, template + " " + " ".join(f"u{i}_{k}" for k in range(20))) for i in range(600)]
+    rows += [(1000, rows[0][1]), (1001, rows[1][1] + " tail")]
+    got = result(similar_components(table(spark, rows)))
+    assert {i: c for i, _, c in got} == {**{i: i for i, _ in rows}, 1000: 0, 1001: 1}
+    assert written["pairs"].count() < len(rows)
+
+
+@pytest.mark.parametrize("seed", [41])
+def test_sizes_at_the_limit_of_the_bands(spark, seed):
+    """Sets of which one holds the other, with sizes up to and beyond 1 / 0.8 of each other."""
+    rng = random.Random(seed)
+    rows = []
+    for group in range(12):
+        base = [f"g{group}w{i}" for i in range(rng.choice([8, 20, 44, 104, 130]))]
+        shingles = len(base) - 4
+        for k, more in enumerate({0, shingles // 4 - 1, shingles // 4, shingles // 4 + 1}):
+            rows.append((group * 10 + k, " ".join(base + [f"m{group}_{k}_{i}" for i in range(max(more, 0))])))
+    assert result(similar_components(table(spark, rows))) == brute(rows)

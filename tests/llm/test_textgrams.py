@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
@@ -48,3 +50,21 @@ def test_segments_and_slices_do_not_change_hashes(monkeypatch):
     parts = list(textgrams.slices(iter([batch]), "text", limit=10))
     assert [p.num_rows for p in parts] == [1, 1, 1]
     assert (np.concatenate([textgrams.words(p.column("text")).hashes for p in parts]) == whole).all()
+
+
+def test_rolling_hashes_are_equal_only_for_equal_runs():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randrange(60))) for _ in range(300)]
+    apart = {t: textgrams.words(pa.array([t])) for t in texts}
+    w = textgrams.words(pa.array(texts))
+    for n in (1, 2, 5, 10):
+        seen = {}
+        places, hashes = w.gram(n)
+        row = w.row_of_word()
+        for p, h in zip(places, hashes):
+            own = texts[row[p]].split()[p - w.first[row[p]] :][:n]
+            assert len(own) == n
+            assert seen.setdefault(int(h), own) == own
+        assert len(seen) == len({tuple(v) for v in seen.values()})
+        assert list(hashes) == [h for t in texts for h in apart[t].gram(n)[1]]  # wherever a text lies in a slice
+    assert list(textgrams.sequences(w)[0]) == [h for t in texts for h in textgrams.sequences(apart[t])[0]]

@@ -27,8 +27,9 @@ Texts are encoded once: each row's word ids, and the hashes of its words of
 shared ids, are written as bytes under a row number of its own, and training
 and scoring read that table.  Scoring is one pass over it with the network
 broadcast (some 1.1 MB and 260 bytes an id beyond ``FREQUENT``).  The counts of
-all words stay in a written table; what the words of shared ids add is joined
-from it, by word, and summed by row.
+all words stay in a written table.  What the words of shared ids add is summed
+by row: from the vocabulary for the ``KNOWN`` most frequent words (1 MB), and
+for all others joined from that table, by word.
 
 Defined cases: a null, empty or blank text has no words, a sum of 0 and a
 null mean; an empty table gives no rows; repeated rows count as often as they
@@ -40,7 +41,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,10 @@ EPOCHS = 2
 STRIDE = EPOCHS
 BATCH = 4096
 FIRST_BATCH = 512  # batches grow to BATCH with the words a task has seen
+SCORED = 8192  # words scored together
+NEAR = 1024  # of them, or of a batch, taken through the softmax over blocks together, near the processor
 RATE = 0.2
+KNOWN = 65536  # most frequent words whose counts travel with the vocabulary, so their rows need no join
 COUNT_BYTES = 8 << 20  # text counted together before its counts travel
 _PIECE = 8192  # parameters in one row of the averaging
 FAN = 1024  # groups of tasks averaged first, so the second average has at most so many inputs
@@ -125,6 +129,15 @@ class Vocabulary:
     frequent: np.ndarray
     ids: np.ndarray
     own: int = FREQUENT
+    known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # sorted hashes of words of shared ids
+    logs: np.ndarray = field(default_factory=lambda: np.zeros(0))  # and the logarithms of their counts
+
+    def logs_of(self, hashes: np.ndarray) -> np.ndarray:
+        """Logarithms of the counts of words of shared ids, NaN of those that are not known."""
+        if not len(self.known):
+            return np.full(len(hashes), np.nan)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, self.logs[at], np.nan)
 
     def ids_of(self, hashes: np.ndarray) -> np.ndarray:
         return word_ids(hashes, self.frequent, self.ids, self.own)
@@ -140,6 +153,7 @@ class Network:
     def __init__(self, flat: np.ndarray, size: int):
         self.flat, self.size, self.blocks = flat, size, size // BLOCK
         self.squares: dict[str, np.ndarray] = {}  # sums of squared gradients, by row
+        self.held: dict[str, np.ndarray] = {}  # memory that every batch uses anew
         shapes = {
             "embed": (size + 2, WIDTH),
             "position": (2 * WINDOW, WIDTH),
@@ -170,48 +184,74 @@ class Network:
         net.word_bias[:] = np.log(share / np.repeat(blocks, BLOCK))
         return net
 
+    def _space(self, name: str, *shape: int, kind: type | np.dtype | None = None) -> np.ndarray:
+        """An array of this shape, not cleared, in memory kept under ``name``."""
+        n, kind = math.prod(shape), np.dtype(kind or self.flat.dtype)
+        kept = self.held.get(name)
+        if kept is None or len(kept) < n:
+            kept = self.held[name] = np.empty(n, dtype=kind)
+        return kept[:n].reshape(shape)
+
     @staticmethod
     def _tame(z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
-        if np.abs(weights).sum(1).max() + np.abs(bias).max() > 60:  # |h| is below 1, so exp cannot overflow otherwise
+        # |h| is below 1, so its product with a row is below the row's length times the root of WIDTH
+        longest = math.sqrt(WIDTH * np.einsum("ij,ij->i", weights, weights).max())
+        if not longest + np.abs(bias).max() <= 60:  # exp cannot overflow otherwise
             z -= z.max(axis=1, keepdims=True)
 
     def _softmax(self, z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
         self._tame(z, weights, bias)
         np.exp(z, out=z)
-        z *= (1 / z.sum(axis=1))[:, None]
+        z *= (1 / _row_sums(z))[:, None]
 
-    def _log_share(self, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, column: np.ndarray) -> np.ndarray:
-        """Logarithm of the softmax at one column of each row."""
-        z = h @ weights.T
-        z += bias
+    def _log_share(self, z: np.ndarray, weights: np.ndarray, bias: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Logarithm of the softmax of ``z`` at one column of each row."""
         self._tame(z, weights, bias)
         own = z[np.arange(len(z)), column]
         np.exp(z, out=z)
-        return own - np.log(z.sum(axis=1))
+        return own - np.log(_row_sums(z))
+
+    def _block_spans(self, block: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+        """The blocks in sorted ``block``; for each its place among them, its targets and its ids."""
+        bounds = np.searchsorted(block, np.arange(self.blocks + 1))
+        used = np.flatnonzero(np.diff(bounds))
+        return used, [(i, slice(bounds[b], bounds[b + 1]), slice(b * BLOCK, (b + 1) * BLOCK)) for i, b in enumerate(used.tolist())]
+
+    def _by_blocks(self, h: np.ndarray) -> np.ndarray:
+        z = np.matmul(h, self.block.T, out=self._space("z", len(h), self.blocks))
+        z += self.block_bias
+        return z
+
+    def _within_blocks(self, h: np.ndarray, block: np.ndarray, spans: list[tuple]) -> np.ndarray:
+        z = self._space("z", len(h), BLOCK)
+        for _, at, of in spans:
+            np.dot(h[at], self.word[of].T, out=z[at])
+        z += self.word_bias.reshape(-1, BLOCK)[block]
+        return z
 
     def log_probabilities(self, text: Encoded) -> np.ndarray:
         """log p(word | words on both sides) of each word."""
         ids = text.ids
         out = np.empty(len(ids))
         at_place = [self.embed * p for p in self.position]
-        for at in range(0, len(ids), 32768):
-            part = slice(at, at + 32768)
-            context = text.context(part)
-            h = at_place[0][context[:, 0]]
-            for k in range(1, 2 * WINDOW):
-                h += at_place[k][context[:, k]]
-            np.tanh(h, out=h)
+        for at in range(0, len(ids), SCORED):
+            part = slice(at, at + SCORED)
             own = ids[part]
             block = own // BLOCK
-            p = self._log_share(h, self.block, self.block_bias, block).astype(float)
-            order = np.argsort(block, kind="stable")
-            h, place = h[order], (own % BLOCK)[order]
-            bounds = np.searchsorted(block[order], np.arange(self.blocks + 1))
-            for b in np.flatnonzero(np.diff(bounds)):
-                rows = slice(bounds[b], bounds[b + 1])
-                of = slice(b * BLOCK, (b + 1) * BLOCK)
-                p[order[rows]] += self._log_share(h[rows], self.word[of], self.word_bias[of], place[rows])
-            out[part] = p
+            order = np.argsort(_narrow(block, self.blocks), kind="stable")  # a block's words side by side
+            block, place = block[order], (own % BLOCK)[order]
+            context = np.ascontiguousarray(text.context(at + order).T)
+            h = at_place[0].take(context[0], axis=0, out=self._space("h", len(own), WIDTH), mode="clip")
+            for k in range(1, 2 * WINDOW):
+                h += at_place[k].take(context[k], axis=0, out=self._space("near", len(own), WIDTH), mode="clip")
+            np.tanh(h, out=h)
+            p = np.empty(len(own))
+            for a in range(0, len(own), NEAR):
+                some = slice(a, a + NEAR)
+                p[some] = self._log_share(self._by_blocks(h[some]), self.block, self.block_bias, block[some])
+            z = self._within_blocks(h, block, self._block_spans(block)[1])
+            p += self._log_share(z, self.word, self.word_bias, place)
+            out[at + order] = p
         return out
 
     def gradients(self, context: np.ndarray, target: np.ndarray) -> list[tuple]:
@@ -220,51 +260,65 @@ class Network:
         block = target // BLOCK
         order = np.argsort(_narrow(block, self.blocks), kind="stable")  # a block's targets side by side
         target, block, context = target[order], block[order], np.ascontiguousarray(context[order].T)
-        rows, ones = np.arange(len(target)), np.ones(len(target), dtype=kind)
-        near = [self.embed.take(ids, axis=0) for ids in context]
-        h = near[0] * self.position[0]
-        for k in range(1, 2 * WINDOW):
-            h += near[k] * self.position[k]
+        n = len(target)
+        rows, ones = np.arange(n), np.ones(n, dtype=kind)
+        near = self._space("near", 2 * WINDOW, n, WIDTH)
+        h, part = self._space("h", n, WIDTH), self._space("part", n, WIDTH)
+        for k in range(2 * WINDOW):
+            self.embed.take(context[k], axis=0, out=near[k], mode="clip")  # all ids are in range
+            np.multiply(near[k], self.position[k], out=part if k else h)
+            if k:
+                h += part
         np.tanh(h, out=h)
 
-        error = h @ self.block.T
-        error += self.block_bias
-        self._softmax(error, self.block, self.block_bias)
-        error[rows, block] -= 1
-        back = error @ self.block
-        by_block = ("block", slice(None), error.T @ h, ones @ error)
-
-        bounds = np.searchsorted(block, np.arange(self.blocks + 1))
-        used = np.flatnonzero(np.diff(bounds))
-        spans = [(i, slice(bounds[b], bounds[b + 1]), slice(b * BLOCK, (b + 1) * BLOCK)) for i, b in enumerate(used)]
-        error = np.empty((len(target), BLOCK), dtype=kind)
-        for _, at, of in spans:
-            np.dot(h[at], self.word[of].T, out=error[at])
-            error[at] += self.word_bias[of]
+        back = self._space("back", n, WIDTH)
+        of_block, of_bias = np.zeros_like(self.block), np.zeros_like(self.block_bias)
+        for at in range(0, n, NEAR):
+            some = slice(at, at + NEAR)
+            error = self._by_blocks(h[some])
+            self._softmax(error, self.block, self.block_bias)
+            error[rows[: len(error)], block[some]] -= 1
+            np.matmul(error, self.block, out=back[some])
+            of_block += error.T @ h[some]
+            of_bias += ones[some] @ error
+        by_block = ("block", slice(None), of_block, of_bias)
+
+        used, spans = self._block_spans(block)
+        error = self._within_blocks(h, block, spans)
         self._softmax(error, self.word, self.word_bias)
         error[rows, target % BLOCK] -= 1
-        by_word = np.empty((len(used), BLOCK, WIDTH), dtype=kind)
+        by_word = self._space("by_word", len(used), BLOCK, WIDTH)
         by_bias = np.empty((len(used), BLOCK), dtype=kind)
         for i, at, of in spans:
             own = error[at]
-            back[at] += own @ self.word[of]
+            back[at] += np.dot(own, self.word[of], out=part[at])
             np.dot(own.T, h[at], out=by_word[i])
             np.dot(ones[at], own, out=by_bias[i])
-        ids = (used[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        ids = slice(None) if len(used) == self.blocks else (used[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         by_word = ("word", ids, by_word.reshape(-1, WIDTH), by_bias.ravel())
 
         h *= h
-        back *= 1 - h
-        by_position = np.array([(near[k] * back).sum(0) for k in range(2 * WINDOW)])
-        change = np.empty((2 * WINDOW, len(target), WIDTH), dtype=kind)
-        for k in range(2 * WINDOW):
-            np.multiply(back, self.position[k], out=change[k])
-        ids = context.ravel()
-        order = np.argsort(_narrow(ids, self.size + 2), kind="stable")
-        ids = ids[order]
-        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        by_embed = np.add.reduceat(change.reshape(-1, WIDTH).take(order, axis=0), starts)
-        return [by_block, by_word, ("position", slice(None), by_position, None), ("embed", ids[starts], by_embed, None)]
+        np.subtract(1, h, out=h)
+        back *= h
+        by_position = np.array([np.einsum("ij,ij->j", near[k], back) for k in range(2 * WINDOW)])
+        ids, by_embed = self._sums_by_id(context, back)
+        return [by_block, by_word, ("position", slice(None), by_position, None), ("embed", ids, by_embed, None)]
+
+    def _sums_by_id(self, context: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids in ``context`` (a line for each place), and what ``back`` adds to the embedding of each."""
+        held = np.zeros(self.size + 2, dtype=bool)
+        held[context] = True
+        ids = np.flatnonzero(held)
+        slot = (np.cumsum(held) - 1)[context].ravel()
+        sums = np.empty((WIDTH, len(ids)), dtype=back.dtype)
+        columns = self._space("columns", *back.T.shape, kind=float)
+        columns[:] = back.T
+        position = self.position.astype(float)
+        change = np.empty(context.shape)
+        for d in range(WIDTH):  # a count by slot with weights is several times faster than sums of sorted rows
+            np.multiply(position[:, d, None], columns[d], out=change)
+            sums[d] = np.bincount(slot, weights=change.ravel(), minlength=len(ids))
+        return ids, np.ascontiguousarray(sums.T)
 
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
         """One step of Adagrad on a batch, with a step size for each row of parameters."""
@@ -283,6 +337,10 @@ class Network:
                 getattr(self, name + "_bias")[rows] -= biases * rate
 
 
+def _row_sums(z: np.ndarray) -> np.ndarray:
+    return z @ np.ones(z.shape[1], dtype=z.dtype)
+
+
 def _narrow(ids: np.ndarray, below: int) -> np.ndarray:
     """``ids`` in 16 bits where they fit, which sort by radix."""
     return ids.astype(np.uint16) if below <= 1 << 16 else ids
@@ -324,7 +382,8 @@ def dealt(counts: list[int], blocks: int) -> np.ndarray:
 def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """The vocabulary and the count of each id, from the counts of all words."""
     own = own_ids(counts.count())
-    top = counts.orderBy(F.desc("n"), "word").limit(own).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(max(own, KNOWN)).collect()
+    top, known = top[:own], sorted(top[own:], key=lambda r: r.word & (2**64 - 1))
     slot = dict(zip((r.word for r in top), dealt([r.n for r in top], own // BLOCK).tolist()))
     frequent = np.array(sorted(slot, key=lambda w: w & (2**64 - 1)), dtype=np.int64)
     ids = np.array([slot[w] for w in frequent.tolist()], dtype=np.int64)
@@ -337,7 +396,8 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     for r in top:
         total[slot[r.word]] = r.n
         total[own + (r.word & (SHARED - 1))] -= r.n
-    return Vocabulary(frequent.view(np.uint64), ids, own), total
+    hashes, logs = np.array([r.word for r in known], dtype=np.int64), np.log([float(r.n) for r in known])
+    return Vocabulary(frequent.view(np.uint64), ids, own, hashes.view(np.uint64), logs), total
 
 
 def corpus_vocabulary(docs: DataFrame, stage: Staging) -> tuple[Vocabulary, np.ndarray]:
@@ -369,23 +429,28 @@ def _encoding(shared) -> Callable:
         for batch in slices(batches, "text"):
             w = words(batch.column("text"))
             ids = vocabulary.ids_of(w.hashes).astype(np.int32)
-            alike = ids >= vocabulary.own
-            first = np.r_[0, np.cumsum(alike)][w.first]
+            alike = np.flatnonzero(ids >= vocabulary.own)
+            logs = vocabulary.logs_of(w.hashes[alike])
+            row = w.row_of_word()[alike]
+            rare = np.isnan(logs)
+            first = np.searchsorted(alike[rare], w.first)
+            sums = np.bincount(row[~rare], weights=logs[~rare], minlength=batch.num_rows).astype(float)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), _bytes(ids, w.first), _bytes(w.hashes[alike], first)],
-                names=["doc_id", "ids", "shared"],
+                [batch.column("doc_id"), _bytes(ids, w.first), _bytes(w.hashes[alike[rare]], first), pa.array(sums, pa.float64())],
+                names=["doc_id", "ids", "shared", "known"],
             )
 
     return run
 
 
 def encoded_documents(docs: DataFrame, vocabulary: Vocabulary, stage: Staging) -> DataFrame:
-    """``row, doc_id, ids, shared`` of each row of ``docs`` (``doc_id``, ``text``): the ids of its
-    words (32 bits each) and the hashes of those that share one (64 bits each)."""
+    """``row, doc_id, ids, shared, known`` of each row of ``docs`` (``doc_id``, ``text``): the ids of its
+    words (32 bits each), the hashes of those that share one (64 bits each), except those whose counts
+    the vocabulary knows, and the sum of the logarithms of these counts."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
-    found = rows.mapInArrow(_encoding(shared), "doc_id bigint, ids binary, shared binary")
-    return stage.write(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "ids", "shared"), "encoded")
+    found = rows.mapInArrow(_encoding(shared), "doc_id bigint, ids binary, shared binary, known double")
+    return stage.write(found.select(F.monotonically_increasing_id().alias("row"), *found.columns), "encoded")
 
 
 def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,9 +472,10 @@ def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_words(encoded: DataFrame, counts: DataFrame, stage: Staging) -> DataFrame:
-    """``row, log_counts`` of ``encoded``: the sum of the logarithms of the counts of a row's words of shared ids."""
+    """``row, log_counts`` of ``encoded``: the sum of the logarithms of the counts of a row's ``shared``
+    words; those that occur once have none to add."""
     found = encoded.select("row", "shared").mapInArrow(_sharing, "row bigint, word bigint, times int")
-    joined = found.join(counts.hint("merge"), "word")
+    joined = found.join(counts.where("n > 1").hint("merge"), "word")
     return stage.write(joined.groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("log_counts")), "shared")
 
 
@@ -507,7 +573,7 @@ def _scored(shared) -> Callable:
         for batch in slices(batches, "ids"):
             text = _texts(batch, own)
             total = np.r_[0.0, np.cumsum(net.log_probabilities(text) - less[text.ids])]
-            score = total[text.first[1:]] - total[text.first[:-1]]
+            score = total[text.first[1:]] - total[text.first[:-1]] + batch.column("known").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), pa.array(np.diff(text.first), pa.int64()), pa.array(score)],
                 names=["row", "doc_id", "n_words", "score"],
@@ -531,7 +597,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     sums = shared_words(encoded, words_of, stage)
     stage.drop("words")
     network = spark.sparkContext.broadcast((vocabulary.own, net.flat, counts))
-    scored = encoded.select("row", "doc_id", "ids").mapInArrow(_scored(network), _SCORED)
+    scored = encoded.select("row", "doc_id", "ids", "known").mapInArrow(_scored(network), _SCORED)
     score = F.when(F.col("n_words") > 0, F.col("score") + F.coalesce("log_counts", F.lit(0.0))).otherwise(0.0)
     return scored.join(sums, "row", "left").select(
         "doc_id",

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from reelscope.llm import masked_lm as lm
 from reelscope.llm.staging import Staging
@@ -187,6 +188,52 @@ def test_words_of_a_shared_id_have_their_own_probabilities(spark, monkeypatch):
         assert abs(net.log_probabilities(text).sum() + sum(share) - got[i].log_likelihood) < 1e-2
 
 
+@pytest.mark.parametrize("known", [0, 40, 10_000])
+def test_scores_do_not_depend_on_the_counts_that_travel(spark, monkeypatch, known):
+    monkeypatch.setattr(lm, "own_ids", lambda distinct: lm.BLOCK)
+    monkeypatch.setattr(lm, "KNOWN", lm.BLOCK + known)
+    texts = ["a b c", None, "once", "", *(" ".join(f"x{(i * k) % 300}" for k in range(50)) for i in range(1, 60))]
+    docs = table(spark, list(enumerate(texts)))
+    counts = Counter(w for t in texts for w in words(t))
+    vocabulary, of_id = lm.corpus_vocabulary(docs, Staging(spark, "test"))
+    assert len(vocabulary.known) == min(known, len(counts) - lm.BLOCK) and (np.diff(vocabulary.known.astype(float)) > 0).all()
+    net = lm.train_network(docs, vocabulary, of_id)
+    got = {r.doc_id: r for r in lm.score_documents(docs).collect()}
+    held = {r.doc_id: len(r.shared) // 8 for r in lm.encoded_documents(docs, vocabulary, Staging(spark, "test")).collect()}
+    known_words = set(vocabulary.known.tolist())
+    for i, t in enumerate(texts):
+        w = lm.words(pa.array([t], pa.string()))
+        text = vocabulary.encode(pa.array([t], pa.string()))
+        assert held[i] == sum(k >= lm.BLOCK and h not in known_words for k, h in zip(text.ids.tolist(), w.hashes.tolist()))
+        share = [np.log(counts[x] / of_id[k]) for x, k in zip(words(t), text.ids.tolist())]
+        assert abs(net.log_probabilities(text).sum() + sum(share) - got[i].log_likelihood) < 1e-2
+
+
+def test_embedding_gradients_sum_every_place_of_an_id():
+    rng = np.random.default_rng(4)
+    net = lm.Network(rng.normal(0, 0.3, lm.Network.length(2 * lm.BLOCK)).astype(np.float32), 2 * lm.BLOCK)
+    context, back = rng.integers(0, 9, (4, 200)), rng.normal(size=(200, lm.WIDTH)).astype(np.float32)
+    ids, sums = net._sums_by_id(context, back)
+    want = np.zeros((9, lm.WIDTH))
+    for k in range(4):
+        np.add.at(want, context[k], back * net.position[k].astype(float))
+    assert ids.tolist() == sorted(set(context.ravel().tolist())) and abs(sums - want[ids]).max() < 1e-4
+
+
+def test_steps_of_other_sizes_share_no_memory():
+    rng = np.random.default_rng(5)
+    start = lm.Network.start(np.ones(lm.SIZE)).flat
+    batches = [(rng.integers(0, 90, (n, 4)), rng.integers(0, 90, n)) for n in (300, 40, 500, 1)]
+    net = lm.Network(start.copy(), lm.SIZE)
+    for context, target in batches:
+        net.train(context, target)
+    fresh = lm.Network(start.copy(), lm.SIZE)
+    for context, target in batches:
+        fresh.held.clear()
+        fresh.train(context, target)
+    assert (net.flat == fresh.flat).all()
+
+
 def test_own_ids_grow_with_the_distinct_words(spark):
     rows = [(i, " ".join(f"y{i * 100 + k}" for k in range(100))) for i in range(60)]
     vocabulary, counts = lm.corpus_vocabulary(table(spark, rows), Staging(spark, "test"))

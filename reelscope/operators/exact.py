@@ -64,7 +64,11 @@ def exact_parts(rows: DataFrame, keys: list[str], value: str, weight: str | None
     The row with a null ``limb`` counts the rows of a key.  ``weight`` names a
     column of 1 (row added) or -1 (row withdrawn)."""
     w = F.lit(1) if weight is None else F.col(weight)
-    cut = _with_parts(rows.select(*keys, w.cast("bigint").alias("_w"), F.col(value).cast("double").alias("_x")))
+    # A key's rows are brought together first: combined where they happen to lie, nearly every row would be
+    # a key of its own, several entries each, in the task's memory.  With the weight beside the keys the sums
+    # still need a shuffle of their own, so adaptive execution may split a hot key over several tasks here.
+    near = rows.select(*keys, w.cast("bigint").alias("_w"), F.col(value).cast("double").alias("_x"))
+    cut = _with_parts(near.hint("rebalance", *keys, "_w"))
     # outer, as a plain generator brings a filter on the whole array below the steps
     entries = cut.select(*keys, "_w", F.inline_outer("_parts")).where("count = 1 or part <> 0")
     return entries.groupBy(*keys, "limb").agg(

@@ -82,3 +82,20 @@ def test_rating_stats_on_fractions(spark):
     again = {r.movie_id: (r.total, r.n, r.avg_rating) for r in exact_rating_stats(df.repartition(13, "rating")).collect()}
     assert once == again
     assert {m: (bits(t), n) for m, (t, n, _) in once.items()} == sums(rows)
+
+
+def test_rows_of_a_key_meet_before_they_are_combined(spark):
+    # 40 rows of each key, dealt so that a task holds one of each: combined there, nothing would get fewer
+    df = spark.range(0, 40 * 500, 1, 40).selectExpr("id % 500 as k", "cast(1 + id % 5 as double) as x", "1 as w")
+    for weight in (None, "w"):
+        state = exact_parts(df, ["k"], "x", weight)
+        rows = state.collect()
+        assert sorted((r.k, r.limb) for r in rows if r.limb is None) == [(k, None) for k in range(500)]
+        sent, node = [], state._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+        while node.children().size():  # the plan is one line from the result to the scan
+            node = node.children().head()
+            if "QueryStage" in node.nodeName():
+                node = node.plan()
+            if node.nodeName() == "Exchange":
+                sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+        assert sent[-1] == 40 * 500 and all(n <= 8 * 2 * 500 for n in sent[:-1]) and len(sent) == 2, sent

@@ -285,7 +285,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, blooms, stage: Staging, label:
     )
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     linked = both(survivors, "tokens").where(100 * shared >= PERCENT * (F.col("na") + F.col("nb") - shared))
-    return stage.write(linked.select("a", "b").distinct(), f"{label}-links")
+    links = stage.write(linked.select("a", "b").distinct(), f"{label}-links")
+    stage.drop(f"{label}-sets")
+    return links
 
 
 def _larger(x: str, y: str) -> str:
@@ -307,6 +309,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
         .where("doc_id <> rep").select("doc_id", "n", "s1", "rep").distinct(),
         "copies",
     )
+    stage.drop("first")
 
     # tokens that several documents hold
     known = docs.where("doc_id is not null")
@@ -326,7 +329,10 @@ def similar_components(docs: DataFrame) -> DataFrame:
         .where("count > 1")
     )
     counts = stage.write(counts.unionByName(among), "every-count")
+    stage.drop("counts")
+    stage.drop("rich")
     blooms = spark.sparkContext.broadcast(_blooms(counts))
+    stage.drop("every-count")
     sets = stage.write(sets.select("doc_id", "n"), "sizes")
     stage.drop("hashed")
 
@@ -348,6 +354,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
     listed.unpersist()
     stage.drop("prefixes")
+    stage.drop("shared")
 
     # first round: each list's documents against the one with the fewest tokens of its own
     lists = stage.write(
@@ -369,6 +376,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
         .drop("common")
     )
     links = _verified(stage.write(near, "near"), known, blooms, stage, "near")
+    stage.drop("near")
     component = connected_components(links, stage, "near")
 
     # completion: pairs across components
@@ -378,6 +386,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
         .select("token", "id", "n", "pos", F.coalesce("component", "id").alias("component")),
         "placed",
     )
+    stage.drop("alive")
+    stage.drop("lists")
     parts = placed.groupBy("token", "component").count()
     open_lists = stage.write(
         parts.groupBy("token")
@@ -387,6 +397,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
         "open",
     )
     across = stage.write(placed.join(open_lists, "token"), "across")
+    stage.drop("placed")
+    stage.drop("open")
     # Of a linked pair the smaller set has a shared token among its first tokens that leave
     # 2t / (1 + t) of it, and sizes lie within 1 / t: both bounds come before the match.
     band = F.floor(F.log("n") / F.log(F.lit(SIZE_BAND))).cast("int")
@@ -412,7 +424,10 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
     # a list's largest component never meets itself
     pairs = met(smaller.where("not xmost"), larger).union(met(smaller.where("xmost"), larger.where("not ymost"))).distinct()
-    rest = _verified(stage.write(pairs, "pairs"), known, blooms, stage, "rest")
+    pairs = stage.write(pairs, "pairs")
+    stage.drop("across")
+    rest = _verified(pairs, known, blooms, stage, "rest")
+    stage.drop("pairs")
     blooms.unpersist()
 
     every = links.union(rest).union(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))

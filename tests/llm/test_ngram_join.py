@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import pytest
@@ -189,3 +190,19 @@ def test_sizes_at_the_limit_of_the_bands(spark, seed):
         for k, more in enumerate({0, shingles // 4 - 1, shingles // 4, shingles // 4 + 1}):
             rows.append((group * 10 + k, " ".join(base + [f"m{group}_{k}_{i}" for i in range(max(more, 0))])))
     assert result(similar_components(table(spark, rows))) == brute(rows)
+
+
+def test_tables_no_later_step_reads_are_dropped(spark, monkeypatch):
+    stages = []
+
+    class Noted(ngram_join.Staging):
+        def __init__(self, *args):
+            super().__init__(*args)
+            stages.append(self)
+
+    monkeypatch.setattr(ngram_join, "Staging", Noted)
+    rows = corpus(1)
+    assert result(similar_components(table(spark, rows))) == brute(rows)
+    left = {p.name for p in pathlib.Path(stages[0].base.removeprefix("file:")).iterdir()}
+    read = {"copies", "sizes", "near-links", "rest-links"}
+    assert read <= left and not {n for n in left - read if not n.startswith(("near-", "all-"))} and "near-sets" not in left

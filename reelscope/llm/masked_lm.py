@@ -29,7 +29,7 @@ and scoring read that table.  Scoring is one pass over it with the network
 broadcast (some 1.1 MB and 260 bytes an id beyond ``FREQUENT``).  The counts of
 all words stay in a written table.  What the words of shared ids add is summed
 by row: from the vocabulary for the ``KNOWN`` most frequent words (1 MB), and
-for all others joined from that table, by word.
+for all others from that table, joined by word in buckets of their hashes.
 
 Defined cases: a null, empty or blank text has no words, a sum of 0 and a
 null mean; an empty table gives no rows; repeated rows count as often as they
@@ -42,6 +42,7 @@ import heapq
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +62,13 @@ EPOCHS = 2
 STRIDE = EPOCHS
 BATCH = 4096
 FIRST_BATCH = 512  # batches grow to BATCH with the words a task has seen
-SCORED = 8192  # words scored together
+SCORED = 32768  # words scored together
 NEAR = 1024  # of them, or of a batch, taken through the softmax over blocks together, near the processor
 RATE = 0.2
 KNOWN = 65536  # most frequent words whose counts travel with the vocabulary, so their rows need no join
-COUNT_BYTES = 8 << 20  # text counted together before its counts travel
+COUNT_BYTES = 8 << 20  # text counted together, at most
+COUNTED = 1 << 20  # distinct words of a task counted together before their counts travel
+BUCKET = 32768  # distinct words whose counts meet the texts' words in one group
 _PIECE = 8192  # parameters in one row of the averaging
 FAN = 1024  # groups of tasks averaged first, so the second average has at most so many inputs
 
@@ -85,13 +88,39 @@ def edges(own: int) -> tuple[int, int]:
     return own + SHARED, own + SHARED + 1
 
 
-def word_ids(hashes: np.ndarray, frequent: np.ndarray, ids: np.ndarray, own: int) -> np.ndarray:
-    """Ids of word hashes; ``frequent``: sorted hashes of the words with ids of their own, ``own`` at most."""
-    shared = own + (hashes % np.uint64(SHARED)).astype(np.int64)
-    if not len(frequent):
+class Lookup:
+    """Places of hashes in ``keys``, sorted hashes: each key's high bits lead to the first of its like."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = min((4 * len(keys)).bit_length(), 24)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.zeros(1, np.int32)
+        if len(keys):
+            starts = np.searchsorted(keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+            self.first = np.minimum(starts[:-1], len(keys) - 1).astype(np.int32)
+            self.crowded = np.diff(starts) > 1
+
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each hash, and whether it is a key (any place otherwise)."""
+        if not len(self.keys):
+            return np.zeros(len(hashes), np.int32), np.zeros(len(hashes), bool)
+        slot = (hashes >> self.shift).astype(np.int64)
+        at = self.first[slot]
+        found = self.keys[at] == hashes
+        more = np.flatnonzero(self.crowded[slot] & ~found)
+        at[more] = np.minimum(np.searchsorted(self.keys, hashes[more]), len(self.keys) - 1)
+        found[more] = self.keys[at[more]] == hashes[more]
+        return at, found
+
+
+def word_ids(hashes: np.ndarray, frequent: Lookup, ids: np.ndarray, own: int) -> np.ndarray:
+    """Ids of word hashes; ``frequent``: finds the words with ids of their own, ``own`` at most."""
+    shared = own + (hashes & np.uint64(SHARED - 1)).astype(np.int64)
+    if not len(ids):
         return shared
-    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    return np.where(frequent[at] == hashes, ids[at], shared)
+    at, found = frequent(hashes)
+    return np.where(found, ids[at], shared)
 
 
 @dataclass
@@ -132,15 +161,19 @@ class Vocabulary:
     known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # sorted hashes of words of shared ids
     logs: np.ndarray = field(default_factory=lambda: np.zeros(0))  # and the logarithms of their counts
 
+    @cached_property
+    def _lookups(self) -> tuple[Lookup, Lookup]:
+        return Lookup(self.frequent), Lookup(self.known)
+
     def logs_of(self, hashes: np.ndarray) -> np.ndarray:
         """Logarithms of the counts of words of shared ids, NaN of those that are not known."""
         if not len(self.known):
             return np.full(len(hashes), np.nan)
-        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        return np.where(self.known[at] == hashes, self.logs[at], np.nan)
+        at, found = self._lookups[1](hashes)
+        return np.where(found, self.logs[at], np.nan)
 
     def ids_of(self, hashes: np.ndarray) -> np.ndarray:
-        return word_ids(hashes, self.frequent, self.ids, self.own)
+        return word_ids(hashes, self._lookups[0], self.ids, self.own)
 
     def encode(self, texts: pa.Array) -> Encoded:
         w = words(texts)
@@ -193,64 +226,69 @@ class Network:
         return kept[:n].reshape(shape)
 
     @staticmethod
-    def _tame(z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
-        # |h| is below 1, so its product with a row is below the row's length times the root of WIDTH
-        longest = math.sqrt(WIDTH * np.einsum("ij,ij->i", weights, weights).max())
-        if not longest + np.abs(bias).max() <= 60:  # exp cannot overflow otherwise
+    def _tame(z: np.ndarray, most: float = 60) -> None:
+        if not max(z.max(), -z.min()) <= most:  # exp cannot overflow otherwise
             z -= z.max(axis=1, keepdims=True)
 
-    def _softmax(self, z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
-        self._tame(z, weights, bias)
-        np.exp(z, out=z)
-        z *= (1 / _row_sums(z))[:, None]
-
-    def _log_share(self, z: np.ndarray, weights: np.ndarray, bias: np.ndarray, column: np.ndarray) -> np.ndarray:
+    def _log_share(self, z: np.ndarray, column: np.ndarray) -> np.ndarray:
         """Logarithm of the softmax of ``z`` at one column of each row."""
-        self._tame(z, weights, bias)
+        self._tame(z)
         own = z[np.arange(len(z)), column]
         np.exp(z, out=z)
         return own - np.log(_row_sums(z))
 
-    def _block_spans(self, block: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
-        """The blocks in sorted ``block``; for each its place among them, its targets and its ids."""
+    def _block_spans(self, block: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """The blocks in sorted ``block``, and each with its targets."""
         bounds = np.searchsorted(block, np.arange(self.blocks + 1))
-        used = np.flatnonzero(np.diff(bounds))
-        return used, [(i, slice(bounds[b], bounds[b + 1]), slice(b * BLOCK, (b + 1) * BLOCK)) for i, b in enumerate(used.tolist())]
+        used, at = np.flatnonzero(np.diff(bounds)), bounds.tolist()
+        return used, [(b, slice(at[b], at[b + 1])) for b in used.tolist()]
 
-    def _by_blocks(self, h: np.ndarray) -> np.ndarray:
+    def _block_factors(self) -> tuple[np.ndarray, np.ndarray, float]:
+        """The part of the blocks' biases that sums take as factors of exponentials, which saves a pass over
+        the logits: all of it, or 0 where they lie far apart; the factors; and the largest logit they allow."""
+        bias = self.block_bias if np.abs(self.block_bias).max() <= 20 else np.zeros_like(self.block_bias)
+        return bias, np.exp(bias), 60 - 2 * float(np.abs(bias).max())
+
+    def _by_blocks(self, h: np.ndarray, bias: np.ndarray, most: float) -> np.ndarray:
+        """Logits of the blocks but for ``bias``."""
         z = np.matmul(h, self.block.T, out=self._space("z", len(h), self.blocks))
-        z += self.block_bias
+        if bias is not self.block_bias:
+            z += self.block_bias
+        self._tame(z, most)
         return z
 
-    def _within_blocks(self, h: np.ndarray, block: np.ndarray, spans: list[tuple]) -> np.ndarray:
-        z = self._space("z", len(h), BLOCK)
-        for _, at, of in spans:
-            np.dot(h[at], self.word[of].T, out=z[at])
-        z += self.word_bias.reshape(-1, BLOCK)[block]
-        return z
+    def _words_of_blocks(self) -> list[tuple[np.ndarray, ...]]:
+        """Each block's rows of ``word``, these transposed, and its biases."""
+        weights, biases = self.word.reshape(-1, BLOCK, WIDTH), self.word_bias.reshape(-1, BLOCK)
+        return [(w, w.T, b) for w, b in zip(weights, biases)]
 
     def log_probabilities(self, text: Encoded) -> np.ndarray:
         """log p(word | words on both sides) of each word."""
         ids = text.ids
         out = np.empty(len(ids))
         at_place = [self.embed * p for p in self.position]
+        of_blocks, (bias, factors, most) = self._words_of_blocks(), self._block_factors()
         for at in range(0, len(ids), SCORED):
-            part = slice(at, at + SCORED)
-            own = ids[part]
+            own = ids[at : at + SCORED]
             block = own // BLOCK
             order = np.argsort(_narrow(block, self.blocks), kind="stable")  # a block's words side by side
             block, place = block[order], (own % BLOCK)[order]
             context = np.ascontiguousarray(text.context(at + order).T)
-            h = at_place[0].take(context[0], axis=0, out=self._space("h", len(own), WIDTH), mode="clip")
-            for k in range(1, 2 * WINDOW):
-                h += at_place[k].take(context[k], axis=0, out=self._space("near", len(own), WIDTH), mode="clip")
-            np.tanh(h, out=h)
-            p = np.empty(len(own))
+            h, p = self._space("h", len(own), WIDTH), np.empty(len(own))
             for a in range(0, len(own), NEAR):
                 some = slice(a, a + NEAR)
-                p[some] = self._log_share(self._by_blocks(h[some]), self.block, self.block_bias, block[some])
-            z = self._within_blocks(h, block, self._block_spans(block)[1])
-            p += self._log_share(z, self.word, self.word_bias, place)
+                near = at_place[0].take(context[0, some], axis=0, out=h[some], mode="clip")
+                for k in range(1, 2 * WINDOW):
+                    near += at_place[k].take(context[k, some], axis=0, out=self._space("near", len(near), WIDTH), mode="clip")
+                np.tanh(near, out=near)
+                z = self._by_blocks(near, bias, most)
+                p[some] = z[np.arange(len(z)), block[some]] + bias[block[some]]
+                p[some] -= np.log(np.exp(z, out=z) @ factors)
+            for b, some in self._block_spans(block)[1]:
+                _, weights, biases = of_blocks[b]
+                z = np.dot(h[some], weights, out=self._space("z", some.stop - some.start, BLOCK))
+                z += biases
+                p[some] += self._log_share(z, place[some])
             out[at + order] = p
         return out
 
@@ -264,43 +302,63 @@ class Network:
         rows, ones = np.arange(n), np.ones(n, dtype=kind)
         near = self._space("near", 2 * WINDOW, n, WIDTH)
         h, part = self._space("h", n, WIDTH), self._space("part", n, WIDTH)
-        for k in range(2 * WINDOW):
-            self.embed.take(context[k], axis=0, out=near[k], mode="clip")  # all ids are in range
-            np.multiply(near[k], self.position[k], out=part if k else h)
-            if k:
-                h += part
-        np.tanh(h, out=h)
-
-        back = self._space("back", n, WIDTH)
+        back, share = self._space("back", n, WIDTH), self._space("share", n, WIDTH)
         of_block, of_bias = np.zeros_like(self.block), np.zeros_like(self.block_bias)
+        bias, factors, most = self._block_factors()
+        weighted = self.block * factors[:, None]
         for at in range(0, n, NEAR):
             some = slice(at, at + NEAR)
-            error = self._by_blocks(h[some])
-            self._softmax(error, self.block, self.block_bias)
-            error[rows[: len(error)], block[some]] -= 1
-            np.matmul(error, self.block, out=back[some])
-            of_block += error.T @ h[some]
-            of_bias += ones[some] @ error
+            own = h[some]
+            for k in range(2 * WINDOW):
+                self.embed.take(context[k, some], axis=0, out=near[k, some], mode="clip")  # all ids are in range
+                np.multiply(near[k, some], self.position[k], out=part[some] if k else own)
+                if k:
+                    own += part[some]
+            np.tanh(own, out=own)
+            error = self._by_blocks(own, bias, most)
+            sums = np.exp(error, out=error) @ factors
+            # times the factors and over the sums, this is the softmax less 1 at the target
+            error[rows[: len(error)], block[some]] -= sums / factors[block[some]]
+            np.divide(1, sums, out=sums)
+            np.matmul(error, weighted, out=back[some])
+            back[some] *= sums[:, None]
+            of_block += error.T @ np.multiply(own, sums[:, None], out=share[some])
+            of_bias += sums @ error
+        of_block *= factors[:, None]
+        of_bias *= factors
         by_block = ("block", slice(None), of_block, of_bias)
 
         used, spans = self._block_spans(block)
-        error = self._within_blocks(h, block, spans)
-        self._softmax(error, self.word, self.word_bias)
-        error[rows, target % BLOCK] -= 1
+        of_blocks = self._words_of_blocks()
+        error = self._space("z", n, BLOCK)
+        for b, at in spans:
+            _, weights, biases = of_blocks[b]
+            own = np.dot(h[at], weights, out=error[at])
+            own += biases
+        self._tame(error)
+        sums = _row_sums(np.exp(error, out=error))
+        error[rows, target % BLOCK] -= sums
+        np.divide(1, sums, out=sums)
+        np.multiply(h, sums[:, None], out=share)
         by_word = self._space("by_word", len(used), BLOCK, WIDTH)
         by_bias = np.empty((len(used), BLOCK), dtype=kind)
-        for i, at, of in spans:
+        for (b, at), weights, biases in zip(spans, by_word, by_bias):
             own = error[at]
-            back[at] += np.dot(own, self.word[of], out=part[at])
-            np.dot(own.T, h[at], out=by_word[i])
-            np.dot(ones[at], own, out=by_bias[i])
+            np.dot(own, of_blocks[b][0], out=part[at])
+            np.dot(own.T, share[at], out=weights)
+            np.dot(sums[at], own, out=biases)
         ids = slice(None) if len(used) == self.blocks else (used[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         by_word = ("word", ids, by_word.reshape(-1, WIDTH), by_bias.ravel())
 
-        h *= h
-        np.subtract(1, h, out=h)
-        back *= h
-        by_position = np.array([np.einsum("ij,ij->j", near[k], back) for k in range(2 * WINDOW)])
+        by_position = np.zeros_like(self.position)
+        for at in range(0, n, NEAR):
+            some = slice(at, at + NEAR)
+            own, slope = back[some], h[some]
+            own += np.multiply(part[some], sums[some, None], out=part[some])
+            slope *= slope
+            own *= np.subtract(1, slope, out=slope)
+            for k in range(2 * WINDOW):
+                by_position[k] += ones[some] @ np.multiply(near[k, some], own, out=part[some])
         ids, by_embed = self._sums_by_id(context, back)
         return [by_block, by_word, ("position", slice(None), by_position, None), ("embed", ids, by_embed, None)]
 
@@ -323,18 +381,24 @@ class Network:
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
         """One step of Adagrad on a batch, with a step size for each row of parameters."""
         for name, rows, weights, biases in self.gradients(context, target):
-            squares = np.einsum("ij,ij->i", weights, weights)
-            if biases is not None:
-                squares += biases * biases
-            squares /= WIDTH
-            so_far = self.squares.setdefault(name, np.full(len(getattr(self, name)), 1e-3, dtype=self.flat.dtype))
-            squares += so_far[rows]
-            so_far[rows] = squares
-            rate = np.float32(RATE) / np.sqrt(squares)
-            weights *= rate[:, None]
-            getattr(self, name)[rows] -= weights
-            if biases is not None:
-                getattr(self, name + "_bias")[rows] -= biases * rate
+            if name not in self.squares:
+                self.squares[name] = np.full(len(getattr(self, name)), 1e-3, dtype=self.flat.dtype)
+            for at in range(0, len(weights), NEAR):
+                some = slice(at, at + NEAR)
+                self._step(name, some if isinstance(rows, slice) else rows[some], weights[some], None if biases is None else biases[some])
+
+    def _step(self, name: str, rows: np.ndarray | slice, weights: np.ndarray, biases: np.ndarray | None) -> None:
+        squares = np.einsum("ij,ij->i", weights, weights)
+        if biases is not None:
+            squares += biases * biases
+        squares /= WIDTH
+        squares += self.squares[name][rows]
+        self.squares[name][rows] = squares
+        rate = np.float32(RATE) / np.sqrt(squares)
+        weights *= rate[:, None]
+        getattr(self, name)[rows] -= weights
+        if biases is not None:
+            getattr(self, name + "_bias")[rows] -= biases * rate
 
 
 def _row_sums(z: np.ndarray) -> np.ndarray:
@@ -356,9 +420,28 @@ def train_in_batches(net: Network, context: np.ndarray, target: np.ndarray, seen
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in slices(batches, "text", COUNT_BYTES):
-        hashes, counts = np.unique(words(batch.column("text")).hashes, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["word", "n"])
+        parts.append(np.unique(words(batch.column("text")).hashes, return_counts=True))
+        if sum(len(hashes) for hashes, _ in parts[1:]) > len(parts[0][0]):  # so each word is merged few times
+            parts = [_summed(parts)]
+            if len(parts[0][0]) > COUNTED:
+                yield _as_counts(*parts.pop())
+    if parts:
+        yield _as_counts(*_summed(parts))
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of ``parts``, and the sum of the counts of each."""
+    hashes, counts = (np.concatenate(column) for column in zip(*parts))
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], counts[order]
+    starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+    return hashes[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+
+
+def _as_counts(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
 
 def word_counts(docs: DataFrame, stage: Staging) -> DataFrame:
@@ -453,30 +536,44 @@ def encoded_documents(docs: DataFrame, vocabulary: Vocabulary, stage: Staging) -
     return stage.write(found.select(F.monotonically_increasing_id().alias("row"), *found.columns), "encoded")
 
 
-def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "shared"):
-        hashes, first = _ids(batch.column("shared"), np.uint64)
-        rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        order = np.lexsort((hashes, rows))
-        rows, hashes = rows[order], hashes[order]
-        starts = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])][: len(rows)])
-        times = np.diff(np.r_[starts, len(rows)])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("row").take(pa.array(rows[starts])),
-                pa.array(hashes[starts].view(np.int64)),
-                pa.array(times.astype(np.int32)),
-            ],
-            names=["row", "word", "times"],
-        )
+def _sharing(buckets: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "shared"):
+            hashes, first = _ids(batch.column("shared"), np.uint64)
+            rows = np.repeat(batch.column("row").to_numpy(), np.diff(first))
+            bucket = ((hashes >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(_narrow(bucket, buckets), kind="stable")
+            used, at = np.unique(bucket[order], return_index=True)
+            at = np.r_[at, len(order)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used), _bytes(rows[order], at), _bytes(hashes[order], at)], names=["bucket", "rows", "words"]
+            )
+
+    return run
+
+
+def _joined(shared: pa.Table, counts: pa.Table) -> pa.Table:
+    """``row, log_counts`` of a bucket's words."""
+    words_of = counts["word"].to_numpy().view(np.uint64)
+    order = np.argsort(words_of)
+    logs = np.log(counts["n"].to_numpy()[order].astype(float))
+    hashes = _ids(shared["words"].combine_chunks(), np.uint64)[0]
+    at, found = Lookup(words_of[order])(hashes)
+    rows, slot = np.unique(_ids(shared["rows"].combine_chunks(), np.int64)[0][found], return_inverse=True)
+    sums = np.bincount(slot, weights=logs[at[found]], minlength=len(rows))
+    return pa.table({"row": pa.array(rows, pa.int64()), "log_counts": pa.array(sums, pa.float64())})
 
 
 def shared_words(encoded: DataFrame, counts: DataFrame, stage: Staging) -> DataFrame:
     """``row, log_counts`` of ``encoded``: the sum of the logarithms of the counts of a row's ``shared``
-    words; those that occur once have none to add."""
-    found = encoded.select("row", "shared").mapInArrow(_sharing, "row bigint, word bigint, times int")
-    joined = found.join(counts.where("n > 1").hint("merge"), "word")
-    return stage.write(joined.groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("log_counts")), "shared")
+    words; those that occur once have none to add.  Words and counts meet in buckets of the words'
+    hashes, in groups of about ``BUCKET`` distinct words."""
+    buckets = counts.count() // BUCKET + 1
+    found = encoded.select("row", "shared").mapInArrow(_sharing(buckets), "bucket bigint, rows binary, words binary")
+    bucket = F.shiftrightunsigned("word", 33) % buckets  # as in _sharing
+    dealt_counts = counts.where("n > 1").select(bucket.alias("bucket"), "word", "n")
+    joined = found.groupBy("bucket").cogroup(dealt_counts.groupBy("bucket")).applyInArrow(_joined, "row bigint, log_counts double")
+    return stage.write(joined.groupBy("row").agg(F.sum("log_counts").alias("log_counts")), "shared")
 
 
 def targets(text: Encoded, epoch: int, stride: int = STRIDE) -> np.ndarray:

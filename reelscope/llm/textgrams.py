@@ -4,7 +4,7 @@ A word is a maximal run of bytes other than space and ``\\x09-\\x0D``; as
 these separators are ASCII, working on the UTF-8 bytes gives the same words
 as working on characters.  A word's hash is a polynomial over its bytes with
 a random value per byte, an n-gram's hash a rolling polynomial over its words'
-hashes (the difference of two prefix sums, whatever its length), both modulo
+hashes (both differences of two prefix sums, whatever the length), both modulo
 2^64 and finalised, so equal texts have equal hashes in every task.  Everything runs over flat arrays of a slice of rows whose size
 in bytes is bounded; a longer text is a slice of its own and is hashed in
 segments that end at a separator.
@@ -14,17 +14,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
-SEGMENT_BYTES = 1 << 18
+SEGMENT_BYTES = 1 << 14  # its powers and sums stay near the processor
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)  # modulo 2^64
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -51,6 +52,11 @@ def _powers(n: int, base: int = _BASE) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
+@lru_cache(maxsize=2)
+def _segment_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(n), _powers(n + 1, _BASE_INVERSE)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column laid end to end, and its row offsets."""
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -122,20 +128,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     hashes = np.empty(len(starts), dtype=_U)
     if not len(starts):
         return hashes
-    size = ends - starts
-    power = _powers(int(size.max()))
+    power, inverse = _segment_powers(SEGMENT_BYTES)
     at = 0
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + SEGMENT_BYTES, side="right")))
-        heads, hi = starts[at:to], ends[to - 1]
-        reach = np.diff(np.r_[heads, hi])
-        offset = np.arange(heads[0], hi) - np.repeat(heads, reach)
-        value = table[data[heads[0] : hi]]
-        value *= power[np.minimum(offset, len(power) - 1)]
-        value[offset >= np.repeat(size[at:to], reach)] = 0
-        hashes[at:to] = np.add.reduceat(value, heads - heads[0])
+        lo, hi = int(starts[at]), int(ends[to - 1])
+        value = table.take(data[lo:hi])
+        value *= power[: hi - lo] if hi - lo <= SEGMENT_BYTES else _powers(hi - lo)
+        sums = np.zeros(hi - lo + 1, dtype=_U)
+        np.cumsum(value, out=sums[1:])
+        heads = starts[at:to] - lo  # only a span alone is longer than the segment, and begins at 0
+        hashes[at:to] = (sums[ends[at:to] - lo] - sums[heads]) * inverse[heads]
         at = to
-    return mix(hashes + size.astype(_U))
+    return mix(hashes + (ends - starts).astype(_U))
 
 
 def words(column: pa.Array, lower: bool = False, hashed: bool = True) -> Words:

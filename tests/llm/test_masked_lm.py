@@ -249,3 +249,87 @@ def test_edge_rows(spark):
     repeated = [r.log_likelihood for r in got if r.doc_id == 10]
     assert abs(repeated[0] - repeated[1]) < 1e-6
     assert lm.score_documents(edge_docs(spark, empty=True)).collect() == []
+
+
+def test_words_of_a_task_are_counted_once():
+    batches = [pa.RecordBatch.from_pydict({"text": [f"a b c{i % 2}", None, "a"]}) for i in range(20)]
+    got = [(w, n) for b in lm._counted(iter(batches)) for w, n in zip(b["word"].to_pylist(), b["n"].to_pylist())]
+    hashes = lm.words(pa.array(["a b c0 c1"])).hashes.view(np.int64).tolist()
+    assert sorted(got) == sorted(zip(hashes, [40, 20, 10, 10]))
+    assert sum(b.num_rows for b in lm._counted(iter([pa.RecordBatch.from_pydict({"text": pa.array(["", None])})]))) == 0
+
+
+def test_counts_travel_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(lm, "COUNTED", 50)
+    texts = [" ".join(f"v{i * 7 % 130} v{k}" for k in range(30)) for i in range(40)]
+    parts = list(lm._counted(iter([pa.RecordBatch.from_pydict({"text": [t]}) for t in texts])))
+    total = Counter()
+    for b in parts:
+        total.update(dict(zip(b["word"].to_pylist(), b["n"].to_pylist())))
+    want = Counter(h for t in texts for h in lm.words(pa.array([t])).hashes.view(np.int64).tolist())
+    assert len(parts) > 1 and total == want
+
+
+def test_shared_words_travel_in_a_piece_for_each_bucket():
+    hashes = lm.words(pa.array([" ".join(f"s{i}" for i in range(900))])).hashes
+    first = np.array([0, 400, 400, 900])
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6, 7]), lm._bytes(hashes, first)], names=["row", "shared"])
+    (pieces,) = lm._sharing(4)(iter([batch]))
+    assert pieces["bucket"].to_pylist() == [0, 1, 2, 3]
+    pairs = zip(lm._ids(pieces["rows"], np.int64)[0].tolist(), lm._ids(pieces["words"], np.uint64)[0].tolist())
+    assert sorted(pairs) == sorted(zip([5] * 400 + [7] * 500, hashes.tolist()))
+
+
+@pytest.mark.parametrize("bucket", [3, 10_000])
+def test_sums_of_shared_words_by_row(spark, monkeypatch, bucket):
+    monkeypatch.setattr(lm, "BUCKET", bucket)
+    monkeypatch.setattr(lm, "own_ids", lambda distinct: 0)
+    monkeypatch.setattr(lm, "KNOWN", 0)
+    texts = ["a b a", None, "once", "a b a", " ".join(f"x{i % 40}" for i in range(100)), "x3 x3 a other"]
+    docs, stage = table(spark, list(enumerate(texts))), Staging(spark, "test")
+    counts = Counter(w for t in texts for w in words(t))
+    words_of = lm.word_counts(docs, stage)
+    encoded = lm.encoded_documents(docs, lm.vocabulary_of(words_of)[0], stage)
+    sums = {r.row: r.log_counts for r in lm.shared_words(encoded, words_of, stage).collect()}
+    for r in encoded.select("row", "doc_id").collect():
+        want = sum(np.log(counts[w]) for w in words(texts[r.doc_id]))
+        assert abs(sums.get(r.row, 0.0) - want) < 1e-9
+
+
+def test_lookup_finds_crowded_keys():
+    rng = np.random.default_rng(6)
+    near = np.arange(50, dtype=np.uint64) + np.uint64(1 << 63)
+    keys = np.unique(np.r_[rng.integers(0, 2**64, 700, dtype=np.uint64), near, np.array([0, 2**64 - 1], np.uint64)])
+    hashes = np.r_[keys[::-1], keys + np.uint64(1), rng.integers(0, 2**64, 500, dtype=np.uint64)]
+    at, found = lm.Lookup(keys)(hashes)
+    assert (found == np.isin(hashes, keys)).all() and (keys[at[found]] == hashes[found]).all()
+    assert not lm.Lookup(keys[:0])(hashes)[1].any() and lm.Lookup(keys[:1])(keys[:2])[1].tolist() == [True, False]
+
+
+@pytest.mark.parametrize("weights, biases", [(0.3, 1), (40, 1), (0.3, 60), (30, 60)])
+def test_far_apart_logits_stay_exact(weights, biases):
+    rng = np.random.default_rng(8)
+    size = 3 * lm.BLOCK
+    net = lm.Network(rng.normal(0, 0.3, lm.Network.length(size)).astype(np.float32), size)
+    net.block *= weights
+    net.word *= weights
+    net.block_bias[:] = rng.normal(0, biases, len(net.block_bias))
+    net.word_bias[:] = rng.normal(0, biases, size)
+    exact = lm.Network(net.flat.astype(float), size)
+    context, target = rng.integers(0, size, (60, 4)), rng.integers(0, size, 60)
+    text = lm.Encoded(np.c_[context[:, :2], target, context[:, 2:]].ravel(), np.arange(2, 300, 5), np.array([0, 60]))
+    h = np.tanh((exact.embed[context] * exact.position).sum(1))
+    z, y = h @ exact.block.T + exact.block_bias, h @ exact.word.T + exact.word_bias
+    y = np.where(np.arange(size) // lm.BLOCK == target[:, None] // lm.BLOCK, y, -np.inf)
+    of_z, of_y = (np.exp(x - x.max(1, keepdims=True)) for x in (z, y))
+    of_z, of_y = of_z / of_z.sum(1, keepdims=True), of_y / of_y.sum(1, keepdims=True)
+    rows = np.arange(60)
+    z, y = z - z.max(1, keepdims=True), y - y.max(1, keepdims=True)
+    want = z[rows, target // lm.BLOCK] - np.log(np.exp(z).sum(1)) + y[rows, target] - np.log(np.exp(y).sum(1))
+    assert np.allclose(net.log_probabilities(text), want, rtol=1e-4, atol=1e-3)
+    of_z[rows, target // lm.BLOCK] -= 1
+    of_y[rows, target] -= 1
+    found = {name: (ids, w, b) for name, ids, w, b in net.gradients(context, target)}
+    assert np.allclose(found["block"][1], of_z.T @ h, atol=1e-3) and np.allclose(found["block"][2], of_z.sum(0), atol=1e-3)
+    ids = np.arange(size)[found["word"][0]]
+    assert np.allclose(found["word"][1], (of_y.T @ h)[ids], atol=1e-3) and np.allclose(found["word"][2], of_y.sum(0)[ids], atol=1e-3)

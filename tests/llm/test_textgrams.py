@@ -68,3 +68,13 @@ def test_rolling_hashes_are_equal_only_for_equal_runs():
         assert len(seen) == len({tuple(v) for v in seen.values()})
         assert list(hashes) == [h for t in texts for h in apart[t].gram(n)[1]]  # wherever a text lies in a slice
     assert list(textgrams.sequences(w)[0]) == [h for t in texts for h in textgrams.sequences(apart[t])[0]]
+
+
+def test_a_span_hash_is_the_polynomial_of_its_bytes(monkeypatch):
+    monkeypatch.setattr(textgrams, "SEGMENT_BYTES", 8)
+    data = np.frombuffer(b"ab cdefghijklmnop q rst uvwxyz12", np.uint8)
+    starts, ends = np.array([0, 3, 17, 18, 20, 28, 32]), np.array([2, 16, 17, 19, 28, 28, 32])  # two spans are empty
+    power = [pow(textgrams._BASE, i, 1 << 64) for i in range(32)]
+    want = [sum(int(textgrams._BYTE[b]) * power[i] for i, b in enumerate(data[s:e].tolist())) + int(e - s) for s, e in zip(starts, ends)]
+    want = textgrams.mix(np.array([w % (1 << 64) for w in want], dtype=np.uint64))
+    assert (textgrams.span_hashes(data, starts, ends) == want).all()

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 # one in MAX_HOT of the rows is always among them.
 MAX_HOT = 1_000
 TRACKED = 10_000
+# Salts for each split: several that hash to one task then add up to little more than its share.
+SALTS = 4
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_split: int) -> DataFrame:
@@ -44,7 +46,7 @@ def split_join(large: DataFrame, other: DataFrame, key: str, hot: DataFrame) ->
     are equal in every column share a salt: count them together before.
     """
     hot = F.broadcast(hot)  # MAX_HOT rows at most
-    splits = F.coalesce("splits", F.lit(1))
+    splits = F.coalesce(F.col("splits") * SALTS, F.lit(1))
     salt = F.pmod(F.xxhash64(*large.columns), splits).cast("int")
     dealt = large.join(hot, key, "left").select(*large.columns, salt.alias("_salt"))
     repeated = other.join(hot, key, "left").select(*other.columns, F.explode(F.sequence(F.lit(0), splits - 1)).alias("_salt"))
